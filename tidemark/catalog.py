@@ -68,7 +68,7 @@ def q_rolling_baseline(spark, sf):
     """O-20/O-21: previous-20-window stats per symbol (chunked + halo, no per-symbol task)."""
     m = Fixture(spark, sf).anomaly_metrics().select("symbol", "window_start", "window_end",
                                                    "vwap", "volume", "volatility")
-    b = anomaly.rolling_baseline(m)
+    b = anomaly.rolling_baseline(m, checkpoint=True)
     return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
                     "hist_n", "price_n",
                     round_half_up("price_mean", 6).alias("price_mean"),

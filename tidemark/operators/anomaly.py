@@ -28,69 +28,125 @@ VOLATILITY_SEVERITY = (6.0, 4.0)
 
 DEFAULT_CHUNK = "1 day"
 _VALUES = ("vwap", "volume", "volatility")
+_DEC = "decimal(38,0)"
+_SUM_FIELDS = ("n", "pn", "s1", "s2", "sv", "st")
 
 
-def _frame_stats(w) -> list[Column]:
-    """Rolling stats over frame ``w``. Means come from exact integer sums of the
-    METRICS values in their published units (vwap 1e-6, volatility 1e-8), so they
-    do not depend on the order rows are summed in."""
-    vwap_u = F.floor(F.col("vwap") * F.lit(1e6) + F.lit(0.5))
-    vol_u = F.floor(F.col("volatility") * F.lit(1e8) + F.lit(0.5))
-    n = F.count(F.lit(1)).over(w)
-    return [
-        n.alias("hist_n"),
-        F.count("vwap").over(w).alias("price_n"),
-        (F.try_divide(F.sum(vwap_u).over(w), F.count("vwap").over(w)) / F.lit(1e6)).alias("price_mean"),
-        F.stddev_pop("vwap").over(w).alias("price_std"),
-        F.try_divide(F.sum("volume").over(w), n).alias("volume_mean"),
-        (F.try_divide(F.sum(vol_u).over(w), n) / F.lit(1e8)).alias("volatility_mean"),
-    ]
+def _row_sums() -> Column:
+    """Exact per-row contributions: rows, non-null vwaps, Σvwap_u, Σvwap_u², Σvolume, Σvol_u
+    (vwap in 1e-6 units, volatility in 1e-8 units: the METRICS rounding)."""
+    vu = F.floor(F.col("vwap") * F.lit(1e6) + F.lit(0.5))
+    tu = F.floor(F.col("volatility") * F.lit(1e8) + F.lit(0.5))
+    return F.struct(
+        F.lit(1).cast("bigint").alias("n"),
+        F.when(F.col("vwap").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("pn"),
+        F.coalesce(vu, F.lit(0)).cast("bigint").alias("s1"),
+        F.coalesce(vu.cast(_DEC) * vu.cast(_DEC), F.lit(0).cast(_DEC)).alias("s2"),
+        F.coalesce(F.col("volume"), F.lit(0)).cast("bigint").alias("sv"),
+        F.coalesce(tu, F.lit(0)).cast("bigint").alias("st"),
+    )
+
+
+def _frame_sums(w) -> list[Column]:
+    return [F.coalesce(F.sum(F.col(f"_x.{f}")).over(w), F.lit(0).cast(_DEC if f == "s2" else "bigint"))
+            .alias(f"_in_{f}") for f in _SUM_FIELDS]
+
+
+def _finish(df: DataFrame, halo: Column | None = None) -> DataFrame:
+    """Stats from in-frame sums (+ halo sums): means from exact integer sums, population
+    std from the exact numerator n·Σx² - (Σx)²; NULL where the history is empty."""
+    tot = {}
+    for f in _SUM_FIELDS:
+        c = F.col(f"_in_{f}")
+        if halo is not None:
+            c = c + F.coalesce(halo[f], F.lit(0).cast(_DEC if f == "s2" else "bigint"))
+        tot[f] = c
+    pn = tot["pn"]
+    var_num = (pn.cast(_DEC) * tot["s2"] - tot["s1"].cast(_DEC) * tot["s1"].cast(_DEC)).cast("double")
+    return df.select(
+        *[c for c in df.columns if not c.startswith("_")],
+        tot["n"].alias("hist_n"),
+        pn.alias("price_n"),
+        (F.try_divide(tot["s1"], pn) / F.lit(1e6)).alias("price_mean"),
+        (F.sqrt(F.try_divide(var_num, (pn * pn).cast("double"))) / F.lit(1e6)).alias("price_std"),
+        F.try_divide(tot["sv"], tot["n"]).alias("volume_mean"),
+        (F.try_divide(tot["st"], tot["n"]) / F.lit(1e8)).alias("volatility_mean"),
+    )
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's shared ``spark.checkpoint.dir``.
+
+    Used where one intermediate feeds two branches of a plan (Spark cannot reuse
+    the exchange when the branches prune columns differently): the upstream work
+    runs once and a lost executor re-reads files instead of recomputing lineage.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
-                     chunk: str | None = DEFAULT_CHUNK, order_col: str = "window_end") -> DataFrame:
+                     chunk: str | None = DEFAULT_CHUNK, order_col: str = "window_end",
+                     checkpoint: bool = False) -> DataFrame:
     """Append rolling stats over the previous ``history`` rows per symbol.
 
     Adds hist_n (rows in history), price_n / price_mean / price_std (population,
-    NULL vwaps skipped), volume_mean and volatility_mean. ``chunk=None`` uses a
-    single per-symbol window (only for small inputs / cross-checks).
+    NULL vwaps skipped), volume_mean and volatility_mean. All are derived from
+    exact integer sums, so they do not depend on partitioning or summation order.
+
+    Scale: METRICS are shuffled once by (symbol, time chunk). One window pass per
+    chunk gives the in-chunk frame sums and the chunk's tail (its last ``history``
+    rows). The rows a chunk's first ``history`` rows need from earlier chunks (the
+    halo) are assembled from tails — one row per chunk, ordered per symbol — as
+    suffix sums, and joined back on (symbol, chunk). No task ever holds more than
+    one chunk of one symbol. ``chunk=None`` uses a single per-symbol window
+    (cross-checks and small inputs only).
+
+    The chunked plan reads ``metrics`` twice (chunk rows and tails). Pass a table
+    scan, or ``checkpoint=True`` when ``metrics`` is an expensive derived plan (e.g.
+    the window aggregation over raw trades) so that work runs once.
     """
     if history < 1:
         raise ValueError("history must be >= 1")
+    m = metrics.withColumn("_x", _row_sums())
     if chunk is None:
         w = Window.partitionBy("symbol").orderBy(order_col).rowsBetween(-history, -1)
-        return metrics.select("*", *_frame_stats(w))
+        return _finish(m.select("*", *_frame_sums(w)))
+
+    if checkpoint:
+        m = materialize(m)
+    body = m.withColumn("_chunk", time_bucket(order_col, chunk)).repartition("symbol", "_chunk")
+    ordered = Window.partitionBy("symbol", "_chunk").orderBy(order_col)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w_in = body.select("*", *_frame_sums(ordered.rowsBetween(-history, -1)),
+                       F.row_number().over(ordered).alias("_rn"),
+                       F.count(F.lit(1)).over(whole).alias("_cnt"))
+
+    # tails: last `history` rows of each chunk, kept as (order, sums) structs
+    tails = (w_in.filter(F.col("_rn") > F.col("_cnt") - F.lit(history))
+                 .groupBy("symbol", "_chunk")
+                 .agg(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_x").alias("x")))
+                      .alias("_tail")))
+    # halo of chunk c: last `history` tail rows of the ≤ `history` non-empty chunks before c
+    prev = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(-history, -1)
+    h = F.array_sort(F.flatten(F.collect_list("_tail").over(prev)))
+    zero = F.struct(*[F.lit(0).cast(_DEC if f == "s2" else "bigint").alias(f) for f in _SUM_FIELDS])
 
-    m = metrics.withColumn("_chunk", time_bucket(order_col, chunk))
+    def merge(acc, e):
+        return F.struct(*[(acc[f] + e["x"][f]).alias(f) for f in _SUM_FIELDS])
 
-    # 1) tail of every (symbol, chunk): its last `history` rows (partial top-k runs
-    #    before the shuffle, so a hot chunk ships at most `history` rows per task).
-    rank = F.row_number().over(Window.partitionBy("symbol", "_chunk").orderBy(F.col(order_col).desc()))
-    tails = (m.select("symbol", "_chunk", order_col, *_VALUES, rank.alias("_rk"))
-              .filter(F.col("_rk") <= history)
-              .groupBy("symbol", "_chunk")
-              .agg(F.array_sort(F.collect_list(F.struct(order_col, *_VALUES))).alias("_tail")))
+    # _hs[k] = sums over the last k halo rows (k = 1..history)
+    suffix = F.transform(
+        F.sequence(F.lit(1), F.lit(history)),
+        lambda k: F.aggregate(F.slice("_h", F.greatest(F.size("_h") - k + 1, F.lit(1)), k), zero, merge))
+    halos = (tails.select("symbol", "_chunk", h.alias("_h"))
+                  .select("symbol", "_chunk", suffix.alias("_hs")))
 
-    # 2) halo of chunk c = last `history` rows of the tails of the ≤ `history` non-empty
-    #    chunks before it (each non-empty chunk contributes ≥ 1 row). This per-symbol
-    #    window runs over one row per chunk, not per metric row.
-    prev = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(-history, -1)
-    halo_all = F.array_sort(F.flatten(F.collect_list("_tail").over(prev)))
-    halo = (tails.select("symbol", "_chunk", halo_all.alias("_h"))
-                 .select("symbol", "_chunk",
-                         F.slice("_h", F.greatest(F.size("_h") - F.lit(history - 1), F.lit(1)),
-                                 F.lit(history)).alias("_h"))
-                 .select("symbol", "_chunk", F.explode("_h").alias("_r"))
-                 .select("symbol", "_chunk", F.col(f"_r.{order_col}").alias(order_col),
-                         *[F.col(f"_r.{v}").alias(v) for v in _VALUES],
-                         F.lit(True).alias("_halo")))
-
-    # 3) per-(symbol, chunk) window over chunk rows ∪ halo rows; halo rows are dropped after.
-    body = m.withColumn("_halo", F.lit(False))
-    unioned = body.unionByName(halo, allowMissingColumns=True)
-    w = Window.partitionBy("symbol", "_chunk").orderBy(order_col).rowsBetween(-history, -1)
-    out = unioned.select("*", *_frame_stats(w)).filter(~F.col("_halo"))
-    return out.drop("_chunk", "_halo")
+    joined = w_in.join(halos, ["symbol", "_chunk"], "left")
+    k = F.lit(history) - F.col("_rn") + F.lit(1)
+    need = F.when(k >= 1, F.element_at(F.col("_hs"), k.cast("int")))
+    return _finish(joined, need)
 
 
 def _alert(symbol, alert_type, severity, z_score, threshold, current, baseline, message,
@@ -164,7 +220,7 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
                      price_z: float = PRICE_Z_THRESHOLD, volume_x: float = VOLUME_MULTIPLIER,
                      volatility_x: float = VOLATILITY_MULTIPLIER,
                      detected_at: Column | str | None = None, chunk: str | None = DEFAULT_CHUNK,
-                     min_history: int = 1) -> DataFrame:
+                     min_history: int = 1, checkpoint: bool = False) -> DataFrame:
     """METRICS -> ALERTS (symbol, alert_type, severity, z_score, threshold,
     current_value, baseline_value, message, window_start, window_end, detected_at).
 
@@ -173,5 +229,5 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     ``detected_at`` defaults to the current timestamp.
     """
     base = rolling_baseline(metrics.select("symbol", "window_start", "window_end", *_VALUES),
-                            history=history, chunk=chunk)
+                            history=history, chunk=chunk, checkpoint=checkpoint)
     return alerts_from_baseline(base, price_z, volume_x, volatility_x, detected_at, min_history)

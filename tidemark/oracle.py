@@ -50,11 +50,13 @@ MH = _metrics("mh", *ANOMALY_WINDOW)
 BASE = """base AS (
   SELECT symbol, window_start, window_end, vwap, volume, volatility,
          count(*) OVER w AS hist_n, count(vwap) OVER w AS price_n,
-         sum(CAST(floor(vwap * 1e6 + 0.5) AS BIGINT)) OVER w / count(vwap) OVER w / 1e6 AS price_mean,
-         stddev_pop(vwap) OVER w AS price_std,
+         sum(vu) OVER w / count(vwap) OVER w / 1e6 AS price_mean,
+         sqrt(CAST(count(vwap) OVER w * sum(CAST(vu AS HUGEINT) * vu) OVER w
+                   - CAST(sum(vu) OVER w AS HUGEINT) * sum(vu) OVER w AS DOUBLE)
+              / CAST(count(vwap) OVER w * count(vwap) OVER w AS DOUBLE)) / 1e6 AS price_std,
          sum(volume) OVER w / count(*) OVER w AS volume_mean,
          sum(CAST(floor(volatility * 1e8 + 0.5) AS BIGINT)) OVER w / count(*) OVER w / 1e8 AS volatility_mean
-  FROM mh
+  FROM (SELECT *, CAST(floor(vwap * 1e6 + 0.5) AS BIGINT) AS vu FROM mh)
   WINDOW w AS (PARTITION BY symbol ORDER BY window_end ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
 
 ALERTS = """sig AS (

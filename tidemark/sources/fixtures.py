@@ -72,7 +72,8 @@ class Fixture:
 
     def alerts(self) -> DataFrame:
         """Detector output with detected_at = window_end (deterministic)."""
-        return detect_anomalies(self.anomaly_metrics(), detected_at=F.col("window_end"))
+        return detect_anomalies(self.anomaly_metrics(), detected_at=F.col("window_end"),
+                                checkpoint=True)
 
     def alerts_table(self) -> DataFrame:
         """Alerts as persisted by the audit sink: de-duplicated, acknowledged=false,
