@@ -1,0 +1,87 @@
+"""Window metrics (O-8…O-13) on hand goldens, run through Spark."""
+import math
+
+import pytest
+
+from helpers import trades_df, ts
+from tidemark.operators.windows import window_metrics
+
+
+def one_window(spark, rows, window="10 minutes", slide="10 minutes"):
+    out = window_metrics(trades_df(spark, rows), window, slide).collect()
+    assert len(out) == 1
+    return out[0]
+
+
+def test_vwap_golden(spark):
+    r = one_window(spark, [("AAPL", 100, 200, 1), ("AAPL", 102, 300, 2), ("AAPL", 101, 500, 3)])
+    assert r.vwap == pytest.approx(101.1, abs=1e-12)
+    assert r.volume == 1000 and r.trade_count == 3
+    assert (r.high, r.low) == (102.0, 100.0)
+
+
+def test_volatility_population(spark):
+    rows = [("AAPL", p, 1, i) for i, p in enumerate([100, 102, 101, 99, 103])]
+    r = one_window(spark, rows)
+    assert r.volatility == pytest.approx(round(math.sqrt(2.0), 8), abs=1e-12)
+
+
+@pytest.mark.parametrize("prices,expected", [
+    ([90, 110, 100], 50.0),               # mean in the middle of the range
+    ([90, 110, 108, 108, 108, 108, 108, 108, 108, 108], None),
+])
+def test_rsi_proxy(spark, prices, expected):
+    rows = [("AAPL", p, 1, i) for i, p in enumerate(prices)]
+    r = one_window(spark, rows)
+    mean = sum(prices) / len(prices)
+    want = expected if expected is not None else round((mean - 90) / 20 * 100, 2)
+    assert r.rsi == pytest.approx(want, abs=1e-9)
+
+
+def test_rsi_bullish_bearish(spark):
+    # range 90..110: mean 108 -> 90 (bullish), mean 92 -> 10 (bearish)
+    bull = [("A", 90, 1, 0)] + [("A", 110, 1, 1 + i) for i in range(9)]
+    bear = [("B", 110, 1, 0)] + [("B", 90, 1, 1 + i) for i in range(9)]
+    assert one_window(spark, bull).rsi == 90.0
+    assert one_window(spark, bear).rsi == 10.0
+
+
+def test_rsi_flat_window(spark):
+    r = one_window(spark, [("A", 100, 5, 0), ("A", 100, 7, 1)])
+    assert r.rsi == 50.0 and r.volatility == 0.0
+
+
+def test_zero_volume_vwap_is_null(spark):
+    r = one_window(spark, [("A", 100, 0, 0), ("A", 101, 0, 1)])
+    assert r.vwap is None and r.volume == 0
+
+
+def test_sliding_membership_and_bounds(spark):
+    # 1-minute windows sliding by 30 s: a trade at 10:00:45 is in [10:00:00,10:01:00) and [10:00:30,10:01:30)
+    df = window_metrics(trades_df(spark, [("A", 10, 1, 45)]), "1 minute", "30 seconds")
+    got = sorted((r.window_start, r.window_end) for r in df.collect())
+    assert got == [(ts(0), ts(60)), (ts(30), ts(90))]
+    # half-open: a trade exactly at 10:01:00 is not in [10:00:00, 10:01:00)
+    df2 = window_metrics(trades_df(spark, [("A", 10, 1, 60)]), "1 minute", "30 seconds")
+    assert sorted(r.window_start for r in df2.collect()) == [ts(30), ts(60)]
+
+
+def test_empty_windows_not_emitted(spark):
+    df = window_metrics(trades_df(spark, [("A", 10, 1, 0), ("A", 11, 1, 600)]), "1 minute", "30 seconds")
+    assert df.count() == 4
+
+
+def test_vwap_rounding_is_exact_half_up(spark):
+    # Σpv/Σv = 50.9728125 exactly (a tie at 6 places) -> 50.972813
+    rows = [("A", 50.97, 31, 0), ("A", 50.98, 1, 1)]
+    r = one_window(spark, rows)
+    exact = (50.97 * 31 + 50.98) / 32
+    assert abs(r.vwap - exact) <= 5e-7
+    assert r.vwap == 50.970313  # 50.9703125 -> half up
+
+
+def test_window_metrics_plan_is_single_shuffle(spark):
+    df = window_metrics(trades_df(spark, [("A", 10, 1, 0)]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "partial_sum" in plan  # map-side combine before the shuffle
