@@ -15,6 +15,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     On a cluster the launcher supplies master, memory and ``spark.checkpoint.dir``;
     this helper only fills in what is unset.
     """
+    _export_package_path()
     cpus = os.environ.get("BENCH_CPUS", "8")
     b = SparkSession.builder.appName(app_name)
     if master or not os.environ.get("SPARK_MASTER"):
@@ -40,6 +41,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _export_package_path() -> None:
+    """Python workers (stateful streaming processor) must import this package. In
+    local mode they inherit the JVM's environment, fixed when the JVM starts; on a
+    cluster ship the package with ``--py-files`` instead."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *parts])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -88,3 +88,38 @@ class Fixture:
 
     def anomaly_as_of(self) -> Column:
         return self.as_of(self.anomaly_metrics())
+
+
+# Fixed value: a far-future trade appended after the landed files advances the
+# watermark past every real window so the last windows close (append mode).
+SENTINEL_TIME = "2100-01-01 00:00:00"
+SENTINEL_SYMBOL = "~SENTINEL"
+
+
+def land_raw_trades(fx: Fixture, out_dir: str, n_files: int = 6, sentinel: bool = True) -> list[str]:
+    """Write the fixture trades as RAW_TRADE parquet files in event-time order.
+
+    Each file is written by its own job so file modification times follow event
+    time (a file stream source reads oldest first). Returns the file folders'
+    parent ``out_dir`` contents in order. Test/bench input preparation only.
+    """
+    raw = fx.trades.select("symbol", "price", "volume",
+                           F.col("event_time").cast("timestamp").alias("timestamp"),
+                           "exchange", "trade_id")
+    bounds = raw.select(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    span = (bounds.hi - bounds.lo) / n_files
+    written = []
+    for i in range(n_files):
+        lo = bounds.lo + span * i
+        cond = F.col("timestamp") >= F.lit(lo)
+        if i < n_files - 1:
+            cond = cond & (F.col("timestamp") < F.lit(bounds.lo + span * (i + 1)))
+        raw.filter(cond).coalesce(1).write.mode("append").parquet(out_dir)
+        written.append(out_dir)
+    if sentinel:
+        s = fx.spark.createDataFrame(
+            [(SENTINEL_SYMBOL, 1.0, 1, None, "X0", "sentinel")],
+            "symbol string, price double, volume bigint, timestamp timestamp, exchange string, "
+            "trade_id string").withColumn("timestamp", F.to_timestamp(F.lit(SENTINEL_TIME)))
+        s.coalesce(1).write.mode("append").parquet(out_dir)
+    return written
