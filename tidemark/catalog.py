@@ -66,9 +66,9 @@ FROM base"""
 @register("rolling_baseline", f"WITH {O.TRADES},\n{O.MH},\n{O.BASE}\n{_BASE_OUT}")
 def q_rolling_baseline(spark, sf):
     """O-20/O-21: previous-20-window stats per symbol (chunked + halo, no per-symbol task)."""
-    m = Fixture(spark, sf).anomaly_metrics().select("symbol", "window_start", "window_end",
-                                                   "vwap", "volume", "volatility")
-    b = anomaly.rolling_baseline(m, checkpoint=True)
+    m = Fixture(spark, sf).anomaly_table.select("symbol", "window_start", "window_end",
+                                                "vwap", "volume", "volatility")
+    b = anomaly.rolling_baseline(m)
     return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
                     "hist_n", "price_n",
                     round_half_up("price_mean", 6).alias("price_mean"),

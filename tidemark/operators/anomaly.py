@@ -75,15 +75,21 @@ def _finish(df: DataFrame, halo: Column | None = None) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared ``spark.checkpoint.dir``.
+    """Write ``df`` as a Parquet table under the session's shared ``spark.checkpoint.dir``
+    and read it back.
 
     Used where one intermediate feeds two branches of a plan (Spark cannot reuse
     the exchange when the branches prune columns differently): the upstream work
-    runs once and a lost executor re-reads files instead of recomputing lineage.
+    runs exactly once (an RDD checkpoint would compute it twice unless cached),
+    lineage is cut, a lost executor re-reads files instead of recomputing, and
+    the branches get columnar, pruned scans.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, "tidemark-tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
@@ -116,18 +122,21 @@ def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
 
     if checkpoint:
         m = materialize(m)
-    body = m.withColumn("_chunk", time_bucket(order_col, chunk)).repartition("symbol", "_chunk")
+    chunked = m.withColumn("_chunk", time_bucket(order_col, chunk))
+    body = chunked.repartition("symbol", "_chunk")
     ordered = Window.partitionBy("symbol", "_chunk").orderBy(order_col)
-    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w_in = body.select("*", *_frame_sums(ordered.rowsBetween(-history, -1)),
-                       F.row_number().over(ordered).alias("_rn"),
-                       F.count(F.lit(1)).over(whole).alias("_cnt"))
-
-    # tails: last `history` rows of each chunk, kept as (order, sums) structs
-    tails = (w_in.filter(F.col("_rn") > F.col("_cnt") - F.lit(history))
-                 .groupBy("symbol", "_chunk")
-                 .agg(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_x").alias("x")))
-                      .alias("_tail")))
+                       F.row_number().over(ordered).alias("_rn"))
+
+    # tails: last `history` rows of each chunk. `row_number() <= k` is planned as a
+    # WindowGroupLimit whose partial half runs before the shuffle, so at most k rows
+    # per (task, symbol, chunk) cross the network.
+    rank = F.row_number().over(Window.partitionBy("symbol", "_chunk").orderBy(F.col(order_col).desc()))
+    tails = (chunked.select("symbol", "_chunk", order_col, "_x", rank.alias("_rk"))
+                    .filter(F.col("_rk") <= history)
+                    .groupBy("symbol", "_chunk")
+                    .agg(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_x").alias("x")))
+                         .alias("_tail")))
     # halo of chunk c: last `history` tail rows of the ≤ `history` non-empty chunks before c
     prev = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(-history, -1)
     h = F.array_sort(F.flatten(F.collect_list("_tail").over(prev)))
