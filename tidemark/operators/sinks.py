@@ -70,8 +70,12 @@ def audit_rows(alerts: DataFrame, created_at: Column | None = None) -> DataFrame
     """Alert audit rows (O-36): the 11 alert columns plus acknowledged=false and
     detected_at defaulted to now when absent; ``id`` is a unique, non-consecutive
     bigint (no global ordering pass)."""
-    det = F.coalesce(F.col("detected_at"), F.current_timestamp()) if "detected_at" in alerts.columns \
-        else F.current_timestamp()
+    if "detected_at" in alerts.columns:
+        # keep the column's own type (timestamp or timestamp_ntz)
+        now = F.current_timestamp().cast(alerts.schema["detected_at"].dataType)
+        det = F.coalesce(F.col("detected_at"), now)
+    else:
+        det = F.current_timestamp()
     out = (alerts.withColumn("detected_at", det)
                  .withColumn("acknowledged", F.lit(False))
                  .withColumn("id", F.monotonically_increasing_id()))

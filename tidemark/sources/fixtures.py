@@ -51,6 +51,8 @@ class Fixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # driver timestamps are naive UTC wall-clock values
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
