@@ -130,3 +130,9 @@ def test_keyed_json_and_annotations(spark):
     ann = sinks.alert_annotations(a.withColumn("message", F.lit(None).cast("string"))).first()
     assert ann.tags == ["VOLUME_SPIKE", "INFO", "AAPL"] and ann.text == "Anomaly detected"
     assert ann.dashboardUID == ""
+
+
+def test_history_member_packing(spark):
+    m = metric_table(spark, [("A", 60, 102.0, 100.5, 101.1)])
+    got = m.select(views.history_member(m).alias("h")).first().h
+    assert got == "101.1|0.1|50.0|10|2|102.0|100.5"

@@ -25,6 +25,10 @@ VOLATILITY_MULTIPLIER = 3.0
 PRICE_SEVERITY = (4.0, 3.0)
 VOLUME_SEVERITY = (10.0, 7.0)
 VOLATILITY_SEVERITY = (6.0, 4.0)
+# Alert message formats (Java formatter syntax, as the reference's JVM formatting).
+PRICE_MESSAGE = "%s VWAP anomaly: Z-score=%.4f, current=$%.2f, baseline=$%.2f"
+VOLUME_MESSAGE = "%s volume spike: %.1fx above average (current=%d, avg=%d)"
+VOLATILITY_MESSAGE = "%s volatility spike: %.1fx above rolling average"
 
 DEFAULT_CHUNK = "1 day"
 _VALUES = ("vwap", "volume", "volatility")
@@ -172,7 +176,7 @@ def price_signal(price_z: float = PRICE_Z_THRESHOLD, detected_at: Column | None
     """PRICE_ANOMALY struct or NULL. Needs rolling_baseline columns."""
     z = safe_ratio(F.col("vwap") - F.col("price_mean"), F.col("price_std"))
     fire = (F.col("price_n") > 0) & (F.col("price_std") > 0) & (F.abs(z) > F.lit(price_z))
-    msg = F.format_string("%s VWAP anomaly: Z-score=%.4f, current=$%.2f, baseline=$%.2f",
+    msg = F.format_string(PRICE_MESSAGE,
                           F.col("symbol"), z, F.col("vwap"), F.col("price_mean"))
     a = _alert(F.col("symbol"), "PRICE_ANOMALY", severity_by_levels(F.abs(z), *PRICE_SEVERITY),
                round_half_up(z, 4), price_z, F.col("vwap"), round_half_up(F.col("price_mean"), 6),
@@ -185,7 +189,7 @@ def volume_signal(volume_x: float = VOLUME_MULTIPLIER, detected_at: Column | Non
     mean = F.col("volume_mean")
     ratio = safe_ratio(F.col("volume").cast("double"), mean)
     fire = (F.col("hist_n") > 0) & (mean > 0) & (F.col("volume") > mean * F.lit(volume_x))
-    msg = F.format_string("%s volume spike: %.1fx above average (current=%d, avg=%d)",
+    msg = F.format_string(VOLUME_MESSAGE,
                           F.col("symbol"), ratio, F.col("volume"), mean.cast("bigint"))
     a = _alert(F.col("symbol"), "VOLUME_SPIKE", severity_by_levels(ratio, *VOLUME_SEVERITY),
                round_half_up(ratio, 4), volume_x, F.col("volume").cast("double"),
@@ -199,7 +203,7 @@ def volatility_signal(volatility_x: float = VOLATILITY_MULTIPLIER,
     mean = F.col("volatility_mean")
     ratio = safe_ratio(F.col("volatility"), mean)
     fire = (F.col("hist_n") > 0) & (mean > 0) & (F.col("volatility") > mean * F.lit(volatility_x))
-    msg = F.format_string("%s volatility spike: %.1fx above rolling average", F.col("symbol"), ratio)
+    msg = F.format_string(VOLATILITY_MESSAGE, F.col("symbol"), ratio)
     a = _alert(F.col("symbol"), "VOLATILITY_SPIKE", severity_by_levels(ratio, *VOLATILITY_SEVERITY),
                round_half_up(ratio, 4), volatility_x, round_half_up(F.col("volatility"), 8),
                round_half_up(mean, 8), msg, F.col("window_start"), F.col("window_end"), detected_at)
