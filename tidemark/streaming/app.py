@@ -60,43 +60,69 @@ class StreamPaths:
         return f"{self.root}/enriched"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
 
+def _batch_dirs(spark: SparkSession, root: str) -> list[int]:
+    """batch ids of ``root/batch_id=N`` folders (names only, one directory listing)."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    ids = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            ids.append(int(name.split("=", 1)[1]))
+    return sorted(ids)
 
-def _previous(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    if not path_exists(spark, root):
-        return None
-    df = spark.read.parquet(root).filter(F.col("batch_id") < F.lit(batch_id))
-    return df
 
+def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int = 3) -> None:
+    """New snapshot = previous snapshot ⊕ this batch, latest row per symbol.
 
-def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int) -> None:
+    The previous snapshot is the newest ``batch_id`` folder below this batch (a
+    replay of batch N reads N-1's snapshot again); only the newest ``keep``
+    snapshots are retained so the folder stays small on a long-running stream.
+    """
     spark = batch.sparkSession
     cur = batch.select(*METRIC_COLUMNS, F.unix_millis(F.current_timestamp()).alias("updated_at"))
-    prev = _previous(spark, paths.latest, batch_id)
-    if prev is not None:
-        last = prev.select(F.max("batch_id")).scalar()
-        cur = cur.unionByName(prev.filter(F.col("batch_id") == last).drop("batch_id"))
+    older = [b for b in _batch_dirs(spark, paths.latest) if b < batch_id]
+    if older:
+        prev = spark.read.parquet(f"{paths.latest}/batch_id={older[-1]}")
+        cur = cur.unionByName(prev.select(*cur.columns))
     snap = latest_per_key(cur, "symbol", "window_end")
-    (snap.coalesce(1).write.mode("overwrite").parquet(f"{paths.latest}/batch_id={batch_id}"))
+    snap.coalesce(1).write.mode("overwrite").parquet(f"{paths.latest}/batch_id={batch_id}")
+    fs, _ = _fs(spark, paths.latest)
+    for b in older[:-max(keep - 1, 1)]:
+        fs.delete(_fs(spark, f"{paths.latest}/batch_id={b}")[1], True)
 
 
 def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_at) -> None:
+    """Alerts of the batch, first-wins per de-dup key, minus keys persisted by earlier
+    batches. Keys share the date of their window_start, so only the date folders this
+    batch touches are listed and read (a handful of distinct dates per micro-batch)."""
     spark = batch.sparkSession
-    alerts = alerts_from_baseline(batch, detected_at=detected_at)
-    keyed = dedup_alerts(alerts, keep_key=True)
-    prev = _previous(spark, paths.alerts, batch_id)
-    if prev is not None:
-        # keys persisted by earlier batches, read only from the dates this batch touches
-        dates = keyed.select(F.to_date("window_start").alias("dt")).distinct()
-        seen = prev.join(dates, "dt", "left_semi").select("dedup_key")
-        keyed = keyed.join(seen, "dedup_key", "left_anti")
-    rows = audit_rows(keyed).select(*ALERT_COLUMNS, "dedup_key", "acknowledged",
-                                    F.current_timestamp().alias("created_at"))
-    append_batch(rows, paths.alerts, batch_id, ts_col="window_start")
+    keyed = dedup_alerts(alerts_from_baseline(batch, detected_at=detected_at), keep_key=True)
+    keyed = keyed.persist()
+    try:
+        dates = [r.dt for r in keyed.select(F.to_date("window_start").alias("dt")).distinct().collect()]
+        folders = [f"{paths.alerts}/dt={d}" for d in dates if path_exists(spark, f"{paths.alerts}/dt={d}")]
+        if folders:
+            seen = (spark.read.option("basePath", paths.alerts).parquet(*folders)
+                    .filter(F.col("batch_id") < F.lit(batch_id)).select("dedup_key"))
+            keyed = keyed.join(seen, "dedup_key", "left_anti")
+        rows = audit_rows(keyed).select(*ALERT_COLUMNS, "dedup_key", "acknowledged",
+                                        F.current_timestamp().alias("created_at"))
+        append_batch(rows, paths.alerts, batch_id, ts_col="window_start")
+    finally:
+        keyed.unpersist()
 
 
 def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, parallel: bool = True):
@@ -170,8 +196,10 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
 def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None = None) -> DataFrame:
     """Latest-state snapshot of the newest batch (optionally with the TTL predicate)."""
     root = StreamPaths(out_root.rstrip("/")).latest
-    df = spark.read.parquet(root)
-    snap = df.filter(F.col("batch_id") == df.select(F.max("batch_id")).scalar()).drop("batch_id")
+    ids = _batch_dirs(spark, root)
+    if not ids:
+        raise FileNotFoundError(f"no latest-state snapshot under {root}")
+    snap = spark.read.parquet(f"{root}/batch_id={ids[-1]}")
     if ttl is None:
         return snap
     from ..functions.timecols import as_interval, resolve_as_of
