@@ -56,3 +56,47 @@ def test_partitioned_layout_prunes_dates(spark):
     assert q.count() == 2
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "PushedFilters" in plan
+
+
+def _zigzag(n: int) -> bytes:
+    z = (n << 1) ^ (n >> 63)
+    out = bytearray()
+    while True:
+        b = z & 0x7F
+        z >>= 7
+        if z:
+            out.append(b | 0x80)
+        else:
+            out.append(b)
+            return bytes(out)
+
+
+def _encode_trade(symbol, price, volume, ts_ms, exchange, trade_id) -> bytes:
+    import struct
+    s = lambda x: _zigzag(len(x.encode())) + x.encode()
+    body = s(symbol) + struct.pack("<d", price) + _zigzag(volume) + _zigzag(ts_ms) + s(exchange) + s(trade_id)
+    return b"\x00\x00\x00\x00\x2a" + body   # magic byte + schema id 42
+
+
+def test_framed_avro_decode(spark):
+    import datetime as dt
+
+    import pytest
+
+    from tidemark.sources.trades import clean_trades, decode_framed_avro
+    t_ms = 1704103200123
+    rows = [(bytearray(_encode_trade("AAPL", 175.25, 300, t_ms, "NASDAQ", "u-1")), ts(0)),
+            (bytearray(_encode_trade("MSFT", -1.0, 5, t_ms, "NYSE", "u-2")), ts(1))]
+    kafka = spark.createDataFrame(rows, "value binary, timestamp timestamp")
+    out = decode_framed_avro(kafka).collect()
+    assert out[0].symbol == "AAPL" and out[0].price == 175.25 and out[0].volume == 300
+    assert out[0]["timestamp"] == dt.datetime(2024, 1, 1, 10, 0, 0, 123000)
+    assert out[0].trade_id == "u-1" and out[0].kafka_timestamp == ts(0)
+    # event time = broker timestamp; the non-positive price row is dropped
+    clean = clean_trades(decode_framed_avro(kafka)).collect()
+    assert [(r.symbol, r.event_time) for r in clean] == [("AAPL", ts(0))]
+    bad = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x2a\x08AA"), ts(0))],
+                                "value binary, timestamp timestamp")
+    with pytest.raises(Exception):
+        decode_framed_avro(bad).collect()
+    assert decode_framed_avro(bad, mode="PERMISSIVE").first().symbol is None

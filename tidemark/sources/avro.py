@@ -1,0 +1,128 @@
+"""Avro binary decoding for flat records when the spark-avro module is not loaded.
+
+``from_avro`` (JVM) is preferred; this Arrow-batched pandas UDF is the fallback
+for flat records of primitive fields, ``["null", T]`` unions and the
+``timestamp-millis`` / ``timestamp-micros`` logical types — enough for the trade
+record. Decoding is inherently per message; the helper only walks the bytes.
+"""
+
+from __future__ import annotations
+
+import json
+import struct
+
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
+
+_PRIM = {"string": T.StringType(), "bytes": T.BinaryType(), "double": T.DoubleType(),
+         "float": T.FloatType(), "long": T.LongType(), "int": T.IntegerType(),
+         "boolean": T.BooleanType()}
+
+
+def _field_type(t):
+    if isinstance(t, list):
+        non_null = [x for x in t if x != "null"]
+        if len(non_null) != 1:
+            raise ValueError(f"unsupported union {t}")
+        return _field_type(non_null[0])
+    if isinstance(t, dict):
+        lt = t.get("logicalType")
+        if lt in ("timestamp-millis", "timestamp-micros"):
+            return T.TimestampType()
+        return _field_type(t["type"])
+    if t not in _PRIM:
+        raise ValueError(f"unsupported Avro type {t!r}")
+    return _PRIM[t]
+
+
+def spark_schema(schema_json: str) -> T.StructType:
+    rec = json.loads(schema_json)
+    if rec.get("type") != "record":
+        raise ValueError("a record schema is required")
+    return T.StructType([T.StructField(f["name"], _field_type(f["type"])) for f in rec["fields"]])
+
+
+class _Reader:
+    def __init__(self, buf: bytes):
+        self.b, self.i = buf, 0
+
+    def long(self) -> int:
+        shift = result = 0
+        while True:
+            byte = self.b[self.i]
+            self.i += 1
+            result |= (byte & 0x7F) << shift
+            if not byte & 0x80:
+                break
+            shift += 7
+        return (result >> 1) ^ -(result & 1)
+
+    def take(self, n: int) -> bytes:
+        if self.i + n > len(self.b):
+            raise ValueError("truncated Avro payload")
+        out = self.b[self.i:self.i + n]
+        self.i += n
+        return out
+
+
+def _read(r: _Reader, t):
+    if isinstance(t, list):
+        return _read(r, t[r.long()])
+    if isinstance(t, dict):
+        v = _read(r, t["type"])
+        lt = t.get("logicalType")
+        if lt == "timestamp-millis":
+            return pd.Timestamp(v, unit="ms")
+        if lt == "timestamp-micros":
+            return pd.Timestamp(v, unit="us")
+        return v
+    if t == "null":
+        return None
+    if t in ("long", "int"):
+        return r.long()
+    if t == "double":
+        return struct.unpack("<d", r.take(8))[0]
+    if t == "float":
+        return struct.unpack("<f", r.take(4))[0]
+    if t == "boolean":
+        return r.take(1) != b"\x00"
+    if t == "string":
+        return r.take(r.long()).decode("utf-8")
+    if t == "bytes":
+        return r.take(r.long())
+    raise ValueError(f"unsupported Avro type {t!r}")
+
+
+def decode_record(payload: bytes, fields: list) -> tuple:
+    r = _Reader(bytes(payload))
+    out = tuple(_read(r, f["type"]) for f in fields)
+    if r.i != len(r.b):
+        raise ValueError("trailing bytes after Avro record")
+    return out
+
+
+def from_avro_flat(col: Column | str, schema_json: str, mode: str = "FAILFAST") -> Column:
+    """Decode Avro binary ``col`` into a struct (FAILFAST raises, PERMISSIVE yields NULL)."""
+    rec = json.loads(schema_json)
+    fields = rec["fields"]
+    out_type = spark_schema(schema_json)
+    names = [f["name"] for f in fields]
+    strict = mode.upper() == "FAILFAST"
+
+    @F.pandas_udf(out_type)
+    def _decode(values: pd.Series) -> pd.DataFrame:
+        rows = []
+        for v in values:
+            if v is None:
+                rows.append((None,) * len(names))
+                continue
+            try:
+                rows.append(decode_record(v, fields))
+            except (ValueError, IndexError, UnicodeDecodeError, struct.error):
+                if strict:
+                    raise
+                rows.append((None,) * len(names))
+        return pd.DataFrame(rows, columns=names)
+
+    c = F.col(col) if isinstance(col, str) else col
+    return _decode(c)

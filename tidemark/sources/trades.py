@@ -45,23 +45,33 @@ def strip_wire_header(value: Column | str = "value") -> Column:
     return F.substring(c, WIRE_HEADER_BYTES + 1, 2_147_483_647)
 
 
-def decode_framed_avro(kafka_rows: DataFrame, schema_json: str = RAW_TRADE_AVRO) -> DataFrame:
+def decode_framed_avro(kafka_rows: DataFrame, schema_json: str = RAW_TRADE_AVRO,
+                       mode: str = "FAILFAST") -> DataFrame:
     """Kafka rows -> (trade struct fields..., kafka_timestamp).
 
-    Requires the spark-avro package on the classpath (FAILFAST: a bad payload
-    fails the batch, as in the original job).
+    Uses the JVM ``from_avro`` when the spark-avro module is loaded, otherwise the
+    Arrow-batched flat-record decoder. FAILFAST (default) fails the batch on a bad
+    payload, as the original job does.
     """
-    try:
+    payload = strip_wire_header("value")
+    if _jvm_avro_loaded(kafka_rows.sparkSession):
         from pyspark.sql.avro.functions import from_avro
-    except ImportError as exc:  # pragma: no cover - pyspark always ships the wrapper
-        raise RuntimeError("spark-avro is not available") from exc
-    decoded = kafka_rows.select(
-        from_avro(strip_wire_header("value"), schema_json).alias("trade"),
-        F.col("timestamp").alias("kafka_timestamp"),
-    )
+        trade = from_avro(payload, schema_json, {"mode": mode})
+    else:
+        from .avro import from_avro_flat
+        trade = from_avro_flat(payload, schema_json, mode)
+    decoded = kafka_rows.select(trade.alias("trade"), F.col("timestamp").alias("kafka_timestamp"))
     return decoded.select("trade.*", "kafka_timestamp")
 
 
+def _jvm_avro_loaded(spark: SparkSession) -> bool:
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
+        return True
+    except Exception:
+        return False
+
+
 def clean_trades(raw: DataFrame, event_time: str = "kafka_timestamp") -> DataFrame:
     """Project to the TRADES contract and drop invalid rows.
 
