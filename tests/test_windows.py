@@ -85,3 +85,9 @@ def test_window_metrics_plan_is_single_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "partial_sum" in plan  # map-side combine before the shuffle
+
+
+def test_vwap_overflow_falls_back_to_double(spark):
+    # price 1000 (1e11 units) x volume 1e8 overflows a 64-bit product: no error, double path
+    r = one_window(spark, [("A", 1000.0, 100_000_000, 0), ("A", 1002.0, 100_000_000, 1)])
+    assert r.vwap == 1001.0 and r.volume == 200_000_000 and r.rsi == 50.0
