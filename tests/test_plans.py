@@ -46,3 +46,16 @@ def test_serving_top_k_and_pushdown_on_tables(spark):
     assert "TakeOrderedAndProject" in p
     assert "EqualTo(symbol,PURCHASE)" in p
     assert 0 < h.count() <= 50
+
+
+def test_serving_time_filters_prune_date_partitions(spark):
+    import datetime as dt
+    path = tempfile.mkdtemp(prefix="tidemark-plan-") + "/metrics"
+    sinks.write_metrics_table(Fixture(spark, SF_SMALL).metrics_table(), path, mode="overwrite")
+    t = spark.read.parquet(path)
+    asof = F.lit(dt.datetime(2024, 1, 20, 12, 0)).cast("timestamp_ntz")
+    for df in (serving.recent_metrics(t, as_of=asof, lookback="6 hours"),
+               serving.history(t, "click", start=asof - F.expr("INTERVAL 2 DAYS"), end=asof)):
+        p = plan(df)
+        assert "PartitionFilters: [isnotnull(dt" in p and "(dt#" in p.split("PartitionFilters")[1][:200]
+        assert df.count() > 0

@@ -74,3 +74,25 @@ def resolve_as_of(as_of, reference: DataFrame | None = None, column: str | None
     if isinstance(as_of, dt.datetime):
         return F.lit(as_of)
     return F.to_timestamp(F.lit(as_of))
+
+
+def time_range_filter(df: DataFrame, col: str, lo: Column | None = None, hi: Column | None = None,
+                      partition_source: str = "window_start") -> DataFrame:
+    """``lo <= col <= hi`` plus the implied bounds on the ``dt`` partition column.
+
+    Tables written by :mod:`tidemark.operators.sinks` are partitioned by
+    ``dt = date(window_start)``; a predicate on the timestamp alone does not prune
+    partitions, so the date bounds are added explicitly. When filtering on a later
+    timestamp (``detected_at >= window_start``) only the upper bound carries over.
+    """
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col(col) >= lo)
+    if hi is not None:
+        cond = cond & (F.col(col) <= hi)
+    if "dt" in df.columns:
+        if lo is not None and col == partition_source:
+            cond = cond & (F.col("dt") >= F.to_date(lo))
+        if hi is not None and (col == partition_source or col == "detected_at"):
+            cond = cond & (F.col("dt") <= F.to_date(hi))
+    return df.filter(cond)

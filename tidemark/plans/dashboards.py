@@ -12,19 +12,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.timecols import as_interval, epoch_seconds_between, resolve_as_of
+from ..functions.timecols import as_interval, epoch_seconds_between, resolve_as_of, time_range_filter
 
 
 def _range(df: DataFrame, col: str, start, end, as_of, lookback: str, ref_col: str) -> DataFrame:
     now = resolve_as_of(as_of, df, ref_col)
     hi = now if end is None else (end if isinstance(end, Column) else F.lit(end))
     lo = (hi - as_interval(lookback)) if start is None else (start if isinstance(start, Column) else F.lit(start))
-    return df.filter(F.col(col).between(lo, hi))
+    return time_range_filter(df, col, lo, hi)
 
 
 def _since(df: DataFrame, col: str, lookback: str, as_of, ref_col: str) -> DataFrame:
     now = resolve_as_of(as_of, df, ref_col)
-    return df.filter(F.col(col) >= now - as_interval(lookback))
+    return time_range_filter(df, col, now - as_interval(lookback))
 
 
 def vwap_series(metrics, start=None, end=None, as_of=None, lookback="1 hour"):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import round_half_up
-from ..functions.timecols import as_interval, epoch_millis, resolve_as_of
+from ..functions.timecols import as_interval, epoch_millis, resolve_as_of, time_range_filter
 from ..operators.views import top_mover_scores
 from ..schemas import ALERT_TYPES, SEVERITIES
 
@@ -58,9 +58,9 @@ def history(metrics_table: DataFrame, symbol: str, start=None, end=None, limit:
         (start if not isinstance(start, str) else F.to_timestamp(F.lit(start)))
     cols = ["symbol", "window_start", "window_end", "vwap", "volatility", "rsi", "volume",
             "trade_count", "high", "low"]
-    return (metrics_table.filter((F.col("symbol") == F.lit(symbol.upper()))
-                                 & (F.col("window_start") >= lo) & (F.col("window_start") <= hi))
-                         .select(*cols)
+    d = time_range_filter(metrics_table.filter(F.col("symbol") == F.lit(symbol.upper())),
+                          "window_start", lo, hi)
+    return (d.select(*cols)
                          .orderBy(F.col("window_start").desc())
                          .limit(limit))
 
@@ -77,7 +77,8 @@ def top_movers(metrics: DataFrame, n: int = 10) -> DataFrame:
 def _alert_filters(alerts_df: DataFrame, symbol, severity, alert_type, hours: int, as_of):
     _check_range("hours", hours, 1, 168)
     now = resolve_as_of(as_of, alerts_df, "detected_at")
-    cond = F.col("detected_at") >= now - as_interval(f"{hours} hours")
+    alerts_df = time_range_filter(alerts_df, "detected_at", now - as_interval(f"{hours} hours"))
+    cond = F.lit(True)
     if symbol:
         cond = cond & (F.col("symbol") == F.lit(symbol.upper()))
     if severity:
@@ -125,7 +126,7 @@ def recent_metrics(metrics_table: DataFrame, as_of=None, lookback: str = "1 hour
                    limit: int = 100) -> DataFrame:
     """All symbols' windows of the last hour, newest first, 5 columns (O-49)."""
     now = resolve_as_of(as_of, metrics_table, "window_end")
-    return (metrics_table.filter(F.col("window_start") >= now - as_interval(lookback))
+    return (time_range_filter(metrics_table, "window_start", now - as_interval(lookback))
                          .select("symbol", "window_start", "vwap", "volatility", "volume")
                          .orderBy(F.col("window_start").desc(), "symbol")
                          .limit(limit))
