@@ -72,3 +72,41 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
+                 executor_memory_gb: float = 16.0) -> dict[str, str]:
+    """Suggested settings for a large cluster run (pass to ``spark-submit --conf``).
+
+    * Scans: 256 MB splits — trade files are read once per job and every scan
+      feeds a partial aggregate, so larger splits mean fewer tasks, not more spill.
+    * Shuffles: the heavy aggregation shuffles pre-aggregated (symbol, window)
+      rows, far smaller than the input; start with ~3 partitions per core (at
+      least input/1 GB) and let AQE coalesce to ~128 MB partitions and split skew.
+    * State: RocksDB with changelog checkpointing keeps streaming state off-heap.
+    * Executor loss: decommissioning migrates shuffle blocks; reliable checkpoint
+      files in the shared ``spark.checkpoint.dir`` are cleaned when unreferenced.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(3 * cores, int(input_bytes / (1 << 30)))
+    per_task_mb = executor_memory_gb * 1024 * 0.6 / max(1, cores_per_executor)
+    split_mb = 256 if per_task_mb >= 1024 else 128
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "10m",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.ui.enabled": "false",
+    }
