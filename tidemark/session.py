@@ -81,14 +81,16 @@ def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
     * Scans: 256 MB splits — trade files are read once per job and every scan
       feeds a partial aggregate, so larger splits mean fewer tasks, not more spill.
     * Shuffles: the heavy aggregation shuffles pre-aggregated (symbol, window)
-      rows, far smaller than the input; start with ~3 partitions per core (at
-      least input/1 GB) and let AQE coalesce to ~128 MB partitions and split skew.
+      rows, a small fraction of the input, so partitions are sized by cores
+      (~3 per core), not by input bytes; AQE coalesces to ~128 MB partitions and
+      splits skew. (One partition per GB of input would mean ~10^5 reducers x
+      ~4·10^5 map tasks of shuffle blocks at 100 TB.)
     * State: RocksDB with changelog checkpointing keeps streaming state off-heap.
     * Executor loss: decommissioning migrates shuffle blocks; reliable checkpoint
       files in the shared ``spark.checkpoint.dir`` are cleaned when unreferenced.
     """
     cores = max(1, executors * cores_per_executor)
-    parts = max(3 * cores, int(input_bytes / (1 << 30)))
+    parts = 3 * cores
     per_task_mb = executor_memory_gb * 1024 * 0.6 / max(1, cores_per_executor)
     split_mb = 256 if per_task_mb >= 1024 else 128
     return {
