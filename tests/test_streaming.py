@@ -137,3 +137,36 @@ def test_dedup_stream_first_wins(spark):
     q.awaitTermination()
     got = sorted((r.window_start, r.severity) for r in spark.sql("select * from dedup_test").collect())
     assert got == [(ts(0), "WARNING"), (ts(300), "WARNING")]
+
+
+def test_progress_listener_and_json_trade_source(spark):
+    import json
+    import time
+
+    from tidemark.streaming.progress import ProgressCollector
+    root = scratch()
+    inp = f"{root}/in"
+    import os
+    os.makedirs(inp)
+    with open(f"{inp}/part-0.json", "w") as f:
+        for i, (s, p, v) in enumerate([("A", 10.0, 1), ("A", 12.0, 3), ("B", 5.0, 2), (None, 1.0, 1)]):
+            f.write(json.dumps({"symbol": s, "price": p, "volume": v, "timestamp": f"2024-01-01T10:00:0{i}Z",
+                                "exchange": "X0", "trade_id": str(i)}) + "\n")
+    static = clean_trades(read_trades(spark, inp, "json", streaming=False), "timestamp")
+    assert static.count() == 3
+    listener = ProgressCollector()
+    spark.streams.addListener(listener)
+    try:
+        trades = clean_trades(read_trades(spark, inp, "json"), "timestamp")
+        q = (trades.writeStream.format("memory").queryName("json_trades")
+             .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+        q.awaitTermination()
+        deadline = time.time() + 10
+        while not listener.events and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert spark.sql("select * from json_trades").count() == 3
+    rows = listener.to_dataframe(spark).filter(F.col("metric_name") == "input_rows").collect()
+    assert sum(r.metric_value for r in rows) == 3.0  # the NULL-symbol row is filtered inside the JSON reader
+    assert rows[0].labels["query"] == "json_trades"
