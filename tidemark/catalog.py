@@ -17,6 +17,7 @@ from .functions.numeric import round_half_up
 from .operators import anomaly, dedup, sinks, views
 from .plans import dashboards as D, serving as S
 from .sources.fixtures import Fixture
+from .sources.alerts import parse_alert_json
 from .sources.quotes import normalize_quotes
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -132,6 +133,17 @@ def q_enriched_json(spark, sf):
     return sinks.to_keyed_json(Fixture(spark, sf).metrics())
 
 
+@register("alerts_json_roundtrip", O.with_alerts("SELECT * FROM alerts"))
+def q_alerts_json_roundtrip(spark, sf):
+    """O-31 + O-3: alerts encoded as keyed JSON messages, then decoded by the alert-stream
+    parser (timestamps travel as ISO text); every message must decode to the same row."""
+    alerts = _alerts(spark, sf)
+    good, _ = parse_alert_json(sinks.to_keyed_json(alerts).select("value"))
+    ntz = alerts.schema["window_start"].dataType
+    return good.select(*[F.col(c).cast(ntz).alias(c) if c in ("window_start", "window_end", "detected_at")
+                         else F.col(c) for c in ALERT_COLS])
+
+
 @register("alert_annotations")
 def q_alert_annotations(spark, sf):
     """O-37: dashboard annotation payloads of the persisted alerts."""
