@@ -205,3 +205,18 @@ def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None
     from ..functions.timecols import as_interval, resolve_as_of
     now = resolve_as_of(as_of)
     return snap.filter(F.col("updated_at") >= epoch_millis(now - as_interval(ttl)))
+
+
+def stop_when_idle(query: StreamingQuery, timeout_s: float = 60.0, poll_s: float = 0.2) -> bool:
+    """Stop ``query`` between micro-batches (graceful stop): wait until no trigger is
+    active, then stop. Returns False when the timeout forced a stop mid-batch — safe
+    either way, since the next start replays the uncommitted batch idempotently."""
+    deadline = time.monotonic() + timeout_s
+    idle = False
+    while time.monotonic() < deadline and query.isActive:
+        if not query.status.get("isTriggerActive", False):
+            idle = True
+            break
+        time.sleep(poll_s)
+    query.stop()
+    return idle
