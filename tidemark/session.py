@@ -55,17 +55,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting always wins; only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    fresh scratch folder is created and registered. Works without a
+    SparkContext handle too (the library only needs the folder path).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    return conf_dir
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
