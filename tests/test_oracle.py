@@ -1,6 +1,5 @@
 """Every registered query vs its DuckDB oracle on sf0.001 (the driver gate runs sf0.01)."""
 import math
-import os
 
 import duckdb
 import pandas as pd

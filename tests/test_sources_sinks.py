@@ -1,7 +1,6 @@
 """Sources and sinks: alert JSON decode, framed-Avro header, quotes, partitioned layout."""
 import tempfile
 
-from pyspark.sql import functions as F
 
 from helpers import ts
 from tidemark.operators.sinks import read_table, to_keyed_json, write_metrics_table

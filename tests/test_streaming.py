@@ -14,7 +14,7 @@ from tidemark.schemas import ALERTS, RAW_TRADE
 from tidemark.sources.fixtures import SENTINEL_SYMBOL, Fixture, land_raw_trades
 from tidemark.sources.trades import clean_trades, read_trades
 from tidemark.streaming.app import StreamPaths, fan_out, read_latest, start_market_stream
-from tidemark.streaming.detector import dedup_stream, stream_baseline
+from tidemark.streaming.detector import dedup_stream
 from tidemark.streaming.progress import progress_rows
 
 METRIC_COLS = ["symbol", "window_start", "window_end", "vwap", "volatility", "rsi", "volume",
