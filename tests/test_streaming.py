@@ -211,3 +211,23 @@ def test_restart_from_checkpoint_equals_batch(spark):
     ba = ba.withColumn("window_start", F.col("window_start").cast("timestamp")) \
            .withColumn("window_end", F.col("window_end").cast("timestamp"))
     _same(sa, ba, ALERT_COLS)
+
+
+def test_stream_history_idle_expiry_resets_after_gap(spark):
+    from tidemark.streaming.detector import stream_baseline
+    root = scratch()
+    inp = f"{root}/in"
+    _land(spark, inp, [("A", 10 + i, 1, ts(60 * i + 5)) for i in range(4)])        # 4 one-minute windows
+    _land(spark, inp, [("A", 20, 1, ts(3 * 3600 + 5)), ("A", 21, 1, ts(3 * 3600 + 65))])  # after a 3 h gap
+    _land(spark, inp, [("A", 1, 1, ts(100000))])
+    trades = clean_trades(read_trades(spark, inp, "parquet", maxFilesPerTrigger=1), "timestamp")
+    m = window_metrics(trades, "1 minute", "1 minute", "30 seconds")
+    for idle, name in ((3600 * 1000, "idle_on"), (None, "idle_off")):
+        q = (stream_baseline(m, idle_ms=idle).writeStream.format("memory").queryName(name)
+             .outputMode("append").option("checkpointLocation", f"{root}/ckpt_{name}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    on = [r.hist_n for r in spark.sql("select * from idle_on order by window_end").collect()]
+    off = [r.hist_n for r in spark.sql("select * from idle_off order by window_end").collect()]
+    assert off[:6] == [0, 1, 2, 3, 4, 5]
+    assert on[:6] == [0, 1, 2, 3, 0, 1]

@@ -85,13 +85,15 @@ class RollingHistory(StatefulProcessor):
             vw, vol, tv, last = [], [], [], None
         out = []
         for r in pdf.itertuples(index=False):
+            end_ms = int(pd.Timestamp(r.window_end).value // 1_000_000)
+            if self.idle_ms and last is not None and end_ms - last > self.idle_ms:
+                vw, vol, tv = [], [], []   # history expired during the gap (event time)
+            last = end_ms if last is None else max(last, end_ms)
             out.append(_stats(vw, vol, tv))
             vw.append(_units(r.vwap, 1e6))
             vol.append(None if pd.isna(r.volume) else int(r.volume))
             tv.append(_units(r.volatility, 1e8))
             vw, vol, tv = vw[-self.history:], vol[-self.history:], tv[-self.history:]
-        end_ms = int(pd.Timestamp(pdf["window_end"].max()).value // 1_000_000)
-        last = end_ms if last is None else max(last, end_ms)
         self.state.update((vw, vol, tv, last))
         if self.idle_ms:
             for t in self.handle.listTimers():
@@ -104,6 +106,8 @@ class RollingHistory(StatefulProcessor):
         yield res[[f.name for f in BASELINE_OUT.fields]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # a symbol silent for idle_ms: drop its state (a returning symbol is also reset
+        # by the gap check in handleInputRows, whichever runs first)
         self.state.clear()
         return iter([])
 
