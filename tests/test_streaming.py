@@ -231,3 +231,13 @@ def test_stream_history_idle_expiry_resets_after_gap(spark):
     off = [r.hist_n for r in spark.sql("select * from idle_off order by window_end").collect()]
     assert off[:6] == [0, 1, 2, 3, 4, 5]
     assert on[:6] == [0, 1, 2, 3, 0, 1]
+
+
+def test_append_progress_rows(spark, streamed):
+    from tidemark.streaming.progress import append_progress
+    _, _, q = streamed
+    path = f"{scratch()}/pipeline_metrics"
+    n = append_progress(spark, q.recentProgress, path)
+    t = spark.read.parquet(path)
+    assert n > 0 and t.count() == n
+    assert {"metric_name", "metric_value", "labels", "recorded_at", "dt"} <= set(t.columns)

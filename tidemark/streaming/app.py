@@ -104,7 +104,8 @@ def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int
         fs.delete(_fs(spark, f"{paths.latest}/batch_id={b}")[1], True)
 
 
-def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_at) -> None:
+def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_at,
+                  kafka_bootstrap: str | None = None) -> None:
     """Alerts of the batch, first-wins per de-dup key, minus keys persisted by earlier
     batches. Keys share the date of their window_start, so only the date folders this
     batch touches are listed and read (a handful of distinct dates per micro-batch)."""
@@ -121,11 +122,25 @@ def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_
         rows = audit_rows(keyed).select(*ALERT_COLUMNS, "dedup_key", "acknowledged",
                                         F.current_timestamp().alias("created_at"))
         append_batch(rows, paths.alerts, batch_id, ts_col="window_start")
+        if kafka_bootstrap:
+            _to_kafka(keyed.select(*ALERT_COLUMNS), kafka_bootstrap, ALERTS_TOPIC)
     finally:
         keyed.unpersist()
 
 
-def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, parallel: bool = True):
+# Topics of the enriched-metrics and alert messages.
+ENRICHED_TOPIC = "enriched-events"
+ALERTS_TOPIC = "alerts"
+
+
+def _to_kafka(df: DataFrame, bootstrap: str, topic: str) -> None:
+    """Keyed JSON rows to a topic (needs the Kafka connector on the classpath)."""
+    (to_keyed_json(df).write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+     .option("topic", topic).save())
+
+
+def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, parallel: bool = True,
+            kafka_bootstrap: str | None = None):
     """foreachBatch body: persist the batch once and feed every sink from it.
 
     ``count()`` fills the cache (and is the empty-batch guard); the sink jobs are
@@ -146,11 +161,14 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
                     batch.select(*METRIC_COLUMNS).withColumn("created_at", F.current_timestamp()),
                     paths.metrics, batch_id, ts_col="window_start"),
                 lambda: _write_latest(batch, paths, batch_id),
-                lambda: _write_alerts(batch, paths, batch_id, detected_at),
+                lambda: _write_alerts(batch, paths, batch_id, detected_at, kafka_bootstrap),
             ]
             if write_json:
                 jobs.append(lambda: to_keyed_json(batch.select(*METRIC_COLUMNS)).write.mode("overwrite")
                             .json(f"{paths.enriched}/batch_id={batch_id}"))
+            if kafka_bootstrap:
+                # at-least-once like any Kafka producer; consumers de-duplicate alerts by key
+                jobs.append(lambda: _to_kafka(batch.select(*METRIC_COLUMNS), kafka_bootstrap, ENRICHED_TOPIC))
             if not parallel:
                 for job in jobs:
                     job()
@@ -171,7 +189,8 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
                         watermark: str = DEFAULT_WATERMARK, history: int = HISTORY_WINDOWS,
                         trigger: dict | None = None, query_name: str = "market-stream",
                         detected_at: Column | str | None = None,
-                        write_json: bool = True, idle_ms: int | None = None) -> StreamingQuery:
+                        write_json: bool = True, idle_ms: int | None = None,
+                        kafka_bootstrap: str | None = None) -> StreamingQuery:
     """Start the single streaming query over a TRADES stream.
 
     ``checkpoint`` defaults to ``<spark.checkpoint.dir>/<query_name>``; ``trigger``
@@ -186,7 +205,7 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
     paths = StreamPaths(out_root.rstrip("/"))
     ckpt = checkpoint or scratch_path(spark, "streams", query_name)
     writer = (enriched.writeStream.queryName(query_name)
-              .foreachBatch(fan_out(paths, detected_at, write_json))
+              .foreachBatch(fan_out(paths, detected_at, write_json, kafka_bootstrap=kafka_bootstrap))
               .option("checkpointLocation", ckpt)
               .outputMode("append")
               .trigger(**(trigger or DEFAULT_TRIGGER)))

@@ -61,3 +61,14 @@ class ProgressCollector(StreamingQueryListener):
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
         with self._lock:
             return progress_rows(spark, list(self.events))
+
+
+def append_progress(spark: SparkSession, progresses, path: str) -> int:
+    """Append pipeline metric rows to a Parquet table partitioned by date of recording."""
+    from pyspark.sql import functions as F
+    rows = progress_rows(spark, progresses)
+    n = rows.count()
+    if n:
+        (rows.withColumn("dt", F.to_date("recorded_at")).write.mode("append")
+         .partitionBy("dt").parquet(path))
+    return n
