@@ -101,8 +101,8 @@ def test_gaps_do_not_count(spark):
 def _cmp(a, b):
     cols = ["symbol", "window_end", "hist_n", "price_n", "price_mean", "price_std",
             "volume_mean", "volatility_mean"]
-    ra = a.select(*cols).orderBy("symbol", "window_end").collect()
-    rb = b.select(*cols).orderBy("symbol", "window_end").collect()
+    ra = a.select(*cols).orderBy(*cols).collect()
+    rb = b.select(*cols).orderBy(*cols).collect()
     assert ra == rb
 
 
@@ -131,3 +131,43 @@ def test_fixture_alert_counts(spark):
     a = Fixture(spark, SF_MID).alerts().groupBy("alert_type").count().collect()
     assert {r.alert_type: r["count"] for r in a} == {
         "PRICE_ANOMALY": 214, "VOLUME_SPIKE": 2, "VOLATILITY_SPIKE": 375}
+
+
+def test_reset_after_gap_golden(spark):
+    # windows 30 s apart, then a 3 h gap, then two more: history restarts after the gap
+    rows = [("A", 30 * (i + 1), 1.0 + i, 1, 0.1) for i in range(4)]
+    rows += [("A", 30 * 4 + 3 * 3600 + 30 * j, 10.0 + j, 1, 0.1) for j in range(1, 3)]
+    m = metrics_df(spark, rows)
+    for chunk in (None, "1 hour", "1 day"):
+        b = rolling_baseline(m, chunk=chunk, reset_after="2 hours").orderBy("window_end").collect()
+        assert [r.hist_n for r in b] == [0, 1, 2, 3, 0, 1], chunk
+        assert b[5].price_mean == 11.0
+
+
+@pytest.mark.parametrize("chunk", ["1 hour", "1 day"])
+def test_reset_after_chunked_equals_unchunked(spark, chunk):
+    m = Fixture(spark, SF_MID).metrics().select("symbol", "window_start", "window_end", "vwap",
+                                                "volume", "volatility")
+    _cmp(rolling_baseline(m, chunk=None, reset_after="2 hours"),
+         rolling_baseline(m, chunk=chunk, reset_after="2 hours"))
+
+
+def test_reset_after_sparse_and_hot(spark):
+    # a dense hot symbol with a 2-hour hole after every 50 windows, and a sparse one
+    rows = [("HOT", 30 * (i + 1) + 7200 * (i // 50), 100 + (i % 13) * 0.5, 5, 0.01 * (i % 7))
+            for i in range(600)]
+    rows += [("COLD", 1800 * k + 30, 50 + k, 3, 0.2) for k in range(40)]
+    m = metrics_df(spark, rows)
+    for chunk in ("10 minutes", "1 hour", "6 hours"):
+        for reset in ("45 minutes", "2 hours"):
+            _cmp(rolling_baseline(m, chunk=None, reset_after=reset),
+                 rolling_baseline(m, chunk=chunk, reset_after=reset))
+
+
+def test_duplicate_window_rows_are_ordered_deterministically(spark):
+    # at-least-once replays can leave two rows for one (symbol, window_end)
+    rows = [("A", 30 * (i + 1), 10.0 + (i % 4), 1 + i % 3, 0.1) for i in range(60)]
+    rows += [("A", 30 * (i + 1), 20.0 + i, 9, 0.3) for i in range(0, 60, 7)]
+    m = metrics_df(spark, rows)
+    for chunk in ("5 minutes", "1 hour"):
+        _cmp(rolling_baseline(m, chunk=None), rolling_baseline(m, chunk=chunk))

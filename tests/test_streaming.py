@@ -241,3 +241,24 @@ def test_append_progress_rows(spark, streamed):
     t = spark.read.parquet(path)
     assert n > 0 and t.count() == n
     assert {"metric_name", "metric_value", "labels", "recorded_at", "dt"} <= set(t.columns)
+
+
+def test_stream_idle_expiry_equals_batch_reset(spark):
+    from tidemark.operators.anomaly import rolling_baseline
+    from tidemark.streaming.detector import IDLE_EXPIRY_MS, stream_baseline
+    root = scratch()
+    fx = Fixture(spark, SF_SMALL)
+    land_raw_trades(fx, f"{root}/in", n_files=3)
+    trades = clean_trades(read_trades(spark, f"{root}/in", "parquet", maxFilesPerTrigger=1), "timestamp")
+    m = window_metrics(trades, "1 hour", "30 minutes", "30 seconds")
+    q = (stream_baseline(m, idle_ms=IDLE_EXPIRY_MS).writeStream.format("memory").queryName("idle_eq")
+         .outputMode("append").option("checkpointLocation", f"{root}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    s = spark.sql("select * from idle_eq").filter(F.col("symbol") != SENTINEL_SYMBOL)
+    b = rolling_baseline(fx.metrics("1 hour", "30 minutes"), reset_after="2 hours")
+    b = b.withColumn("window_end", F.col("window_end").cast("timestamp"))
+    cols = ["symbol", "window_end", "hist_n", "price_n", "price_mean", "price_std", "volume_mean",
+            "volatility_mean"]
+    assert s.count() == b.count() > 0
+    _same(s, b, cols)

@@ -78,6 +78,23 @@ def q_rolling_baseline(spark, sf):
                     round_half_up("volatility_mean", 8).alias("volatility_mean"))
 
 
+@register("rolling_baseline_reset",
+          f"WITH {O.TRADES},\n{O.MH},\n{O.SEGMENTS.format(reset_s=7200)},\n"
+          f"{O._base('segd', 'symbol, seg')}\n{_BASE_OUT}")
+def q_rolling_baseline_reset(spark, sf):
+    """O-20/O-21/O-28: rolling stats whose history expires after a 2-hour gap between a
+    symbol's windows (the live store's expiry, in event time)."""
+    m = Fixture(spark, sf).anomaly_table.select("symbol", "window_start", "window_end",
+                                                "vwap", "volume", "volatility")
+    b = anomaly.rolling_baseline(m, reset_after="2 hours")
+    return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
+                    "hist_n", "price_n",
+                    round_half_up("price_mean", 6).alias("price_mean"),
+                    round_half_up("price_std", 6).alias("price_std"),
+                    round_half_up("volume_mean", 4).alias("volume_mean"),
+                    round_half_up("volatility_mean", 8).alias("volatility_mean"))
+
+
 def _alerts(spark, sf, alert_type=None):
     a = Fixture(spark, sf).alerts().select(*ALERT_COLS)
     return a if alert_type is None else a.filter(F.col("alert_type") == alert_type)

@@ -11,10 +11,12 @@ tiny table of chunk tails (≤ history rows per chunk) is ordered per symbol.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import round_half_up, safe_ratio, severity_by_levels
-from ..functions.timecols import time_bucket
+from ..functions.timecols import duration_seconds, time_bucket
 
 # Detector constants of the reference.
 HISTORY_WINDOWS = 20
@@ -96,14 +98,32 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _event_micros(df: DataFrame, col: str) -> Column:
+    """Event time as epoch microseconds, without a time-zone shift for timestamp_ntz."""
+    if df.schema[col].dataType.simpleString() == "timestamp_ntz":
+        epoch = F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(col))
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
+def _segments(w, reset_us: int, name: str) -> list[Column]:
+    """Gap flag (> reset_us since the previous row under ``w``) and its running count."""
+    gap = F.coalesce((F.col("_t") - F.lag("_t").over(w)) > F.lit(reset_us), F.lit(False))
+    return [gap.alias("_gap")], F.sum(F.col("_gap").cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(name)
+
+
 def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
                      chunk: str | None = DEFAULT_CHUNK, order_col: str = "window_end",
-                     checkpoint: bool = False) -> DataFrame:
+                     checkpoint: bool = False, reset_after: str | None = None) -> DataFrame:
     """Append rolling stats over the previous ``history`` rows per symbol.
 
     Adds hist_n (rows in history), price_n / price_mean / price_std (population,
     NULL vwaps skipped), volume_mean and volatility_mean. All are derived from
     exact integer sums, so they do not depend on partitioning or summation order.
+    ``reset_after`` (e.g. "2 hours"): a gap longer than this between a symbol's
+    consecutive windows empties its history, like the live store's expiry; it
+    matches the stream's ``idle_ms``.
 
     Scale: METRICS are shuffled once by (symbol, time chunk). One window pass per
     chunk gives the in-chunk frame sums and the chunk's tail (its last ``history``
@@ -120,30 +140,67 @@ def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     if history < 1:
         raise ValueError("history must be >= 1")
     m = metrics.withColumn("_x", _row_sums())
+    reset_us = None if reset_after is None else int(duration_seconds(reset_after) * 1_000_000)
+    if reset_us is not None:
+        m = m.withColumn("_t", _event_micros(m, order_col))
     if chunk is None:
-        w = Window.partitionBy("symbol").orderBy(order_col).rowsBetween(-history, -1)
+        part = ["symbol"]
+        if reset_us is not None:
+            w0 = Window.partitionBy("symbol").orderBy(order_col, "_x")
+            gap, seg = _segments(w0, reset_us, "_seg")
+            m = m.select("*", *gap).select("*", seg)
+            part.append("_seg")
+        w = Window.partitionBy(*part).orderBy(order_col, "_x").rowsBetween(-history, -1)
         return _finish(m.select("*", *_frame_sums(w)))
 
     if checkpoint:
         m = materialize(m)
     chunked = m.withColumn("_chunk", time_bucket(order_col, chunk))
     body = chunked.repartition("symbol", "_chunk")
-    ordered = Window.partitionBy("symbol", "_chunk").orderBy(order_col)
-    w_in = body.select("*", *_frame_sums(ordered.rowsBetween(-history, -1)),
-                       F.row_number().over(ordered).alias("_rn"))
+    # (order_col, _x) is a total order, so duplicate window_end rows (replays) are
+    # ordered identically here and in the sorted tails (structs sort field by field)
+    ordered = Window.partitionBy("symbol", "_chunk").orderBy(order_col, "_x")
+    seg_cols = ["symbol", "_chunk"]
+    if reset_us is not None:
+        # segments inside the chunk; (symbol, chunk) hash partitioning already clusters
+        # (symbol, chunk, segment), so this adds a sort, not an exchange
+        gap, seg = _segments(ordered, reset_us, "_lseg")
+        body = body.select("*", *gap).select("*", seg)
+        seg_cols.append("_lseg")
+    segw = Window.partitionBy(*seg_cols).orderBy(order_col, "_x")
+    w_in = body.select("*", *_frame_sums(segw.rowsBetween(-history, -1)),
+                       F.row_number().over(segw).alias("_rn"))
 
     # tails: last `history` rows of each chunk. `row_number() <= k` is planned as a
     # WindowGroupLimit whose partial half runs before the shuffle, so at most k rows
     # per (task, symbol, chunk) cross the network.
-    rank = F.row_number().over(Window.partitionBy("symbol", "_chunk").orderBy(F.col(order_col).desc()))
-    tails = (chunked.select("symbol", "_chunk", order_col, "_x", rank.alias("_rk"))
+    rank = F.row_number().over(Window.partitionBy("symbol", "_chunk")
+                               .orderBy(F.col(order_col).desc(), F.col("_x").desc()))
+    fields = [F.col(order_col).alias("o"), F.col("_x").alias("x")]
+    if reset_us is not None:
+        fields.append(F.col("_t").alias("t"))
+    tails = (chunked.select("symbol", "_chunk", order_col, "_x", *(["_t"] if reset_us else []),
+                            rank.alias("_rk"))
                     .filter(F.col("_rk") <= history)
                     .groupBy("symbol", "_chunk")
-                    .agg(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col("_x").alias("x")))
-                         .alias("_tail")))
+                    .agg(F.collect_list(F.struct(*fields)).alias("_tail")))
+    if reset_us is not None:
+        firsts = chunked.groupBy("symbol", "_chunk").agg(F.min("_t").alias("_first_t"))
+        tails = tails.join(firsts, ["symbol", "_chunk"])
     # halo of chunk c: last `history` tail rows of the ≤ `history` non-empty chunks before c
     prev = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(-history, -1)
     h = F.array_sort(F.flatten(F.collect_list("_tail").over(prev)))
+    halos = tails.select("symbol", "_chunk", h.alias("_h"), *(["_first_t"] if reset_us else []))
+    if reset_us is not None:
+        # keep only the halo rows after the last gap (between halo rows, or before the chunk)
+        ext = F.concat(F.transform("_h", lambda e: e["t"]), F.array(F.col("_first_t")))
+        n = F.size(ext)
+        starts = F.when(n >= 2, F.filter(F.sequence(F.lit(2), n),
+                                         lambda i: F.element_at(ext, i) - F.element_at(ext, i - 1)
+                                         > F.lit(reset_us)))
+        start = F.coalesce(F.array_max(starts), F.lit(1))
+        halos = halos.select("symbol", "_chunk",
+                             F.slice("_h", start, F.size("_h") - start + 1).alias("_h"))
     zero = F.struct(*[F.lit(0).cast(_DEC if f == "s2" else "bigint").alias(f) for f in _SUM_FIELDS])
 
     def merge(acc, e):
@@ -153,12 +210,14 @@ def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     suffix = F.transform(
         F.sequence(F.lit(1), F.lit(history)),
         lambda k: F.aggregate(F.slice("_h", F.greatest(F.size("_h") - k + 1, F.lit(1)), k), zero, merge))
-    halos = (tails.select("symbol", "_chunk", h.alias("_h"))
-                  .select("symbol", "_chunk", suffix.alias("_hs")))
+    halos = halos.select("symbol", "_chunk", suffix.alias("_hs"))
 
     joined = w_in.join(halos, ["symbol", "_chunk"], "left")
     k = F.lit(history) - F.col("_rn") + F.lit(1)
-    need = F.when(k >= 1, F.element_at(F.col("_hs"), k.cast("int")))
+    use = k >= 1
+    if reset_us is not None:
+        use = use & (F.col("_lseg") == 0)   # only the chunk's first segment continues earlier rows
+    need = F.when(use, F.element_at(F.col("_hs"), k.cast("int")))
     return _finish(joined, need)
 
 
@@ -233,7 +292,8 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
                      price_z: float = PRICE_Z_THRESHOLD, volume_x: float = VOLUME_MULTIPLIER,
                      volatility_x: float = VOLATILITY_MULTIPLIER,
                      detected_at: Column | str | None = None, chunk: str | None = DEFAULT_CHUNK,
-                     min_history: int = 1, checkpoint: bool = False) -> DataFrame:
+                     min_history: int = 1, checkpoint: bool = False,
+                     reset_after: str | None = None) -> DataFrame:
     """METRICS -> ALERTS (symbol, alert_type, severity, z_score, threshold,
     current_value, baseline_value, message, window_start, window_end, detected_at).
 
@@ -242,5 +302,6 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     ``detected_at`` defaults to the current timestamp.
     """
     base = rolling_baseline(metrics.select("symbol", "window_start", "window_end", *_VALUES),
-                            history=history, chunk=chunk, checkpoint=checkpoint)
+                            history=history, chunk=chunk, checkpoint=checkpoint,
+                            reset_after=reset_after)
     return alerts_from_baseline(base, price_z, volume_x, volatility_x, detected_at, min_history)

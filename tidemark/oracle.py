@@ -47,7 +47,8 @@ def _metrics(name: str, window: str, slide: str) -> str:
 M1 = _metrics("m1", *METRIC_WINDOW)
 MH = _metrics("mh", *ANOMALY_WINDOW)
 
-BASE = """base AS (
+def _base(source: str = "mh", partition: str = "symbol") -> str:
+    return f"""base AS (
   SELECT symbol, window_start, window_end, vwap, volume, volatility,
          count(*) OVER w AS hist_n, count(vwap) OVER w AS price_n,
          sum(vu) OVER w / count(vwap) OVER w / 1e6 AS price_mean,
@@ -56,8 +57,20 @@ BASE = """base AS (
               / CAST(count(vwap) OVER w * count(vwap) OVER w AS DOUBLE)) / 1e6 AS price_std,
          sum(volume) OVER w / count(*) OVER w AS volume_mean,
          sum(CAST(floor(volatility * 1e8 + 0.5) AS BIGINT)) OVER w / count(*) OVER w / 1e8 AS volatility_mean
-  FROM (SELECT *, CAST(floor(vwap * 1e6 + 0.5) AS BIGINT) AS vu FROM mh)
-  WINDOW w AS (PARTITION BY symbol ORDER BY window_end ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
+  FROM (SELECT *, CAST(floor(vwap * 1e6 + 0.5) AS BIGINT) AS vu FROM {source})
+  WINDOW w AS (PARTITION BY {partition} ORDER BY window_end ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
+
+
+BASE = _base()
+
+# history segments: a new segment starts after a gap longer than the reset interval
+SEGMENTS = """gapd AS (
+  SELECT *, CASE WHEN window_end - lag(window_end) OVER (PARTITION BY symbol ORDER BY window_end)
+                      > INTERVAL {reset_s} SECOND THEN 1 ELSE 0 END AS gap
+  FROM mh),
+segd AS (
+  SELECT *, sum(gap) OVER (PARTITION BY symbol ORDER BY window_end ROWS UNBOUNDED PRECEDING) AS seg
+  FROM gapd)"""
 
 ALERTS = """sig AS (
   SELECT *, (vwap - price_mean) / price_std AS z, volume / volume_mean AS vr,
