@@ -77,7 +77,16 @@ class RollingHistory(StatefulProcessor):
         self.state = handle.getValueState("history", _STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_end", kind="stable")
+        pdf = pd.concat(list(rows), ignore_index=True)
+        # same total order as the batch baseline: window_end, then the exact-sum key
+        # (vwap present, vwap units, their square, volume, volatility units)
+        vu = pdf["vwap"].map(lambda x: _units(x, 1e6))
+        keys = pd.DataFrame({
+            "e": pdf["window_end"], "pn": vu.notna().astype("int64"),
+            "s1": vu.fillna(0).astype("int64"), "s2": vu.fillna(0).map(lambda v: int(v) * int(v)),
+            "sv": pdf["volume"].fillna(0).astype("int64"),
+            "st": pdf["volatility"].map(lambda x: _units(x, 1e8)).fillna(0).astype("int64")})
+        pdf = pdf.loc[keys.sort_values(["e", "pn", "s1", "s2", "sv", "st"], kind="stable").index]
         if self.state.exists():
             st = self.state.get()
             vw, vol, tv, last = list(st[0]), list(st[1]), list(st[2]), st[3]
