@@ -156,7 +156,7 @@ def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     if checkpoint:
         m = materialize(m)
     chunked = m.withColumn("_chunk", time_bucket(order_col, chunk))
-    body = chunked.repartition("symbol", "_chunk")
+    body = chunked  # the window below requires (symbol, chunk) clustering: one hash exchange
     # (order_col, _x) is a total order, so duplicate window_end rows (replays) are
     # ordered identically here and in the sorted tails (structs sort field by field)
     ordered = Window.partitionBy("symbol", "_chunk").orderBy(order_col, "_x")
