@@ -60,23 +60,30 @@ def _frame_sums(w) -> list[Column]:
 
 def _finish(df: DataFrame, halo: Column | None = None) -> DataFrame:
     """Stats from in-frame sums (+ halo sums): means from exact integer sums, population
-    std from the exact numerator n·Σx² - (Σx)²; NULL where the history is empty."""
-    tot = {}
+    std from the exact numerator n·Σx² - (Σx)²; NULL where the history is empty.
+
+    The six totals are projected once and the statistics derived from them in a
+    second projection (each total is referenced several times; keeping them as
+    columns keeps the plan small and evaluates the halo lookup once per row).
+    """
+    keep = [c for c in df.columns if not c.startswith("_")]
+    tot = []
     for f in _SUM_FIELDS:
         c = F.col(f"_in_{f}")
         if halo is not None:
             c = c + F.coalesce(halo[f], F.lit(0).cast(_DEC if f == "s2" else "bigint"))
-        tot[f] = c
-    pn = tot["pn"]
-    var_num = (pn.cast(_DEC) * tot["s2"] - tot["s1"].cast(_DEC) * tot["s1"].cast(_DEC)).cast("double")
-    return df.select(
-        *[c for c in df.columns if not c.startswith("_")],
-        tot["n"].alias("hist_n"),
+        tot.append(c.alias(f"_t_{f}"))
+    t = df.select(*keep, *tot)
+    n, pn, s1, s2, sv, st = (F.col(f"_t_{f}") for f in _SUM_FIELDS)
+    var_num = (pn.cast(_DEC) * s2 - s1.cast(_DEC) * s1.cast(_DEC)).cast("double")
+    return t.select(
+        *keep,
+        n.alias("hist_n"),
         pn.alias("price_n"),
-        (F.try_divide(tot["s1"], pn) / F.lit(1e6)).alias("price_mean"),
+        (F.try_divide(s1, pn) / F.lit(1e6)).alias("price_mean"),
         (F.sqrt(F.try_divide(var_num, (pn * pn).cast("double"))) / F.lit(1e6)).alias("price_std"),
-        F.try_divide(tot["sv"], tot["n"]).alias("volume_mean"),
-        (F.try_divide(tot["st"], tot["n"]) / F.lit(1e8)).alias("volatility_mean"),
+        F.try_divide(sv, n).alias("volume_mean"),
+        (F.try_divide(st, n) / F.lit(1e8)).alias("volatility_mean"),
     )
 
 
