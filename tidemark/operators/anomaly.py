@@ -146,10 +146,11 @@ def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     """
     if history < 1:
         raise ValueError("history must be >= 1")
-    m = metrics.withColumn("_x", _row_sums())
     reset_us = None if reset_after is None else int(duration_seconds(reset_after) * 1_000_000)
+    extra = {"_x": _row_sums()}
     if reset_us is not None:
-        m = m.withColumn("_t", _event_micros(m, order_col))
+        extra["_t"] = _event_micros(metrics, order_col)
+    m = metrics.withColumns(extra)
     if chunk is None:
         part = ["symbol"]
         if reset_us is not None:

@@ -76,12 +76,10 @@ def audit_rows(alerts: DataFrame, created_at: Column | None = None) -> DataFrame
         det = F.coalesce(F.col("detected_at"), now)
     else:
         det = F.current_timestamp()
-    out = (alerts.withColumn("detected_at", det)
-                 .withColumn("acknowledged", F.lit(False))
-                 .withColumn("id", F.monotonically_increasing_id()))
+    cols = {"detected_at": det, "acknowledged": F.lit(False), "id": F.monotonically_increasing_id()}
     if created_at is not None:
-        out = out.withColumn("created_at", created_at)
-    return out
+        cols["created_at"] = created_at
+    return alerts.withColumns(cols)
 
 
 def alert_annotations(alerts: DataFrame) -> DataFrame:

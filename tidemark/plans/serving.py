@@ -77,7 +77,6 @@ def top_movers(metrics: DataFrame, n: int = 10) -> DataFrame:
 def _alert_filters(alerts_df: DataFrame, symbol, severity, alert_type, hours: int, as_of):
     _check_range("hours", hours, 1, 168)
     now = resolve_as_of(as_of, alerts_df, "detected_at")
-    alerts_df = time_range_filter(alerts_df, "detected_at", now - as_interval(f"{hours} hours"))
     cond = F.lit(True)
     if symbol:
         cond = cond & (F.col("symbol") == F.lit(symbol.upper()))
@@ -89,15 +88,17 @@ def _alert_filters(alerts_df: DataFrame, symbol, severity, alert_type, hours: in
         if alert_type.upper() not in ALERT_TYPES:
             raise ValueError("alert_type must be one of: " + ", ".join(ALERT_TYPES))
         cond = cond & (F.col("alert_type") == F.lit(alert_type.upper()))
-    return alerts_df.filter(cond)
+    return time_range_filter(alerts_df.filter(cond), "detected_at", now - as_interval(f"{hours} hours"))
 
 
 def alert_row_defaults(df: DataFrame) -> DataFrame:
     """Response defaults (O-47): z_score/threshold NULL->0.0; current/baseline NULL or 0 -> NULL."""
-    return (df.withColumn("z_score", F.coalesce(F.col("z_score"), F.lit(0.0)))
-              .withColumn("threshold", F.coalesce(F.col("threshold"), F.lit(0.0)))
-              .withColumn("current_value", F.nullif(F.col("current_value"), F.lit(0.0)))
-              .withColumn("baseline_value", F.nullif(F.col("baseline_value"), F.lit(0.0))))
+    return df.withColumns({
+        "z_score": F.coalesce(F.col("z_score"), F.lit(0.0)),
+        "threshold": F.coalesce(F.col("threshold"), F.lit(0.0)),
+        "current_value": F.nullif(F.col("current_value"), F.lit(0.0)),
+        "baseline_value": F.nullif(F.col("baseline_value"), F.lit(0.0)),
+    })
 
 
 def alerts(alerts_table: DataFrame, symbol: str | None = None, severity: str | None = None,
@@ -105,11 +106,16 @@ def alerts(alerts_table: DataFrame, symbol: str | None = None, severity: str | N
            with_message: bool = True) -> DataFrame:
     """Filtered recent alerts (O-46), newest first, optional predicates ANDed."""
     _check_range("limit", limit, 1, 500)
-    d = alert_row_defaults(_alert_filters(alerts_table, symbol, severity, alert_type, hours, as_of))
+    d = _alert_filters(alerts_table, symbol, severity, alert_type, hours, as_of)
     cols = ["id", "symbol", "alert_type", "severity", "z_score", "threshold", "current_value",
             "baseline_value", "message", "window_start", "window_end", "detected_at", "acknowledged"]
-    cols = [c for c in cols if c in d.columns and (with_message or c != "message")]
-    return (d.select(*cols)
+    defaults = {"z_score": F.coalesce(F.col("z_score"), F.lit(0.0)),
+                "threshold": F.coalesce(F.col("threshold"), F.lit(0.0)),
+                "current_value": F.nullif(F.col("current_value"), F.lit(0.0)),
+                "baseline_value": F.nullif(F.col("baseline_value"), F.lit(0.0))}
+    out = [defaults.get(c, F.col(c)).alias(c) for c in cols
+           if c in d.columns and (with_message or c != "message")]
+    return (d.select(*out)
              .orderBy(F.col("detected_at").desc(), "symbol", "alert_type", F.col("window_start").desc())
              .limit(limit))
 
