@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import epoch_millis
 from ..operators.anomaly import HISTORY_WINDOWS, alerts_from_baseline
-from ..operators.dedup import dedup_alerts
+from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
 from ..operators.sinks import append_batch, audit_rows, to_keyed_json
 from ..operators.views import latest_per_key
 from ..operators.windows import DEFAULT_SLIDE, DEFAULT_WATERMARK, DEFAULT_WINDOW, window_metrics
@@ -104,28 +104,59 @@ def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int
         fs.delete(_fs(spark, f"{paths.latest}/batch_id={b}")[1], True)
 
 
+def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Integer values of ``root/name=V`` folders (one directory listing)."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        n = st.getPath().getName()
+        if st.isDirectory() and n.startswith(name + "="):
+            out.append(int(n.split("=", 1)[1]))
+    return sorted(out)
+
+
 def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_at,
-                  kafka_bootstrap: str | None = None) -> None:
-    """Alerts of the batch, first-wins per de-dup key, minus keys persisted by earlier
-    batches. Keys share the date of their window_start, so only the date folders this
-    batch touches are listed and read (a handful of distinct dates per micro-batch)."""
+                  kafka_bootstrap: str | None = None, ttl_seconds: int = DEDUP_TTL_SECONDS) -> None:
+    """Alerts of the batch, first-wins per de-dup key, minus keys of earlier batches.
+
+    Append mode emits windows in window_end order, so every later alert starts after
+    this batch's earliest window_start; keys of older 5-minute buckets can never
+    match again. Keys live in a side table ``alert_keys/maxbucket=B/batch_id=N``:
+    a batch reads only folders with B >= its earliest bucket and drops the others,
+    so the lookup stays a few small files however long the stream runs.
+    """
     spark = batch.sparkSession
-    keyed = dedup_alerts(alerts_from_baseline(batch, detected_at=detected_at), keep_key=True)
-    keyed = keyed.persist()
+    bucket = F.floor(epoch_millis("window_start") / F.lit(ttl_seconds * 1000)).cast("bigint")
+    cached = (dedup_alerts(alerts_from_baseline(batch, detected_at=detected_at), ttl_seconds,
+                           keep_key=True)
+              .withColumn("_bucket", bucket).persist())
+    keyed = cached
     try:
-        dates = [r.dt for r in keyed.select(F.to_date("window_start").alias("dt")).distinct().collect()]
-        folders = [f"{paths.alerts}/dt={d}" for d in dates if path_exists(spark, f"{paths.alerts}/dt={d}")]
+        lo, hi = keyed.select(F.min("_bucket"), F.max("_bucket")).first()
+        if lo is None:
+            return
+        keys_root = f"{paths.root}/alert_keys"
+        live = [b for b in _partition_values(spark, keys_root, "maxbucket") if b >= lo]
+        folders = [f"{keys_root}/maxbucket={b}" for b in live]
         if folders:
-            seen = (spark.read.option("basePath", paths.alerts).parquet(*folders)
+            seen = (spark.read.option("basePath", keys_root).parquet(*folders)
                     .filter(F.col("batch_id") < F.lit(batch_id)).select("dedup_key"))
             keyed = keyed.join(seen, "dedup_key", "left_anti")
-        rows = audit_rows(keyed).select(*ALERT_COLUMNS, "dedup_key", "acknowledged",
-                                        F.current_timestamp().alias("created_at"))
+        rows = audit_rows(keyed.drop("_bucket")).select(
+            *ALERT_COLUMNS, "dedup_key", "acknowledged", F.current_timestamp().alias("created_at"))
         append_batch(rows, paths.alerts, batch_id, ts_col="window_start")
+        (keyed.select("dedup_key").coalesce(1).write.mode("overwrite")
+         .parquet(f"{keys_root}/maxbucket={hi}/batch_id={batch_id}"))
+        fs, _ = _fs(spark, keys_root)
+        for b in _partition_values(spark, keys_root, "maxbucket"):
+            if b < lo:
+                fs.delete(_fs(spark, f"{keys_root}/maxbucket={b}")[1], True)
         if kafka_bootstrap:
             _to_kafka(keyed.select(*ALERT_COLUMNS), kafka_bootstrap, ALERTS_TOPIC)
     finally:
-        keyed.unpersist()
+        cached.unpersist()
 
 
 # Topics of the enriched-metrics and alert messages.
