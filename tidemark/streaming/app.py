@@ -15,7 +15,6 @@ that replays a micro-batch rewrites the same partitions instead of duplicating.
 
 from __future__ import annotations
 
-import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -33,8 +32,6 @@ from ..schemas import ALERT_COLUMNS, METRIC_COLUMNS
 from ..session import scratch_path
 from .detector import stream_baseline
 
-_PROFILE = os.environ.get("TIDEMARK_PROFILE") == "1"
-
 # Fixed value: the reference's micro-batch cadence.
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
@@ -71,17 +68,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _batch_dirs(spark: SparkSession, root: str) -> list[int]:
-    """batch ids of ``root/batch_id=N`` folders (names only, one directory listing)."""
+def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Integer values of ``root/name=V`` folders (one directory listing)."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
-    ids = []
+    out = []
     for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id="):
-            ids.append(int(name.split("=", 1)[1]))
-    return sorted(ids)
+        n = st.getPath().getName()
+        if st.isDirectory() and n.startswith(name + "="):
+            out.append(int(n.split("=", 1)[1]))
+    return sorted(out)
 
 
 def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int = 3) -> None:
@@ -93,7 +90,7 @@ def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int
     """
     spark = batch.sparkSession
     cur = batch.select(*METRIC_COLUMNS, F.unix_millis(F.current_timestamp()).alias("updated_at"))
-    older = [b for b in _batch_dirs(spark, paths.latest) if b < batch_id]
+    older = [b for b in _partition_values(spark, paths.latest, "batch_id") if b < batch_id]
     if older:
         prev = spark.read.parquet(f"{paths.latest}/batch_id={older[-1]}")
         cur = cur.unionByName(prev.select(*cur.columns))
@@ -104,19 +101,6 @@ def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int
         fs.delete(_fs(spark, f"{paths.latest}/batch_id={b}")[1], True)
 
 
-def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Integer values of ``root/name=V`` folders (one directory listing)."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        n = st.getPath().getName()
-        if st.isDirectory() and n.startswith(name + "="):
-            out.append(int(n.split("=", 1)[1]))
-    return sorted(out)
-
-
 def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_at,
                   kafka_bootstrap: str | None = None, ttl_seconds: int = DEDUP_TTL_SECONDS) -> None:
     """Alerts of the batch, first-wins per de-dup key, minus keys of earlier batches.
@@ -183,10 +167,8 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
     def _run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            _t0 = time.perf_counter()
             if batch.count() == 0:
                 return
-            _t1 = time.perf_counter()
             jobs = [
                 lambda: append_batch(
                     batch.select(*METRIC_COLUMNS).withColumn("created_at", F.current_timestamp()),
@@ -207,8 +189,6 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
             with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
                 for fut in [pool.submit(job) for job in jobs]:
                     fut.result()
-            if _PROFILE:
-                print(f"batch {batch_id}: compute {_t1 - _t0:.2f}s sinks {time.perf_counter() - _t1:.2f}s")
         finally:
             batch.unpersist()
 
@@ -246,7 +226,7 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
 def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None = None) -> DataFrame:
     """Latest-state snapshot of the newest batch (optionally with the TTL predicate)."""
     root = StreamPaths(out_root.rstrip("/")).latest
-    ids = _batch_dirs(spark, root)
+    ids = _partition_values(spark, root, "batch_id")
     if not ids:
         raise FileNotFoundError(f"no latest-state snapshot under {root}")
     snap = spark.read.parquet(f"{root}/batch_id={ids[-1]}")
