@@ -163,7 +163,7 @@ def q_alerts_json_roundtrip(spark, sf):
 
 @register("alert_annotations")
 def q_alert_annotations(spark, sf):
-    """O-37: dashboard annotation payloads of the persisted alerts."""
+    """O-37: dashboard annotation payloads of the detector's alerts."""
     return sinks.alert_annotations(Fixture(spark, sf).alerts())
 
 
