@@ -136,9 +136,10 @@ def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     chunk gives the in-chunk frame sums and the chunk's tail (its last ``history``
     rows). The rows a chunk's first ``history`` rows need from earlier chunks (the
     halo) are assembled from tails — one row per chunk, ordered per symbol — as
-    suffix sums, and joined back on (symbol, chunk). No task ever holds more than
-    one chunk of one symbol. ``chunk=None`` uses a single per-symbol window
-    (cross-checks and small inputs only).
+    suffix sums, and joined back on (symbol, chunk). No task holds more than one
+    chunk of a symbol's metric rows; only the one-row-per-chunk table is ordered
+    per symbol. ``chunk=None`` uses a single per-symbol window (cross-checks and
+    small inputs only).
 
     The chunked plan reads ``metrics`` twice (chunk rows and tails). Pass a table
     scan, or ``checkpoint=True`` when ``metrics`` is an expensive derived plan (e.g.
