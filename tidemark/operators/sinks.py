@@ -23,8 +23,12 @@ def with_partition_date(df: DataFrame, ts_col: str = "window_start") -> DataFram
 
 def write_metrics_table(df: DataFrame, path: str, mode: str = "append", batch_id: int | None = None,
                         ts_col: str = "window_start") -> None:
-    """Persist METRICS as Parquet partitioned by ``dt`` and sorted (symbol, window_start)
-    inside each file so symbol/time predicates prune row groups (O-41).
+    """Persist METRICS as Parquet partitioned by ``dt`` (O-41).
+
+    Rows are range-partitioned by (dt, symbol) and sorted by (symbol, window_start)
+    inside each file: a large day is spread over several tasks and files, each file
+    covers a contiguous symbol range (file-level min/max pruning on symbol) and
+    row groups prune on time. AQE coalesces the small writes of a micro-batch.
 
     With ``batch_id`` the rows land in ``batch_id=N`` under each date and a replay
     of the same micro-batch overwrites exactly that partition (idempotent).
@@ -35,7 +39,7 @@ def write_metrics_table(df: DataFrame, path: str, mode: str = "append", batch_id
     if batch_id is not None:
         writer_df = out.withColumn("batch_id", F.lit(int(batch_id)))
         parts.append("batch_id")
-    (writer_df.repartition("dt").sortWithinPartitions("symbol", ts_col)
+    (writer_df.repartitionByRange("dt", "symbol").sortWithinPartitions("dt", "symbol", ts_col)
         .write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts).parquet(path))
 
