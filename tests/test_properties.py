@@ -94,3 +94,44 @@ def test_rolling_baseline_matches_brute_force(spark, rows, chunk, reset):
                 assert abs(r.volatility_mean - float(vm)) <= 1e-15 * max(1.0, float(vm))
             else:
                 assert r.volume_mean is None
+
+
+alert = st.tuples(st.sampled_from(["A", "B"]), st.sampled_from(["PRICE_ANOMALY", "VOLUME_SPIKE"]),
+                  st.integers(min_value=0, max_value=3600),   # window_start seconds
+                  st.integers(min_value=0, max_value=99))     # z tag
+
+
+@SETTINGS
+@given(st.lists(alert, min_size=1, max_size=40))
+def test_dedup_first_wins_matches_brute_force(spark, rows):
+    from tidemark.operators.dedup import dedup_alerts
+    from tidemark.schemas import ALERTS
+    data = [(s, t, "INFO", float(z), 3.0, 1.0, 1.0, "m", T0 + dt.timedelta(seconds=w),
+             T0 + dt.timedelta(seconds=w + 60), T0 + dt.timedelta(seconds=w + 60)) for s, t, w, z in rows]
+    got = sorted((r.symbol, r.alert_type, r.window_start, r.z_score)
+                 for r in dedup_alerts(spark.createDataFrame(data, ALERTS)).collect())
+    epoch = dt.datetime(1970, 1, 1)
+    best = {}
+    for s, t, w, z in rows:
+        ws = T0 + dt.timedelta(seconds=w)
+        key = (s, t, int((ws - epoch).total_seconds() * 1000) // 300000)
+        cand = (ws, float(z))
+        if key not in best or cand < best[key]:
+            best[key] = cand
+    want = sorted((k[0], k[1], v[0], v[1]) for k, v in best.items())
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(min_value=1, max_value=500)),
+                min_size=1, max_size=80, unique=True), st.integers(min_value=1, max_value=7))
+def test_metric_history_last_n_matches_brute_force(spark, rows, n):
+    from tidemark.operators.views import metric_history
+    data = [(s, T0 + dt.timedelta(seconds=30 * w), float(w)) for s, w in rows]
+    m = spark.createDataFrame(data, "symbol string, window_end timestamp, vwap double")
+    got = sorted((r.symbol, r.vwap, r.rank) for r in metric_history(m, n=n).collect())
+    want = []
+    for s in {s for s, _ in rows}:
+        ws = sorted((w for x, w in rows if x == s), reverse=True)[:n]
+        want += [(s, float(w), i + 1) for i, w in enumerate(ws)]
+    assert got == sorted(want)
