@@ -60,20 +60,32 @@ def main() -> None:
     qs = catalog.queries()
     # JIT / codegen warm-up: one untimed pass over every query (a cold JVM runs the
     # first queries of a session several times slower than steady state)
+    errors: dict[str, str] = {}
     for name, fn in qs.items():
         if warmup and (not only or name in only):
-            run(fn(spark, sf_dir))
+            try:
+                run(fn(spark, sf_dir))
+            except Exception as exc:  # reported below; one failing query must not hide the rest
+                errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     times: dict[str, float] = {}
     for name, fn in qs.items():
-        if only and name not in only:
+        if (only and name not in only) or name in errors:
             continue
         best = float("inf")
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            run(fn(spark, sf_dir))
-            best = min(best, time.perf_counter() - t0)
-        times[name] = round(best, 3)
-    stream = bench_stream(spark, sf_dir) if os.environ.get("BENCH_STREAM", "1") == "1" else None
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                run(fn(spark, sf_dir))
+                best = min(best, time.perf_counter() - t0)
+            times[name] = round(best, 3)
+        except Exception as exc:
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    stream = None
+    if os.environ.get("BENCH_STREAM", "1") == "1":
+        try:
+            stream = bench_stream(spark, sf_dir)
+        except Exception as exc:
+            errors["streaming"] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
         "metric": "sum_of_query_seconds",
@@ -85,6 +97,8 @@ def main() -> None:
         "spark": spark.version,
         "streaming": stream,
     }
+    if errors:
+        out["errors"] = errors
     spark.stop()
     print(json.dumps(out))
 
