@@ -68,8 +68,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Integer values of ``root/name=V`` folders (one directory listing)."""
+def _partition_values(spark: SparkSession, root: str, name: str, committed: bool = False) -> list[int]:
+    """Integer values of ``root/name=V`` folders (one directory listing); with
+    ``committed`` only folders whose write job finished (``_SUCCESS`` marker)."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -77,20 +78,24 @@ def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
     for st in fs.listStatus(p):
         n = st.getPath().getName()
         if st.isDirectory() and n.startswith(name + "="):
+            if committed and not fs.exists(_fs(spark, f"{st.getPath().toString()}/_SUCCESS")[1]):
+                continue
             out.append(int(n.split("=", 1)[1]))
     return sorted(out)
 
 
-def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int = 3) -> None:
+def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int = 10) -> None:
     """New snapshot = previous snapshot ⊕ this batch, latest row per symbol.
 
     The previous snapshot is the newest ``batch_id`` folder below this batch (a
-    replay of batch N reads N-1's snapshot again); only the newest ``keep``
-    snapshots are retained so the folder stays small on a long-running stream.
+    replay of batch N reads N-1's snapshot again). Only committed snapshots
+    (``_SUCCESS``) are considered, by the writer and by :func:`read_latest`, and
+    only the newest ``keep`` are retained so the folder stays small on a
+    long-running stream while slow readers can finish.
     """
     spark = batch.sparkSession
     cur = batch.select(*METRIC_COLUMNS, F.unix_millis(F.current_timestamp()).alias("updated_at"))
-    older = [b for b in _partition_values(spark, paths.latest, "batch_id") if b < batch_id]
+    older = [b for b in _partition_values(spark, paths.latest, "batch_id", committed=True) if b < batch_id]
     if older:
         prev = spark.read.parquet(f"{paths.latest}/batch_id={older[-1]}")
         cur = cur.unionByName(prev.select(*cur.columns))
@@ -226,7 +231,7 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
 def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None = None) -> DataFrame:
     """Latest-state snapshot of the newest batch (optionally with the TTL predicate)."""
     root = StreamPaths(out_root.rstrip("/")).latest
-    ids = _partition_values(spark, root, "batch_id")
+    ids = _partition_values(spark, root, "batch_id", committed=True)
     if not ids:
         raise FileNotFoundError(f"no latest-state snapshot under {root}")
     snap = spark.read.parquet(f"{root}/batch_id={ids[-1]}")
