@@ -59,3 +59,13 @@ def test_serving_time_filters_prune_date_partitions(spark):
         p = plan(df)
         assert "PartitionFilters: [isnotnull(dt" in p and "(dt#" in p.split("PartitionFilters")[1][:200]
         assert df.count() > 0
+
+
+def test_cluster_conf_sizes_by_cores():
+    from tidemark.session import cluster_conf
+    c = cluster_conf(100e12, executors=1000, cores_per_executor=8, executor_memory_gb=32)
+    assert c["spark.sql.shuffle.partitions"] == str(3 * 8000)
+    assert c["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert c["spark.sql.adaptive.enabled"] == "true" and c["spark.ui.enabled"] == "false"
+    small = cluster_conf(1e9, executors=2, cores_per_executor=8, executor_memory_gb=4)
+    assert small["spark.sql.files.maxPartitionBytes"] == "128m"
