@@ -262,3 +262,21 @@ def test_stream_idle_expiry_equals_batch_reset(spark):
             "volatility_mean"]
     assert s.count() == b.count() > 0
     _same(s, b, cols)
+
+
+def test_fan_out_sequential_matches_parallel(spark, streamed):
+    from tidemark.operators.anomaly import rolling_baseline
+    fx, _, _ = streamed
+    m = fx.metrics("1 hour", "30 minutes").withColumn("window_start", F.col("window_start").cast("timestamp")) \
+        .withColumn("window_end", F.col("window_end").cast("timestamp"))
+    batch = rolling_baseline(m, chunk=None)
+    outs = []
+    for parallel in (True, False):
+        out = f"{scratch()}/out"
+        fan_out(StreamPaths(out), detected_at="window_end", parallel=parallel)(batch, 3)
+        outs.append(out)
+    for table, cols in (("metrics", METRIC_COLS), ("alerts", ALERT_COLS)):
+        a, b = (spark.read.parquet(f"{o}/{table}") for o in outs)
+        assert a.count() == b.count() > 0
+        _same(a, b, cols)
+    assert read_latest(spark, outs[0]).count() == read_latest(spark, outs[1]).count() == 5
