@@ -135,3 +135,24 @@ def test_metric_history_last_n_matches_brute_force(spark, rows, n):
         ws = sorted((w for x, w in rows if x == s), reverse=True)[:n]
         want += [(s, float(w), i + 1) for i, w in enumerate(ws)]
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D"]), st.integers(min_value=1, max_value=200),
+                          st.integers(min_value=1, max_value=500), st.integers(min_value=0, max_value=50)),
+                min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1])),
+       st.integers(min_value=1, max_value=5))
+def test_top_movers_match_brute_force(spark, rows, n):
+    from tidemark.plans.serving import top_movers
+    data = [(s, T0 + dt.timedelta(seconds=30 * w), float(lo + d), float(lo)) for s, w, lo, d in rows]
+    m = spark.createDataFrame(data, "symbol string, window_end timestamp, high double, low double")
+    got = [(r.symbol, r.price_change_pct) for r in top_movers(m, n=n).collect()]
+    latest = {}
+    for s, w, lo, d in rows:
+        if s not in latest or w > latest[s][0]:
+            latest[s] = (w, lo, d)
+    scores = [(s, half_up(Fraction(d) / Fraction(lo) * 100, 4)) for s, (w, lo, d) in latest.items()]
+    want = sorted(scores, key=lambda x: (-x[1], [-ord(c) for c in x[0]]))[:n]
+    assert [s for s, _ in got] == [s for s, _ in want]
+    for (_, a), (_, b) in zip(got, want):
+        assert abs(a - b) <= 1e-4 + 1e-12
