@@ -52,17 +52,13 @@ def history(metrics_table: DataFrame, symbol: str, start=None, end=None, limit:
     Defaults: ``end = as_of``, ``start = end - 1 hour``; ``limit`` in [1, 1000].
     """
     _check_range("limit", limit, 1, 1000)
-    now = resolve_as_of(as_of, metrics_table, "window_end")
-    hi = now if end is None else (end if not isinstance(end, str) else F.to_timestamp(F.lit(end)))
-    lo = (hi - as_interval("1 hour")) if start is None else \
-        (start if not isinstance(start, str) else F.to_timestamp(F.lit(start)))
+    hi = resolve_as_of(as_of if end is None else end, metrics_table, "window_end")
+    lo = (hi - as_interval("1 hour")) if start is None else resolve_as_of(start)
     cols = ["symbol", "window_start", "window_end", "vwap", "volatility", "rsi", "volume",
             "trade_count", "high", "low"]
     d = time_range_filter(metrics_table.filter(F.col("symbol") == F.lit(symbol.upper())),
                           "window_start", lo, hi)
-    return (d.select(*cols)
-                         .orderBy(F.col("window_start").desc())
-                         .limit(limit))
+    return d.select(*cols).orderBy(F.col("window_start").desc()).limit(limit)
 
 
 def top_movers(metrics: DataFrame, n: int = 10) -> DataFrame:
