@@ -10,15 +10,14 @@ row even on empty input (NULL/0), as SQL does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timecols import as_interval, epoch_seconds_between, resolve_as_of, time_range_filter
 
 
 def _range(df: DataFrame, col: str, start, end, as_of, lookback: str, ref_col: str) -> DataFrame:
-    now = resolve_as_of(as_of, df, ref_col)
-    hi = now if end is None else (end if isinstance(end, Column) else F.lit(end))
-    lo = (hi - as_interval(lookback)) if start is None else (start if isinstance(start, Column) else F.lit(start))
+    hi = resolve_as_of(as_of if end is None else end, df, ref_col)
+    lo = (hi - as_interval(lookback)) if start is None else resolve_as_of(start)
     return time_range_filter(df, col, lo, hi)
 
 
