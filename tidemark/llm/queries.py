@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import base, near_dup, quality_rules
+from . import base, line_dedup, mixing, near_dup, packing, quality_rules
 from .oracle import ORACLES
 
 
@@ -16,12 +16,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(base.table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(base.table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines, how many go, and which (their places in the text)."""
+    out = line_dedup.dropped_lines(base.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"),
+                      F.array_join("dropped", ",").alias("dropped"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(base.table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op8_minhash_near_dedup)}
+    return {f.__name__: f for f in (
+        op2_quality_rules, op4_packing, op5_mixing, op7_line_dedup, op8_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
