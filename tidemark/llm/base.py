@@ -43,12 +43,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: lineage ends
     here, and a lost executor costs no recomputation. Removed when the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.parquet(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
