@@ -40,30 +40,34 @@ def _lines(docs: DataFrame) -> DataFrame:
             .withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''"))
 
 
-def _segments(m: Column) -> Column:
-    return F.greatest(F.lit(3), F.floor(F.sqrt(m) / 8).cast("int"))
+def _context(m: str, q: str, longer: int, fields: bool) -> str:
+    """SQL of a line's contexts for length ``m``, which the line exceeds by ``longer``: an array of
+    keys or, with ``fields``, of (k, m, lo, hi); the segment is the line's code points lo (from 0)
+    to hi (exclusive)."""
+    lo, hi = f"cast(s * {m} div {q} AS int)", f"cast((s + 1) * {m} div {q} AS int) + {longer}"
+    key = f"xxhash64({m}, s, substring(line, 1, {lo}), substring(line, {hi} + 1))"
+    value = f"struct({key} AS k, {m} AS m, {lo} AS lo, {hi} AS hi)" if fields else key
+    return f"transform(sequence(0, {q} - 1), s -> {value})"
 
 
-def _contexts(line: Column) -> Column:
-    """The context keys of a line: (k, m, s, lo, hi) per length m and segment s; the segment is
-    the line's code points lo (from 0) to hi (exclusive)."""
-    n = F.length(line)
+def _contexts(fields: bool) -> Column:
+    """The contexts of a line (line, n, q0, q1) for its own length and, longer ones, the next shorter."""
+    own, shorter = _context("n", "q0", 0, fields), _context("(n - 1)", "q1", 1, fields)
+    return F.expr(f"CASE WHEN n > {MIN_CHARS} THEN concat({own}, {shorter}) WHEN n = {MIN_CHARS} THEN {own} END")
 
-    def of(m: Column) -> Column:
-        def one(s: Column) -> Column:
-            lo = F.floor(s * m / _segments(m)).cast("int")
-            after = m - F.floor((s + 1) * m / _segments(m)).cast("int")
-            return F.struct(
-                F.xxhash64(m, s, F.substring(line, F.lit(1), lo), F.substring(line, n - after + 1, after)).alias("k"),
-                m.alias("m"), lo.alias("lo"), (n - after).alias("hi"))
-        return F.transform(F.sequence(F.lit(0), _segments(m) - 1), one)
 
-    return F.when(n > MIN_CHARS, F.concat(of(n), of(n - 1))).when(n == MIN_CHARS, of(n))
+def _measured(lines: DataFrame) -> DataFrame:
+    """With n, a line's length, and q0 and q1, the segments of that length and of the next shorter.
+    Columns, as expressions inside a lambda are computed anew for each element."""
+    q = lambda m: F.greatest(F.lit(3), F.floor(F.sqrt(m) / 8).cast("int"))
+    return (lines.withColumn("n", F.length("line"))
+            .withColumn("q0", q(F.col("n"))).withColumn("q1", q(F.greatest(F.lit(0), F.col("n") - 1))))
 
 
 def _near(docs: DataFrame) -> DataFrame:
     """(line,): the distinct lines that an earlier line is one edit from."""
-    keyed = _lines(docs).select("doc_id", "tag", "pos", F.hash("line").alias("h"), F.inline(_contexts(F.col("line"))))
+    keyed = (_measured(_lines(docs)).select("doc_id", "tag", "pos", F.hash("line").alias("h"), _contexts(False).alias("ks"))
+             .select("doc_id", "tag", "pos", "h", F.explode("ks").alias("k")))
     shared = staged(keyed.groupBy("k").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
                     .where("lo <> hi").select("k"), "contexts")
     mine = (keyed.select("doc_id", "tag", "pos", "k").join(shared, "k")
@@ -93,10 +97,10 @@ def _near(docs: DataFrame) -> DataFrame:
 def _variants(lines: DataFrame) -> DataFrame:
     """(id, v, own, longer): the deletion variants of lines in their shared contexts as hashed
     keys; own marks a line that stands for itself, longer one that has length m + 1."""
-    n, width = F.length("line"), F.col("hi") - F.col("lo")
-    seg = (lines.select("id", "line", "ks", F.inline(_contexts(F.col("line"))))
+    width = F.col("hi") - F.col("lo")
+    seg = (_measured(lines).select("id", "line", "n", "ks", F.inline(_contexts(True)))
            .where(F.array_contains("ks", F.col("k")))
-           .select("id", "k", (n > F.col("m")).alias("longer"), width.alias("width"),
+           .select("id", "k", (F.col("n") > F.col("m")).alias("longer"), width.alias("width"),
                    F.substring("line", F.col("lo") + 1, width).alias("mid")))
     cut = lambda i: F.concat(F.substring("mid", F.lit(1), i), F.substring("mid", i + 2, F.col("width")))
     # of two lines of length m the place counts too: then they differ in that place alone
