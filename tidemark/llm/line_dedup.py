@@ -67,7 +67,8 @@ def _measured(lines: DataFrame) -> DataFrame:
 def _near(docs: DataFrame) -> DataFrame:
     """(line,): the distinct lines that an earlier line is one edit from."""
     keyed = (_measured(_lines(docs)).select("doc_id", "tag", "pos", F.hash("line").alias("h"), _contexts(False).alias("ks"))
-             .select("doc_id", "tag", "pos", "h", F.explode("ks").alias("k")))
+             # the plain explode would infer filters that compute the keys again, inlined
+             .select("doc_id", "tag", "pos", "h", F.explode_outer("ks").alias("k")).where("k IS NOT NULL"))
     shared = staged(keyed.groupBy("k").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
                     .where("lo <> hi").select("k"), "contexts")
     mine = (keyed.select("doc_id", "tag", "pos", "k").join(shared, "k")
@@ -76,7 +77,7 @@ def _near(docs: DataFrame) -> DataFrame:
             .withColumnsRenamed({"doc_id": "d", "tag": "t"}))
     texts = docs.select("doc_id", F.xxhash64(_text()).alias("tag"), F.split(_text(), "\n", -1).alias("ls"))
     found = (texts.join(mine, texts["doc_id"].eqNullSafe(mine["d"]) & (texts["tag"] == mine["t"]))
-             .select("doc_id", "tag", F.inline(F.transform("mine", lambda x: F.struct(
+             .select("doc_id", "tag", F.inline_outer(F.transform("mine", lambda x: F.struct(
                  x["pos"].alias("pos"), x["ks"].alias("ks"),
                  F.btrim(F.get("ls", x["pos"]), F.lit(BLANKS)).alias("line"))))))
     lines = staged(found.groupBy("line").agg(F.min(F.struct("doc_id", "tag", "pos")).alias("id"),
@@ -98,7 +99,7 @@ def _variants(lines: DataFrame) -> DataFrame:
     """(id, v, own, longer): the deletion variants of lines in their shared contexts as hashed
     keys; own marks a line that stands for itself, longer one that has length m + 1."""
     width = F.col("hi") - F.col("lo")
-    seg = (_measured(lines).select("id", "line", "n", "ks", F.inline(_contexts(True)))
+    seg = (_measured(lines).select("id", "line", "n", "ks", F.inline_outer(_contexts(True)))
            .where(F.array_contains("ks", F.col("k")))
            .select("id", "k", (F.col("n") > F.col("m")).alias("longer"), width.alias("width"),
                    F.substring("line", F.col("lo") + 1, width).alias("mid")))
@@ -111,8 +112,8 @@ def _variants(lines: DataFrame) -> DataFrame:
     own = F.when(~F.col("longer"), F.array(F.struct(
         F.xxhash64("k", F.lit(-1), F.col("mid")).alias("v"), F.lit(True).alias("own"))))
     none = F.array().cast("array<struct<v:bigint,own:boolean>>")
-    return (seg.select("id", "longer", F.inline(F.array_distinct(F.concat(F.coalesce(cuts, none), F.coalesce(own, none)))))
-            .select("id", "v", "own", "longer"))
+    return (seg.select("id", "longer", F.inline_outer(F.array_distinct(F.concat(F.coalesce(cuts, none), F.coalesce(own, none)))))
+            .where("v IS NOT NULL").select("id", "v", "own", "longer"))
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
