@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -56,7 +57,9 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     warmup = os.environ.get("BENCH_WARMUP", "1") == "1"
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
+    shared = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="tidemark-bench-")  # one machine
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus,
+                          extra={"spark.checkpoint.dir": shared})
     qs = catalog.queries()
     # JIT / codegen warm-up: one untimed pass over every query (a cold JVM runs the
     # first queries of a session several times slower than steady state)

@@ -11,8 +11,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=8)
+    s = build_session(master="local[4]", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()

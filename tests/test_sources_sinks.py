@@ -77,28 +77,33 @@ def _encode_trade(symbol, price, volume, ts_ms, exchange, trade_id) -> bytes:
     return b"\x00\x00\x00\x00\x2a" + body   # magic byte + schema id 42
 
 
-def test_framed_avro_decode(spark):
-    import datetime as dt
-
+def test_framed_avro_needs_the_module(spark):
+    """spark-avro is not on this classpath: decoding says so instead of taking another path."""
     import pytest
 
-    from tidemark.sources.trades import clean_trades, decode_framed_avro
-    t_ms = 1704103200123
-    rows = [(bytearray(_encode_trade("AAPL", 175.25, 300, t_ms, "NASDAQ", "u-1")), ts(0)),
-            (bytearray(_encode_trade("MSFT", -1.0, 5, t_ms, "NYSE", "u-2")), ts(1))]
-    kafka = spark.createDataFrame(rows, "value binary, timestamp timestamp")
-    out = decode_framed_avro(kafka).collect()
-    assert out[0].symbol == "AAPL" and out[0].price == 175.25 and out[0].volume == 300
-    assert out[0]["timestamp"] == dt.datetime(2024, 1, 1, 10, 0, 0, 123000)
-    assert out[0].trade_id == "u-1" and out[0].kafka_timestamp == ts(0)
-    # event time = broker timestamp; the non-positive price row is dropped
-    clean = clean_trades(decode_framed_avro(kafka)).collect()
-    assert [(r.symbol, r.event_time) for r in clean] == [("AAPL", ts(0))]
-    bad = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x2a\x08AA"), ts(0))],
-                                "value binary, timestamp timestamp")
-    with pytest.raises(Exception):
-        decode_framed_avro(bad).collect()
-    assert decode_framed_avro(bad, mode="PERMISSIVE").first().symbol is None
+    from tidemark.sources.trades import decode_framed_avro
+    kafka = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x2a\x08AAPL"), ts(0))],
+                                  "value binary, timestamp timestamp")
+    with pytest.raises(Exception, match="(?i)avro"):
+        decode_framed_avro(kafka).collect()
+
+
+def test_partition_dates_are_utc_in_any_session_zone(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.sinks import read_table, write_metrics_table
+    zone, found = spark.conf.get("spark.sql.session.timeZone"), set()
+    try:
+        rows = spark.range(6).select(F.lit("A").alias("symbol"),
+                                     F.timestamp_seconds(F.lit(1704067200 - 3 * 3600) + F.col("id") * 3600).alias("window_start"))
+        write_metrics_table(rows, str(tmp_path / "m"), mode="overwrite")
+        for z in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            lo, hi = (F.timestamp_seconds(F.lit(1704067200 + d * 3600)) for d in (-3, 2))
+            found.add(read_table(spark, str(tmp_path / "m"), start=lo, end=hi).count())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == {6}
 
 
 def test_metric_row_round_trip(spark):

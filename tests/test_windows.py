@@ -1,5 +1,6 @@
 """Window metrics (O-8…O-13) on hand goldens, run through Spark."""
 import math
+import os
 
 import pytest
 
@@ -87,7 +88,31 @@ def test_window_metrics_plan_is_single_shuffle(spark):
     assert "partial_sum" in plan  # map-side combine before the shuffle
 
 
-def test_vwap_overflow_falls_back_to_double(spark):
-    # price 1000 (1e11 units) x volume 1e8 overflows a 64-bit product: no error, double path
+def test_vwap_of_large_volumes(spark):
     r = one_window(spark, [("A", 1000.0, 100_000_000, 0), ("A", 1002.0, 100_000_000, 1)])
     assert r.vwap == 1001.0 and r.volume == 200_000_000 and r.rsi == 50.0
+
+
+@pytest.mark.parametrize("rows,vwap,rsi", [
+    ([(5e10, 1), (2e11, 3)], 1.625e11, 50.0), ([(1e-9, 1), (1e-9, 1), (4e-9, 1)], 0.0, 33.33),
+    ([(1.0, -5), (2.0, 3)], -0.5, 50.0), ([(3.0, 0), (5.0, 0)], None, 50.0)])
+def test_one_formula_for_all_magnitudes(spark, rows, vwap, rsi):
+    """Huge and tiny prices and negative volumes follow the plain expressions."""
+    got = window_metrics(trades_df(spark, [("A", p, v, 30 + i) for i, (p, v) in enumerate(rows)]), "1 minute", "1 minute").collect()
+    assert [(r.vwap, r.rsi) for r in got] == [(vwap, rsi)]
+
+
+def test_building_queries_runs_no_job(spark):
+    """No registered query of the market library computes or writes while it is built."""
+    from tidemark import catalog
+    tracker, shared = spark.sparkContext.statusTracker(), spark.conf.get("spark.checkpoint.dir")
+    before = len(tracker.getJobIdsForGroup(None)), sorted(os.listdir(shared))
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        for build in catalog.queries().values():
+            build(spark, "/root/testdata/sf0.001")
+        jobs = tracker.getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # schema inference of a Parquet folder is the only job that building may start
+    assert sorted(os.listdir(shared)) == before[1] and len(jobs) <= 2 * len(catalog.queries())

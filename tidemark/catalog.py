@@ -57,10 +57,10 @@ def q_window_metrics_hourly(spark, sf):
 
 # ---------------------------------------------------------------- anomaly detection
 _BASE_OUT = """SELECT symbol, window_start, window_end, vwap, volume, volatility, hist_n, price_n,
-       floor(price_mean * 1000000.0 + 0.5) / 1000000.0 AS price_mean,
+       floor(price_mean * 1000000000.0 + 0.5) / 1000000000.0 AS price_mean,
        floor(price_std * 1000000.0 + 0.5) / 1000000.0 AS price_std,
        floor(volume_mean * 10000.0 + 0.5) / 10000.0 AS volume_mean,
-       floor(volatility_mean * 100000000.0 + 0.5) / 100000000.0 AS volatility_mean
+       floor(volatility_mean * 100000000000.0 + 0.5) / 100000000000.0 AS volatility_mean
 FROM base"""
 
 
@@ -72,10 +72,10 @@ def q_rolling_baseline(spark, sf):
     b = anomaly.rolling_baseline(m)
     return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
                     "hist_n", "price_n",
-                    round_half_up("price_mean", 6).alias("price_mean"),
+                    round_half_up("price_mean", 9).alias("price_mean"),
                     round_half_up("price_std", 6).alias("price_std"),
                     round_half_up("volume_mean", 4).alias("volume_mean"),
-                    round_half_up("volatility_mean", 8).alias("volatility_mean"))
+                    round_half_up("volatility_mean", 11).alias("volatility_mean"))
 
 
 @register("rolling_baseline_reset",
@@ -89,10 +89,10 @@ def q_rolling_baseline_reset(spark, sf):
     b = anomaly.rolling_baseline(m, reset_after="2 hours")
     return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
                     "hist_n", "price_n",
-                    round_half_up("price_mean", 6).alias("price_mean"),
+                    round_half_up("price_mean", 9).alias("price_mean"),
                     round_half_up("price_std", 6).alias("price_std"),
                     round_half_up("volume_mean", 4).alias("volume_mean"),
-                    round_half_up("volatility_mean", 8).alias("volatility_mean"))
+                    round_half_up("volatility_mean", 11).alias("volatility_mean"))
 
 
 def _alerts(spark, sf, alert_type=None):
@@ -164,7 +164,7 @@ def q_alerts_json_roundtrip(spark, sf):
 @register("alert_annotations")
 def q_alert_annotations(spark, sf):
     """O-37: dashboard annotation payloads of the detector's alerts."""
-    return sinks.alert_annotations(Fixture(spark, sf).alerts())
+    return sinks.alert_annotations(Fixture(spark, sf).alerts_table())
 
 
 @register("latest_state", O.with_metrics(f"""

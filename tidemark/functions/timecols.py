@@ -49,6 +49,13 @@ def epoch_seconds_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(_as_ltz(later)) - F.unix_micros(_as_ltz(earlier))) / F.lit(1e6)
 
 
+def utc_date(c: Column) -> Column:
+    """The UTC date of a timestamp, whatever the session's time zone; the date of the stored
+    wall clock for timestamp_ntz."""
+    days = F.floor(F.unix_micros(_as_ltz(c)) / F.lit(86_400_000_000)).cast("int")
+    return F.date_from_unix_date(days)
+
+
 def time_bucket(col: Column | str, width: str | int | float | dt.timedelta) -> Column:
     """Epoch-aligned bucket number floor(epoch_us / width_us) (bigint)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -76,23 +83,22 @@ def resolve_as_of(as_of, reference: DataFrame | None = None, column: str | None
     return F.to_timestamp(F.lit(as_of))
 
 
-def time_range_filter(df: DataFrame, col: str, lo: Column | None = None, hi: Column | None = None,
-                      partition_source: str = "window_start") -> DataFrame:
+def time_range_filter(df: DataFrame, col: str, lo: Column | None = None, hi: Column | None = None) -> DataFrame:
     """``lo <= col <= hi`` plus the implied bounds on the ``dt`` partition column.
 
-    Tables written by :mod:`tidemark.operators.sinks` are partitioned by
-    ``dt = date(window_start)``; a predicate on the timestamp alone does not prune
-    partitions, so the date bounds are added explicitly. When filtering on a later
-    timestamp (``detected_at >= window_start``) only the upper bound carries over.
+    Tables written by :mod:`tidemark.operators.sinks` are partitioned by ``dt``, the UTC
+    date of window_start, and alert tables also by ``detected_dt``, that of detected_at; a
+    predicate on the timestamp alone does not prune them, so the date bounds are added.
     """
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col(col) >= lo)
     if hi is not None:
         cond = cond & (F.col(col) <= hi)
-    if "dt" in df.columns:
-        if lo is not None and col == partition_source:
-            cond = cond & (F.col("dt") >= F.to_date(lo))
-        if hi is not None and (col == partition_source or col == "detected_at"):
-            cond = cond & (F.col("dt") <= F.to_date(hi))
+    for part, source in (("dt", "window_start"), ("detected_dt", "detected_at")):
+        if part in df.columns and col == source:
+            if lo is not None:
+                cond = cond & (F.col(part) >= utc_date(lo))
+            if hi is not None:
+                cond = cond & (F.col(part) <= utc_date(hi))
     return df.filter(cond)

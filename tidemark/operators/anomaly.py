@@ -5,8 +5,8 @@ window_end, excluding the current row (row-based: gaps between windows do not
 count). A plain ``Window.partitionBy(symbol)`` would put every window of a hot
 symbol into one task, so :func:`rolling_baseline` splits each symbol into
 time chunks and hands every chunk a *halo* of the ``history`` rows that precede
-it. The per-chunk window then runs in parallel over (symbol, chunk); only a
-tiny table of chunk tails (≤ history rows per chunk) is ordered per symbol.
+it. The window then runs in parallel over (symbol, chunk); only the chunks'
+tails (one row per chunk) are ordered per symbol.
 """
 
 from __future__ import annotations
@@ -34,75 +34,16 @@ VOLATILITY_MESSAGE = "%s volatility spike: %.1fx above rolling average"
 
 DEFAULT_CHUNK = "1 day"
 _VALUES = ("vwap", "volume", "volatility")
-_DEC = "decimal(38,0)"
-_SUM_FIELDS = ("n", "pn", "s1", "s2", "sv", "st")
 
 
-def _row_sums() -> Column:
-    """Exact per-row contributions: rows, non-null vwaps, Σvwap_u, Σvwap_u², Σvolume, Σvol_u
-    (vwap in 1e-6 units, volatility in 1e-8 units: the METRICS rounding)."""
-    vu = F.floor(F.col("vwap") * F.lit(1e6) + F.lit(0.5))
-    tu = F.floor(F.col("volatility") * F.lit(1e8) + F.lit(0.5))
-    return F.struct(
-        F.lit(1).cast("bigint").alias("n"),
-        F.when(F.col("vwap").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("pn"),
-        F.coalesce(vu, F.lit(0)).cast("bigint").alias("s1"),
-        F.coalesce(vu.cast(_DEC) * vu.cast(_DEC), F.lit(0).cast(_DEC)).alias("s2"),
-        F.coalesce(F.col("volume"), F.lit(0)).cast("bigint").alias("sv"),
-        F.coalesce(tu, F.lit(0)).cast("bigint").alias("st"),
-    )
-
-
-def _frame_sums(w) -> list[Column]:
-    return [F.coalesce(F.sum(F.col(f"_x.{f}")).over(w), F.lit(0).cast(_DEC if f == "s2" else "bigint"))
-            .alias(f"_in_{f}") for f in _SUM_FIELDS]
-
-
-def _finish(df: DataFrame, halo: Column | None = None) -> DataFrame:
-    """Stats from in-frame sums (+ halo sums): means from exact integer sums, population
-    std from the exact numerator n·Σx² - (Σx)²; NULL where the history is empty.
-
-    The six totals are projected once and the statistics derived from them in a
-    second projection (each total is referenced several times; keeping them as
-    columns keeps the plan small and evaluates the halo lookup once per row).
-    """
-    keep = [c for c in df.columns if not c.startswith("_")]
-    tot = []
-    for f in _SUM_FIELDS:
-        c = F.col(f"_in_{f}")
-        if halo is not None:
-            c = c + F.coalesce(halo[f], F.lit(0).cast(_DEC if f == "s2" else "bigint"))
-        tot.append(c.alias(f"_t_{f}"))
-    t = df.select(*keep, *tot)
-    n, pn, s1, s2, sv, st = (F.col(f"_t_{f}") for f in _SUM_FIELDS)
-    var_num = (pn.cast(_DEC) * s2 - s1.cast(_DEC) * s1.cast(_DEC)).cast("double")
-    return t.select(
-        *keep,
-        n.alias("hist_n"),
-        pn.alias("price_n"),
-        (F.try_divide(s1, pn) / F.lit(1e6)).alias("price_mean"),
-        (F.sqrt(F.try_divide(var_num, (pn * pn).cast("double"))) / F.lit(1e6)).alias("price_std"),
-        F.try_divide(sv, n).alias("volume_mean"),
-        (F.try_divide(st, n) / F.lit(1e8)).alias("volatility_mean"),
-    )
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a Parquet table under the session's shared ``spark.checkpoint.dir``
-    and read it back.
-
-    Used where one intermediate feeds two branches of a plan (Spark cannot reuse
-    the exchange when the branches prune columns differently): the upstream work
-    runs exactly once (an RDD checkpoint would compute it twice unless cached),
-    lineage is cut, a lost executor re-reads files instead of recomputing, and
-    the branches get columnar, pruned scans.
-    """
-    import uuid
-
-    from ..session import scratch_path
-    path = scratch_path(df.sparkSession, "tidemark-tables", uuid.uuid4().hex)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _stats(w) -> list[Column]:
+    """The statistics of the history frame ``w``; NULL where the history is empty."""
+    return [F.count(F.lit(1)).over(w).alias("hist_n"),
+            F.count("vwap").over(w).alias("price_n"),
+            F.avg("vwap").over(w).alias("price_mean"),
+            F.stddev_pop("vwap").over(w).alias("price_std"),
+            F.avg("volume").over(w).alias("volume_mean"),
+            F.avg("volatility").over(w).alias("volatility_mean")]
 
 
 def _event_micros(df: DataFrame, col: str) -> Column:
@@ -113,121 +54,58 @@ def _event_micros(df: DataFrame, col: str) -> Column:
     return F.unix_micros(F.col(col).cast("timestamp"))
 
 
-def _segments(w, reset_us: int, name: str) -> list[Column]:
-    """Gap flag (> reset_us since the previous row under ``w``) and its running count."""
-    gap = F.coalesce((F.col("_t") - F.lag("_t").over(w)) > F.lit(reset_us), F.lit(False))
-    return [gap.alias("_gap")], F.sum(F.col("_gap").cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(name)
-
-
 def rolling_baseline(metrics: DataFrame, history: int = HISTORY_WINDOWS,
                      chunk: str | None = DEFAULT_CHUNK, order_col: str = "window_end",
-                     checkpoint: bool = False, reset_after: str | None = None) -> DataFrame:
+                     reset_after: str | None = None) -> DataFrame:
     """Append rolling stats over the previous ``history`` rows per symbol.
 
     Adds hist_n (rows in history), price_n / price_mean / price_std (population,
-    NULL vwaps skipped), volume_mean and volatility_mean. All are derived from
-    exact integer sums, so they do not depend on partitioning or summation order.
-    ``reset_after`` (e.g. "2 hours"): a gap longer than this between a symbol's
-    consecutive windows empties its history, like the live store's expiry; it
-    matches the stream's ``idle_ms``.
-
-    Scale: METRICS are shuffled once by (symbol, time chunk). One window pass per
-    chunk gives the in-chunk frame sums and the chunk's tail (its last ``history``
-    rows). The rows a chunk's first ``history`` rows need from earlier chunks (the
-    halo) are assembled from tails — one row per chunk, ordered per symbol — as
-    suffix sums, and joined back on (symbol, chunk). No task holds more than one
-    chunk of a symbol's metric rows; only the one-row-per-chunk table is ordered
-    per symbol. ``chunk=None`` uses a single per-symbol window (cross-checks and
-    small inputs only).
-
-    The chunked plan reads ``metrics`` twice (chunk rows and tails). Pass a table
-    scan, or ``checkpoint=True`` when ``metrics`` is an expensive derived plan (e.g.
-    the window aggregation over raw trades) so that work runs once.
+    NULL vwaps skipped), volume_mean and volatility_mean. ``reset_after`` (e.g.
+    "2 hours"): a gap longer than this between a symbol's consecutive windows
+    empties its history, like the live store's expiry; it matches the stream's
+    ``idle_ms``.
+
+    Scale: a chunk's own rows and its halo, the ``history`` rows before it, meet
+    in one window over (symbol, time chunk); halo rows are dropped after. Halos
+    come from the chunks' tails, one row per chunk, and only those are ordered
+    per symbol, so no task holds more than one chunk of a symbol. ``metrics`` is
+    read twice, for rows and tails. ``chunk=None`` uses a single per-symbol
+    window (cross-checks and small inputs only).
     """
     if history < 1:
         raise ValueError("history must be >= 1")
-    reset_us = None if reset_after is None else int(duration_seconds(reset_after) * 1_000_000)
-    extra = {"_x": _row_sums()}
-    if reset_us is not None:
-        extra["_t"] = _event_micros(metrics, order_col)
-    m = metrics.withColumns(extra)
+    order = [order_col, *_VALUES]  # a total order, so replayed windows rank alike everywhere
     if chunk is None:
-        part = ["symbol"]
-        if reset_us is not None:
-            w0 = Window.partitionBy("symbol").orderBy(order_col, "_x")
-            gap, seg = _segments(w0, reset_us, "_seg")
-            m = m.select("*", *gap).select("*", seg)
-            part.append("_seg")
-        w = Window.partitionBy(*part).orderBy(order_col, "_x").rowsBetween(-history, -1)
-        return _finish(m.select("*", *_frame_sums(w)))
-
-    if checkpoint:
-        m = materialize(m)
-    chunked = m.withColumn("_chunk", time_bucket(order_col, chunk))
-    body = chunked  # the window below requires (symbol, chunk) clustering: one hash exchange
-    # (order_col, _x) is a total order, so duplicate window_end rows (replays) are
-    # ordered identically here and in the sorted tails (structs sort field by field)
-    ordered = Window.partitionBy("symbol", "_chunk").orderBy(order_col, "_x")
-    seg_cols = ["symbol", "_chunk"]
-    if reset_us is not None:
-        # segments inside the chunk; (symbol, chunk) hash partitioning already clusters
-        # (symbol, chunk, segment), so this adds a sort, not an exchange
-        gap, seg = _segments(ordered, reset_us, "_lseg")
-        body = body.select("*", *gap).select("*", seg)
-        seg_cols.append("_lseg")
-    segw = Window.partitionBy(*seg_cols).orderBy(order_col, "_x")
-    w_in = body.select("*", *_frame_sums(segw.rowsBetween(-history, -1)),
-                       F.row_number().over(segw).alias("_rn"))
-
-    # tails: last `history` rows of each chunk. `row_number() <= k` is planned as a
-    # WindowGroupLimit whose partial half runs before the shuffle, so at most k rows
-    # per (task, symbol, chunk) cross the network.
-    rank = F.row_number().over(Window.partitionBy("symbol", "_chunk")
-                               .orderBy(F.col(order_col).desc(), F.col("_x").desc()))
-    fields = [F.col(order_col).alias("o"), F.col("_x").alias("x")]
-    if reset_us is not None:
-        fields.append(F.col("_t").alias("t"))
-    tails = (chunked.select("symbol", "_chunk", order_col, "_x", *(["_t"] if reset_us else []),
-                            rank.alias("_rk"))
-                    .filter(F.col("_rk") <= history)
-                    .groupBy("symbol", "_chunk")
-                    .agg(F.collect_list(F.struct(*fields)).alias("_tail")))
-    if reset_us is not None:
-        firsts = chunked.groupBy("symbol", "_chunk").agg(F.min("_t").alias("_first_t"))
-        tails = tails.join(firsts, ["symbol", "_chunk"])
-    # halo of chunk c: last `history` tail rows of the ≤ `history` non-empty chunks before c
-    prev = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(-history, -1)
-    h = F.array_sort(F.flatten(F.collect_list("_tail").over(prev)))
-    halos = tails.select("symbol", "_chunk", h.alias("_h"), *(["_first_t"] if reset_us else []))
-    if reset_us is not None:
-        # keep only the halo rows after the last gap (between halo rows, or before the chunk)
-        ext = F.concat(F.transform("_h", lambda e: e["t"]), F.array(F.col("_first_t")))
-        n = F.size(ext)
-        starts = F.when(n >= 2, F.filter(F.sequence(F.lit(2), n),
-                                         lambda i: F.element_at(ext, i) - F.element_at(ext, i - 1)
-                                         > F.lit(reset_us)))
-        start = F.coalesce(F.array_max(starts), F.lit(1))
-        halos = halos.select("symbol", "_chunk",
-                             F.slice("_h", start, F.size("_h") - start + 1).alias("_h"))
-    zero = F.struct(*[F.lit(0).cast(_DEC if f == "s2" else "bigint").alias(f) for f in _SUM_FIELDS])
-
-    def merge(acc, e):
-        return F.struct(*[(acc[f] + e["x"][f]).alias(f) for f in _SUM_FIELDS])
-
-    # _hs[k] = sums over the last k halo rows (k = 1..history)
-    suffix = F.transform(
-        F.sequence(F.lit(1), F.lit(history)),
-        lambda k: F.aggregate(F.slice("_h", F.greatest(F.size("_h") - k + 1, F.lit(1)), k), zero, merge))
-    halos = halos.select("symbol", "_chunk", suffix.alias("_hs"))
-
-    joined = w_in.join(halos, ["symbol", "_chunk"], "left")
-    k = F.lit(history) - F.col("_rn") + F.lit(1)
-    use = k >= 1
-    if reset_us is not None:
-        use = use & (F.col("_lseg") == 0)   # only the chunk's first segment continues earlier rows
-    need = F.when(use, F.element_at(F.col("_hs"), k.cast("int")))
-    return _finish(joined, need)
+        rows, key = metrics.withColumn("_halo", F.lit(False)), ["symbol"]
+    else:
+        rows, key = _with_halos(metrics, history, chunk, order_col, order), ["symbol", "_chunk"]
+    if reset_after is not None:
+        limit_us = int(duration_seconds(reset_after) * 1_000_000)
+        w = Window.partitionBy(*key).orderBy(*order)
+        gap = rows.withColumn("_t", _event_micros(rows, order_col))
+        gap = gap.withColumn("_gap", F.coalesce(F.col("_t") - F.lag("_t").over(w) > limit_us, F.lit(False)).cast("int"))
+        rows = gap.withColumn("_seg", F.sum("_gap").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        key = [*key, "_seg"]
+    frame = Window.partitionBy(*key).orderBy(*order).rowsBetween(-history, -1)
+    return rows.select(*metrics.columns, "_halo", *_stats(frame)).where(~F.col("_halo")).drop("_halo")
+
+
+def _with_halos(metrics: DataFrame, history: int, chunk: str, order_col: str, order: list[str]) -> DataFrame:
+    """``metrics`` with ``_chunk`` and ``_halo``: every chunk's rows and, marked, the ``history``
+    rows of its symbol before it."""
+    body = metrics.withColumn("_chunk", time_bucket(order_col, chunk))
+    newest = Window.partitionBy("symbol", "_chunk").orderBy(*[F.col(c).desc() for c in order])
+    # planned as a WindowGroupLimit: at most `history` rows per task and chunk are shuffled
+    tails = (body.select("symbol", "_chunk", *order, F.row_number().over(newest).alias("_rank"))
+             .where(F.col("_rank") <= history).groupBy("symbol", "_chunk")
+             .agg(F.collect_list(F.struct(*order)).alias("_tail")))
+    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(-history, -1)
+    before = F.array_sort(F.flatten(F.collect_list("_tail").over(earlier)))
+    halos = (tails.select("symbol", "_chunk", before.alias("_b"))
+             .select("symbol", "_chunk", F.inline(F.slice(
+                 "_b", F.greatest(F.lit(1), F.size("_b") - history + 1), F.lit(history)))))
+    return (body.withColumn("_halo", F.lit(False))
+            .unionByName(halos.withColumn("_halo", F.lit(True)), allowMissingColumns=True))
 
 
 def _alert(symbol, alert_type, severity, z_score, threshold, current, baseline, message,
@@ -301,8 +179,7 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
                      price_z: float = PRICE_Z_THRESHOLD, volume_x: float = VOLUME_MULTIPLIER,
                      volatility_x: float = VOLATILITY_MULTIPLIER,
                      detected_at: Column | str | None = None, chunk: str | None = DEFAULT_CHUNK,
-                     min_history: int = 1, checkpoint: bool = False,
-                     reset_after: str | None = None) -> DataFrame:
+                     min_history: int = 1, reset_after: str | None = None) -> DataFrame:
     """METRICS -> ALERTS (symbol, alert_type, severity, z_score, threshold,
     current_value, baseline_value, message, window_start, window_end, detected_at).
 
@@ -311,6 +188,5 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     ``detected_at`` defaults to the current timestamp.
     """
     base = rolling_baseline(metrics.select("symbol", "window_start", "window_end", *_VALUES),
-                            history=history, chunk=chunk, checkpoint=checkpoint,
-                            reset_after=reset_after)
+                            history=history, chunk=chunk, reset_after=reset_after)
     return alerts_from_baseline(base, price_z, volume_x, volatility_x, detected_at, min_history)

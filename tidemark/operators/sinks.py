@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.timecols import epoch_millis
+from ..functions.timecols import epoch_millis, utc_date
 
 # JDBC append options of the reference's metrics sink.
 JDBC_OPTIONS = {"batchsize": "1000", "reWriteBatchedInserts": "true", "driver": "org.postgresql.Driver"}
@@ -18,7 +18,8 @@ def to_keyed_json(df: DataFrame, key: str = "symbol") -> DataFrame:
 
 
 def with_partition_date(df: DataFrame, ts_col: str = "window_start") -> DataFrame:
-    return df.withColumn("dt", F.to_date(F.col(ts_col)))
+    """``dt``, the UTC date of ``ts_col``: the same whatever zone writer and reader run in."""
+    return df.withColumn("dt", utc_date(F.col(ts_col)))
 
 
 def write_metrics_table(df: DataFrame, path: str, mode: str = "append", batch_id: int | None = None,
@@ -55,11 +56,11 @@ def read_table(spark: SparkSession, path: str, ts_col: str = "window_start",
     scan prunes partitions (a predicate on the timestamp alone cannot)."""
     df = spark.read.option("basePath", path).parquet(path)
     if start is not None:
-        s = F.lit(start) if not isinstance(start, Column) else start
-        df = df.filter((F.col("dt") >= F.to_date(s)) & (F.col(ts_col) >= s))
+        s = start if isinstance(start, Column) else F.lit(start).cast(df.schema[ts_col].dataType)
+        df = df.filter((F.col("dt") >= utc_date(s)) & (F.col(ts_col) >= s))
     if end is not None:
-        e = F.lit(end) if not isinstance(end, Column) else end
-        df = df.filter((F.col("dt") <= F.to_date(e)) & (F.col(ts_col) <= e))
+        e = end if isinstance(end, Column) else F.lit(end).cast(df.schema[ts_col].dataType)
+        df = df.filter((F.col("dt") <= utc_date(e)) & (F.col(ts_col) <= e))
     return df
 
 
@@ -72,20 +73,25 @@ def write_jdbc(df: DataFrame, url: str, table: str, user: str, password: str, **
 
 def audit_rows(alerts: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Alert audit rows (O-36): the 11 alert columns plus acknowledged=false and
-    detected_at defaulted to now when absent; ``id`` is a unique, non-consecutive
-    bigint (no global ordering pass)."""
+    detected_at defaulted to now when absent; ``id`` is a non-negative bigint, a hash of what
+    identifies the alert, so that a replay of its batch gives it again."""
     if "detected_at" in alerts.columns:
         # keep the column's own type (timestamp or timestamp_ntz)
         now = F.current_timestamp().cast(alerts.schema["detected_at"].dataType)
         det = F.coalesce(F.col("detected_at"), now)
     else:
         det = F.current_timestamp()
-    cols = {"detected_at": det, "acknowledged": F.lit(False), "id": F.monotonically_increasing_id()}
+    cols = {"detected_at": det, "acknowledged": F.lit(False), "id": alert_id()}
     if created_at is not None:
         cols["created_at"] = created_at
     return alerts.withColumns(cols)
 
 
+def alert_id() -> Column:
+    return F.xxhash64("symbol", "alert_type", epoch_millis("window_start"),
+                      epoch_millis("window_end")).bitwiseAND(F.lit((1 << 63) - 1))
+
+
 def alert_annotations(alerts: DataFrame) -> DataFrame:
     """Dashboard annotation payloads (O-37): time = detected_at ms, tags, text, global scope."""
     return alerts.select(

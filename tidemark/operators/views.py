@@ -26,10 +26,9 @@ def latest_per_key(df: DataFrame, key: str | list[str] = "symbol", order_col: st
     """One row per key: the row with the greatest ``order_col`` (DISTINCT ON ... ORDER BY desc)."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in (columns or df.columns) if c not in keys]
-    # order column first in the packed struct so ties on order_col break deterministically
-    packed = F.struct(F.col(order_col).alias("_o"), *[F.col(c) for c in cols])
-    return (df.groupBy(*keys).agg(F.max(packed).alias("_r"))
-              .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    # one max_by per column keeps fixed-width buffers, hence hash aggregates without a sort
+    return df.groupBy(*keys).agg(*[F.max_by(c, order_col).alias(c) for c in cols if c != order_col],
+                                 F.max(order_col).alias(order_col)).select(*keys, *cols)
 
 
 def latest_metrics(metrics_table: DataFrame) -> DataFrame:
@@ -81,7 +80,8 @@ def metric_history(metrics: DataFrame, n: int = HISTORY_SIZE, order_col: str = "
     ``row_number() <= n`` is planned as WindowGroupLimit (partial limit before
     the shuffle, final after), so a hot symbol ships at most n rows per task.
     """
-    w = Window.partitionBy("symbol").orderBy(F.col(order_col).desc())
+    w = Window.partitionBy("symbol").orderBy(F.col(order_col).desc(), *[
+        F.col(c).desc() for c in ("window_start", "volume", "vwap") if c in metrics.columns and c != order_col])
     return (metrics.withColumn("rank", F.row_number().over(w))
                    .filter(F.col("rank") <= n))
 

@@ -18,26 +18,6 @@ DEFAULT_SLIDE = "30 seconds"
 DEFAULT_WATERMARK = "30 seconds"
 
 
-# Prices are quantised to 1e-8 (PRICE_SCALE units) and summed exactly as 64-bit
-# integers, so the rounded outputs are exact rationals rounded half-up: independent
-# of the summation order, hence of partitioning, AQE coalescing and replays. The
-# per-row work stays on primitive longs (decimal(38) sums cost ~5x); only the final
-# per-window division uses decimals. A window whose integer sums would overflow
-# 64 bits (~9.2e10 of notional in one symbol-window) falls back to double sums.
-PRICE_SCALE = 10 ** 8
-_DEC = "decimal(38,0)"
-
-
-def price_units(col: str = "price"):
-    """Price in integer units of 1e-8 (bigint)."""
-    return F.floor(F.col(col) * F.lit(float(PRICE_SCALE)) + F.lit(0.5))
-
-
-def _half_up_units(expr_num: str, expr_den: str, scale_out: int):
-    """floor(num/den + 1/2) / scale_out with exact integral division (num >= 0, den > 0)."""
-    return F.expr(f"(2 * ({expr_num}) + ({expr_den})) div (2 * ({expr_den}))") / F.lit(float(scale_out))
-
-
 def window_metrics(trades: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,
                    watermark: str | None = DEFAULT_WATERMARK, event_time: str = "event_time") -> DataFrame:
     """TRADES -> METRICS (symbol, window_start, window_end, vwap, volatility, rsi,
@@ -54,47 +34,22 @@ def window_metrics(trades: DataFrame, window: str = DEFAULT_WINDOW, slide: str =
     df = trades
     if df.isStreaming and watermark:
         df = df.withWatermark(event_time, watermark)
-    pu = price_units("price")
-    pv = F.try_multiply(pu, F.col("volume"))
-    grouped = df.groupBy(F.col("symbol"), F.window(event_time, window, slide).alias("window"))
-    agg = grouped.agg(
-        F.try_sum(pv).alias("_spv"),
-        F.max(F.when(pv.isNull() & F.col("volume").isNotNull(), F.lit(1)).otherwise(F.lit(0)))
-         .alias("_pv_ovf"),
-        F.sum(F.col("price") * F.col("volume")).alias("_pvd"),
-        F.sum("volume").alias("_vol"),
-        F.try_sum(pu).alias("_sp"),
-        F.avg("price").alias("_avg"),
-        F.count("price").alias("_n"),
-        F.max(pu).alias("_hi"),
-        F.min(pu).alias("_lo"),
-        F.max("price").alias("_hip"),
-        F.min("price").alias("_lop"),
-        F.stddev_pop("price").alias("_sd"),
-        F.count(F.lit(1)).alias("trade_count"),
-    )
-    scale6 = PRICE_SCALE // 10 ** 6
-    exact_vwap = _half_up_units(f"CAST(_spv AS {_DEC})", f"{scale6} * CAST(_vol AS {_DEC})", 10 ** 6)
-    double_vwap = F.round(F.col("_pvd") / F.col("_vol"), 6)
-    vwap = F.when(F.col("_vol") != 0,
-                  F.when(F.col("_spv").isNotNull() & (F.col("_pv_ovf") == 0), exact_vwap)
-                   .otherwise(double_vwap))
-    # rsi·100 = (Σp - n·low)·10^4 / (n·(high-low)), rounded half-up to an integer
-    n_dec, lo_dec, hi_dec = f"CAST(_n AS {_DEC})", f"CAST(_lo AS {_DEC})", f"CAST(_hi AS {_DEC})"
-    exact_rsi = _half_up_units(f"10000 * (CAST(_sp AS {_DEC}) - {n_dec} * {lo_dec})",
-                               f"{n_dec} * ({hi_dec} - {lo_dec})", 100)
-    double_rsi = F.round((F.col("_avg") - F.col("_lop")) / (F.col("_hip") - F.col("_lop")) * 100.0, 2)
-    rsi = F.when(F.col("_hi") == F.col("_lo"), F.lit(50.0)).otherwise(
-        F.when(F.col("_sp").isNotNull(), exact_rsi).otherwise(double_rsi))
+    p, v = F.col("price"), F.col("volume")
+    span = F.col("_hi") - F.col("_lo")
+    agg = df.groupBy(F.col("symbol"), F.window(event_time, window, slide).alias("window")).agg(
+        F.sum(p * v).alias("_pv"), F.sum(v).alias("volume"), F.avg(p).alias("_avg"),
+        F.stddev_pop(p).alias("_sd"), F.max(p).alias("_hi"), F.min(p).alias("_lo"),
+        F.count(F.lit(1)).alias("trade_count"))
+    rsi = F.when(span == 0, F.lit(50.0)).otherwise((F.col("_avg") - F.col("_lo")) / span * 100.0)
     return agg.select(
         F.col("symbol"),
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        vwap.alias("vwap"),
+        F.round(F.try_divide("_pv", "volume"), 6).alias("vwap"),
         F.round(F.coalesce(F.col("_sd"), F.lit(0.0)), 8).alias("volatility"),
-        F.coalesce(rsi, F.lit(50.0)).alias("rsi"),
-        F.col("_vol").alias("volume"),
+        F.round(F.coalesce(rsi, F.lit(50.0)), 2).alias("rsi"),
+        F.col("volume"),
         F.col("trade_count"),
-        _half_up_units("_hi", str(scale6), 10 ** 6).alias("high"),
-        _half_up_units("_lo", str(scale6), 10 ** 6).alias("low"),
+        F.round("_hi", 6).alias("high"),
+        F.round("_lo", 6).alias("low"),
     )

@@ -21,23 +21,25 @@ TRADES = """trades AS (
   FROM events WHERE upper(event_type) IS NOT NULL AND value > 0)"""
 
 
+def _half_up(value: str, places: int) -> str:
+    """Half-up rounding of the decimal digits a double prints as, which SQL round on doubles,
+    multiplying first, misses just below a tie."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)), {places}) AS DOUBLE)"
+
+
 def _metrics(name: str, window: str, slide: str) -> str:
     w, s = int(duration_seconds(window)), int(duration_seconds(slide))
     return f"""{name} AS (
   SELECT symbol, ws AS window_start, ws + INTERVAL {w} SECOND AS window_end,
-         CASE WHEN sum(volume) <> 0 THEN
-           CAST((2 * sum(CAST(pu AS HUGEINT) * volume) + 100 * sum(volume)) // (200 * sum(volume)) AS DOUBLE)
-           / 1e6 END AS vwap,
-         round(coalesce(stddev_pop(price), 0.0), 8) AS volatility,
-         CASE WHEN max(pu) = min(pu) THEN 50.0::DOUBLE
-              ELSE CAST((2 * 10000 * (sum(CAST(pu AS HUGEINT)) - count(price) * min(pu))
-                         + count(price) * (max(pu) - min(pu)))
-                        // (2 * count(price) * (max(pu) - min(pu))) AS DOUBLE) / 100.0::DOUBLE END AS rsi,
+         {_half_up("list_reduce(list(price * volume ORDER BY CAST(trade_id AS BIGINT)) FILTER (WHERE volume IS NOT NULL),"
+                   " lambda a, b: a + b) / nullif(sum(volume), 0)", 6)} AS vwap,
+         {_half_up("coalesce(stddev_pop(price), 0.0)", 8)} AS volatility,
+         {_half_up("CASE WHEN max(price) - min(price) = 0 THEN 50.0::DOUBLE ELSE (avg(price) - min(price))"
+                   " / (max(price) - min(price)) * 100.0::DOUBLE END", 2)} AS rsi,
          CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count,
-         CAST((2 * max(pu) + 100) // 200 AS DOUBLE) / 1e6 AS high,
-         CAST((2 * min(pu) + 100) // 200 AS DOUBLE) / 1e6 AS low,
+         {_half_up("max(price)", 6)} AS high, {_half_up("min(price)", 6)} AS low,
          ws + INTERVAL {w + LAG_S} SECOND AS created_at
-  FROM (SELECT t.*, CAST(floor(price * 1e8 + 0.5) AS BIGINT) AS pu,
+  FROM (SELECT t.*,
                time_bucket(INTERVAL {s} SECOND, event_time, TIMESTAMP '1970-01-01')
                  - r.i * INTERVAL {s} SECOND AS ws
         FROM trades t, range({w // s}) r(i))
@@ -48,17 +50,17 @@ M1 = _metrics("m1", *METRIC_WINDOW)
 MH = _metrics("mh", *ANOMALY_WINDOW)
 
 def _base(source: str = "mh", partition: str = "symbol") -> str:
+    """Stats of the 20 rows before each; means as the sum in history order over the count."""
     return f"""base AS (
-  SELECT symbol, window_start, window_end, vwap, volume, volatility,
-         count(*) OVER w AS hist_n, count(vwap) OVER w AS price_n,
-         sum(vu) OVER w / count(vwap) OVER w / 1e6 AS price_mean,
-         sqrt(CAST(count(vwap) OVER w * sum(CAST(vu AS HUGEINT) * vu) OVER w
-                   - CAST(sum(vu) OVER w AS HUGEINT) * sum(vu) OVER w AS DOUBLE)
-              / CAST(count(vwap) OVER w * count(vwap) OVER w AS DOUBLE)) / 1e6 AS price_std,
-         sum(volume) OVER w / count(*) OVER w AS volume_mean,
-         sum(CAST(floor(volatility * 1e8 + 0.5) AS BIGINT)) OVER w / count(*) OVER w / 1e8 AS volatility_mean
-  FROM (SELECT *, CAST(floor(vwap * 1e6 + 0.5) AS BIGINT) AS vu FROM {source})
-  WINDOW w AS (PARTITION BY {partition} ORDER BY window_end ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))"""
+  SELECT * EXCLUDE (vs, ts), list_reduce(vs, lambda a, b: a + b) / len(vs) AS price_mean,
+         list_reduce(ts, lambda a, b: a + b) / len(ts) AS volatility_mean
+  FROM (SELECT symbol, window_start, window_end, vwap, volume, volatility,
+               count(*) OVER w AS hist_n, count(vwap) OVER w AS price_n,
+               stddev_pop(vwap) OVER w AS price_std, avg(volume) OVER w AS volume_mean,
+               list(vwap) FILTER (WHERE vwap IS NOT NULL) OVER w AS vs,
+               list(volatility) FILTER (WHERE volatility IS NOT NULL) OVER w AS ts
+        FROM {source}
+        WINDOW w AS (PARTITION BY {partition} ORDER BY window_end ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)))"""
 
 
 BASE = _base()

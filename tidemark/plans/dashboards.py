@@ -68,7 +68,8 @@ def recent_alerts(alerts, as_of=None, lookback="1 hour", limit=20, with_message=
     """O-56: the 20 most recent alerts of the last hour."""
     cols = ["detected_at", "symbol", "alert_type", "severity", "z_score"] + (["message"] if with_message else [])
     return _since(alerts, "detected_at", lookback, as_of, "detected_at") \
-        .select(*cols).orderBy(F.col("detected_at").desc(), "symbol", "alert_type").limit(limit)
+        .select(*cols, "window_start").orderBy(F.col("detected_at").desc(), "symbol", "alert_type",
+                                               F.col("window_start").desc()).limit(limit).select(*cols)
 
 
 def symbols(metrics):
@@ -104,7 +105,8 @@ def symbol_alerts(alerts, symbol, start=None, end=None, as_of=None, lookback="1
     d = _range(alerts.filter(F.col("symbol") == F.lit(symbol)), "detected_at", start, end, as_of,
                lookback, "detected_at")
     cols = ["detected_at", "alert_type", "severity", "z_score"] + (["message"] if with_message else [])
-    return d.select(*cols).orderBy(F.col("detected_at").desc(), "alert_type").limit(limit)
+    return d.select(*cols, "window_start").orderBy(
+        F.col("detected_at").desc(), "alert_type", F.col("window_start").desc()).limit(limit).select(*cols)
 
 
 def stream_status(metrics, as_of=None, lookback="2 minutes"):

@@ -105,13 +105,8 @@ def alerts(alerts_table: DataFrame, symbol: str | None = None, severity: str | N
     d = _alert_filters(alerts_table, symbol, severity, alert_type, hours, as_of)
     cols = ["id", "symbol", "alert_type", "severity", "z_score", "threshold", "current_value",
             "baseline_value", "message", "window_start", "window_end", "detected_at", "acknowledged"]
-    defaults = {"z_score": F.coalesce(F.col("z_score"), F.lit(0.0)),
-                "threshold": F.coalesce(F.col("threshold"), F.lit(0.0)),
-                "current_value": F.nullif(F.col("current_value"), F.lit(0.0)),
-                "baseline_value": F.nullif(F.col("baseline_value"), F.lit(0.0))}
-    out = [defaults.get(c, F.col(c)).alias(c) for c in cols
-           if c in d.columns and (with_message or c != "message")]
-    return (d.select(*out)
+    out = [c for c in cols if c in d.columns and (with_message or c != "message")]
+    return (alert_row_defaults(d).select(*out)
              .orderBy(F.col("detected_at").desc(), "symbol", "alert_type", F.col("window_start").desc())
              .limit(limit))
 

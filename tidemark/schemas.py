@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 ALERT_TYPES = ("PRICE_ANOMALY", "VOLUME_SPIKE", "VOLATILITY_SPIKE")
 SEVERITIES = ("INFO", "WARNING", "CRITICAL")
 
-# Avro record of a raw trade on the wire (timestamp-millis logical type).
+# Fixed value: Avro record of a raw trade on the wire (timestamp-millis logical type).
 RAW_TRADE_AVRO = """{
   "type": "record",
   "name": "RawTrade",
@@ -38,6 +38,7 @@ TRADES = T.StructType([
     T.StructField("trade_id", T.StringType()),
 ])
 
+# The columns of the stored and sent tables.
 METRIC_COLUMNS = ["symbol", "window_start", "window_end", "vwap", "volatility", "rsi",
                   "volume", "trade_count", "high", "low"]
 
@@ -75,6 +76,7 @@ ALERTS = T.StructType([
 # so every field is read as a string first and converted afterwards.
 ALERT_JSON = T.StructType([T.StructField(f.name, T.StringType()) for f in ALERTS.fields])
 
+# Fixed value: the pipeline metric row.
 PIPELINE_METRICS = T.StructType([
     T.StructField("metric_name", T.StringType(), False),
     T.StructField("metric_value", T.DoubleType(), False),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,7 +36,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -52,35 +50,17 @@ def _export_package_path() -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster's setting always wins; only when it is unset (local tests) a
-    fresh scratch folder is created and registered. Works without a
-    SparkContext handle too (the library only needs the folder path).
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # e.g. a Spark Connect session
-        sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
-        if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    return conf_dir
+    """The shared folder that ``spark.checkpoint.dir`` names. It must be set: a folder made
+    here would be local to one machine, and executors would not see each other's files."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (never a machine-local temp dir)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts])
+    """A path under the shared checkpoint folder."""
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
 def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,

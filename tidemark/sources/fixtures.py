@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timecols import as_interval
-from ..operators.anomaly import detect_anomalies, materialize
+from ..operators.anomaly import detect_anomalies
 from ..operators.dedup import dedup_alerts
 from ..operators.sinks import audit_rows
 from ..operators.windows import window_metrics
@@ -71,13 +71,11 @@ class Fixture:
 
     @cached_property
     def anomaly_table(self) -> DataFrame:
-        """The detector's METRICS (1 h / 30 min) written once as a Parquet table in the
-        shared checkpoint folder: the detector reads it twice (chunk rows and tails)
-        and the as-of subquery once, none of them re-aggregates the trades."""
-        return materialize(self.metrics(*ANOMALY_WINDOW))
+        """The detector's METRICS (1 h / 30 min), lazy like every other table here."""
+        return self.metrics(*ANOMALY_WINDOW)
 
     def anomaly_metrics(self) -> DataFrame:
-        return self.metrics(*ANOMALY_WINDOW)
+        return self.anomaly_table
 
     def alerts(self) -> DataFrame:
         """Detector output with detected_at = window_end (deterministic)."""

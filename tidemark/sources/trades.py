@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import RAW_TRADE, RAW_TRADE_AVRO
 
-# Kafka source options used by the trade stream.
-KAFKA_TRADE_OPTIONS = {
-    "subscribe": "raw-trades",
-    "startingOffsets": "latest",
-    "failOnDataLoss": "false",
-    "maxOffsetsPerTrigger": "100000",
-}
+# The topic, and the options the reference reads it with. Those skip rows the
+# broker has expired and cap a batch, so they are not the defaults here: pass them by name.
+KAFKA_TRADE_OPTIONS = {"subscribe": "raw-trades", "startingOffsets": "earliest", "failOnDataLoss": "true"}
+REFERENCE_KAFKA_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "100000"}
 # Schema-registry wire format: 1 magic byte + 4-byte schema id before the payload.
 WIRE_HEADER_BYTES = 5
 
@@ -49,29 +46,16 @@ def decode_framed_avro(kafka_rows: DataFrame, schema_json: str = RAW_TRADE_AVRO,
                        mode: str = "FAILFAST") -> DataFrame:
     """Kafka rows -> (trade struct fields..., kafka_timestamp).
 
-    Uses the JVM ``from_avro`` when the spark-avro module is loaded, otherwise the
-    Arrow-batched flat-record decoder. FAILFAST (default) fails the batch on a bad
-    payload, as the original job does.
+    Needs the spark-avro module on the classpath (``--packages org.apache.spark:spark-avro``).
+    FAILFAST (default) fails the batch on a bad payload, as the original job does.
     """
-    payload = strip_wire_header("value")
-    if _jvm_avro_loaded(kafka_rows.sparkSession):
-        from pyspark.sql.avro.functions import from_avro
-        trade = from_avro(payload, schema_json, {"mode": mode})
-    else:
-        from .avro import from_avro_flat
-        trade = from_avro_flat(payload, schema_json, mode)
+    from pyspark.sql.avro.functions import from_avro
+
+    trade = from_avro(strip_wire_header("value"), schema_json, {"mode": mode})
     decoded = kafka_rows.select(trade.alias("trade"), F.col("timestamp").alias("kafka_timestamp"))
     return decoded.select("trade.*", "kafka_timestamp")
 
 
-def _jvm_avro_loaded(spark: SparkSession) -> bool:
-    try:
-        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroDataToCatalyst")
-        return True
-    except Exception:
-        return False
-
-
 def clean_trades(raw: DataFrame, event_time: str = "kafka_timestamp") -> DataFrame:
     """Project to the TRADES contract and drop invalid rows.
 

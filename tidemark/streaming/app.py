@@ -63,11 +63,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
 def _partition_values(spark: SparkSession, root: str, name: str, committed: bool = False) -> list[int]:
     """Integer values of ``root/name=V`` folders (one directory listing); with
     ``committed`` only folders whose write job finished (``_SUCCESS`` marker)."""

@@ -3,8 +3,8 @@
 Spark keeps, per symbol, the last ``history`` METRICS values in a RocksDB-backed
 value state (``transformWithStateInPandas``). For every closed window the
 processor emits the METRICS row plus the same baseline statistics the batch
-:func:`tidemark.operators.anomaly.rolling_baseline` computes — from the same
-exact integer sums — so batch and stream produce identical alerts. Signals,
+:func:`tidemark.operators.anomaly.rolling_baseline` computes, on arrays and in
+the same order of summation, so batch and stream produce the same alerts. Signals,
 severities and messages are then ordinary Spark expressions
 (:func:`alerts_from_baseline`). Idle symbols are dropped by an event-time timer.
 """
@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -38,31 +39,35 @@ BASELINE_FIELDS = [
 ]
 BASELINE_OUT = T.StructType(list(METRICS.fields) + BASELINE_FIELDS)
 
-_STATE = T.StructType([
-    T.StructField("vwap_u", T.ArrayType(T.LongType())),     # vwap in 1e-6 units (NULL kept)
-    T.StructField("volume", T.ArrayType(T.LongType())),
-    T.StructField("vol_u", T.ArrayType(T.LongType())),      # volatility in 1e-8 units
-    T.StructField("last_end_ms", T.LongType()),
-])
-
-
-def _units(x, scale: float):
-    if x is None or (isinstance(x, float) and math.isnan(x)):
-        return None
-    return int(math.floor(float(x) * scale + 0.5))
-
-
-def _stats(vw: list, vol: list, tv: list) -> tuple:
-    n = len(vw)
-    present = [v for v in vw if v is not None]
-    pn = len(present)
-    s1 = sum(present)
-    s2 = sum(v * v for v in present)
-    sv = sum(v for v in vol if v is not None)
-    st = sum(v for v in tv if v is not None)
-    mean = (s1 / pn) / 1e6 if pn else None
-    std = math.sqrt(float(pn * s2 - s1 * s1) / float(pn * pn)) / 1e6 if pn else None
-    return (n, pn, mean, std, (sv / n) if n else None, ((st / n) / 1e8) if n else None)
+_VALUES = ("vwap", "volume", "volatility")
+_STATE = T.StructType([T.StructField(c, T.ArrayType(T.DoubleType())) for c in _VALUES]
+                      + [T.StructField("end_ms", T.ArrayType(T.LongType()))])
+
+
+def _frames(x: np.ndarray, first: np.ndarray, history: int) -> np.ndarray:
+    """Row i: the ``history`` values before i, oldest first; NaN where there is none or it lies
+    before ``first[i]``, the start of the row's segment."""
+    n = len(x)
+    padded = np.concatenate([np.full(history, np.nan), x])
+    frames = np.lib.stride_tricks.sliding_window_view(padded, history)[:n].copy()
+    frames[np.arange(n)[:, None] - history + np.arange(history)[None, :] < first[:, None]] = np.nan
+    return frames
+
+
+def _moments(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count, mean and population std of each row's values, updated in order as Spark does."""
+    n, total, mean, m2 = (np.zeros(len(frames)) for _ in range(4))
+    for x in frames.T:
+        has = ~np.isnan(x)
+        v = np.where(has, x, 0.0)
+        total += v
+        n += has
+        step = np.where(has, (v - mean) / np.maximum(n, 1), 0.0)
+        m2 += np.where(has, (v - mean) * (v - mean - step), 0.0)
+        mean += step
+    none = n == 0
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return n, np.where(none, np.nan, total / n), np.where(none, np.nan, np.sqrt(m2 / n))
 
 
 class RollingHistory(StatefulProcessor):
@@ -77,42 +82,29 @@ class RollingHistory(StatefulProcessor):
         self.state = handle.getValueState("history", _STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        # same total order as the batch baseline: window_end, then the exact-sum key
-        # (vwap present, vwap units, their square, volume, volatility units)
-        vu = pdf["vwap"].map(lambda x: _units(x, 1e6))
-        keys = pd.DataFrame({
-            "e": pdf["window_end"], "pn": vu.notna().astype("int64"),
-            "s1": vu.fillna(0).astype("int64"), "s2": vu.fillna(0).map(lambda v: int(v) * int(v)),
-            "sv": pdf["volume"].fillna(0).astype("int64"),
-            "st": pdf["volatility"].map(lambda x: _units(x, 1e8)).fillna(0).astype("int64")})
-        pdf = pdf.loc[keys.sort_values(["e", "pn", "s1", "s2", "sv", "st"], kind="stable").index]
-        if self.state.exists():
-            st = self.state.get()
-            vw, vol, tv, last = list(st[0]), list(st[1]), list(st[2]), st[3]
-        else:
-            vw, vol, tv, last = [], [], [], None
-        out = []
-        for r in pdf.itertuples(index=False):
-            end_ms = int(pd.Timestamp(r.window_end).value // 1_000_000)
-            if self.idle_ms and last is not None and end_ms - last > self.idle_ms:
-                vw, vol, tv = [], [], []   # history expired during the gap (event time)
-            last = end_ms if last is None else max(last, end_ms)
-            out.append(_stats(vw, vol, tv))
-            vw.append(_units(r.vwap, 1e6))
-            vol.append(None if pd.isna(r.volume) else int(r.volume))
-            tv.append(_units(r.volatility, 1e8))
-            vw, vol, tv = vw[-self.history:], vol[-self.history:], tv[-self.history:]
-        self.state.update((vw, vol, tv, last))
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["window_end", *_VALUES], kind="stable",
+                                                                   na_position="first", ignore_index=True)
+        old = [np.array(x, np.float64) for x in self.state.get()] if self.state.exists() else [np.zeros(0)] * 4
+        ends = np.concatenate([old[3], pdf["window_end"].astype("datetime64[ms]").astype("int64")]).astype(np.int64)
+        first = np.zeros(len(ends), np.int64)
+        if self.idle_ms:  # history expires during a gap (event time)
+            gap = np.diff(ends, prepend=ends[:1]) > self.idle_ms
+            first = np.maximum.accumulate(np.where(gap, np.arange(len(ends)), 0))
+        columns = [np.concatenate([o, pdf[c].astype("float64")]) for o, c in zip(old, _VALUES)]
+        new = slice(len(old[3]), None)
+        (price_n, price, std), (_, volume, _), (_, volatility, _) = (
+            _moments(_frames(x, first, self.history)[new]) for x in columns)
+        hist_n = np.minimum(np.arange(len(ends)) - first, self.history)[new]
+        keep = slice(max(0, len(ends) - self.history), None)
+        self.state.update(tuple([None if math.isnan(v) else float(v) for v in x[keep]] for x in columns)
+                          + (ends[keep].tolist(),))
         if self.idle_ms:
             for t in self.handle.listTimers():
                 self.handle.deleteTimer(t)
-            self.handle.registerTimer(last + self.idle_ms)
-        stats = pd.DataFrame(out, columns=[f.name for f in BASELINE_FIELDS])
-        res = pd.concat([pdf.reset_index(drop=True), stats], axis=1)
-        for c in ("hist_n", "price_n"):
-            res[c] = res[c].astype("int64")
-        yield res[[f.name for f in BASELINE_OUT.fields]]
+            self.handle.registerTimer(int(ends.max()) + self.idle_ms)
+        stats = pd.DataFrame(dict(zip([f.name for f in BASELINE_FIELDS], (
+            hist_n.astype("int64"), price_n.astype("int64"), price, std, volume, volatility))))
+        yield pd.concat([pdf, stats], axis=1)[[f.name for f in BASELINE_OUT.fields]]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # a symbol silent for idle_ms: drop its state (a returning symbol is also reset
