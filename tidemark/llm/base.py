@@ -48,6 +48,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
+    """Like :func:`staged`, as a table bucketed by ``column``: grouping by it then shuffles nothing."""
+    spark = df.sparkSession
+    name = f"llm_{label}_{uuid.uuid4().hex}"
+    path = scratch(spark, label)
+    df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    atexit.register(_drop, spark, name)
+    return spark.table(name)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    except Exception:  # the session has ended
+        pass
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, removed when the driver ends."""
     path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex}"

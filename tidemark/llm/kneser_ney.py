@@ -10,10 +10,12 @@ tables; a gram's probability is
 with a the count at the highest order and the number of distinct left neighbours below, and the
 discounts D1, D2, D3+ of each order and language from its counts of counts.
 
-Documents are dealt into blocks of bounded size. A block's distinct grams are joined with the
-count tables, and the few probabilities it needs come back to it, so the model is never gathered
-in one place and no n-gram row per document is shuffled. A document is kept when its perplexity
-is at most its language's ``QUANTILE`` among trusted documents that were not counted.
+Documents are written once, compressed, in blocks of bounded size, as a table bucketed by block:
+whatever is later needed of a block's texts, or brought to them, comes by block without moving a
+text. A block's distinct grams are joined with the count tables, and the few probabilities it needs
+come back to it, so the model is never gathered in one place and no n-gram row per document is
+shuffled. A document is kept when its perplexity is at most its language's ``QUANTILE`` among
+trusted documents that were not counted.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .base import only, prepare, staged
+from .base import bucketed, only, prepare, staged
 
 ORDER = 4
-#: Code points of a block; quantile of held-out perplexities; width of a bin of ln perplexity.
-BLOCK_CHARS, QUANTILE, BIN = 24_000_000, 0.995, 0.001
+#: Code points of a block, about; quantile of held-out perplexities; width of a bin of ln perplexity.
+BLOCK_CHARS, QUANTILE, BIN = 32_000_000, 0.995, 0.001
 #: One trusted document in so many is held out for the quantiles.
 FOLDS = 5
 START, OTHER = 1, 0xFFFD
@@ -53,23 +55,21 @@ def _tally(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(parts), return_counts=True)
 
 
-def _count(batches):
-    for b in batches:
-        for lang, rows in b.groupby("lang"):
-            parts, held = [], 0
-            total = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            for t in [*rows["text"], None]:
-                if t is not None:
-                    parts.append(grams(t))
-                    held += len(parts[-1])
-                if held > 4_000_000 or t is None:
-                    g, c = _tally(parts)
-                    g = np.concatenate([total[0], g])
-                    c = np.concatenate([total[1], c])
-                    u, at = np.unique(g, return_inverse=True)
-                    total = (u, np.bincount(at, c, len(u)).astype(np.int64))
-                    parts, held = [], 0
-            yield pd.DataFrame({"lang": lang, "g": total[0], "a": total[1]})
+def _merge(total: tuple[np.ndarray, np.ndarray], parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    g, c = _tally(parts)
+    u, at = np.unique(np.concatenate([total[0], g]), return_inverse=True)
+    return u, np.bincount(at, np.concatenate([total[1], c]), len(u)).astype(np.int64)
+
+
+def _grams_of(texts) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of texts and their counts, a few million at a time."""
+    total, parts, held = (np.zeros(0, np.int64), np.zeros(0, np.int64)), [], 0
+    for t in texts:
+        parts.append(grams(t))
+        held += len(parts[-1])
+        if held > 4_000_000:
+            total, parts, held = _merge(total, parts), [], 0
+    return _merge(total, parts)
 
 
 def _language(lang: Column) -> Column:
@@ -84,12 +84,11 @@ def _suffix(g: Column, order: int) -> Column:
     return g.bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
 
 
-def count_tables(trusted: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
-    """{order: (grams (lang, g, mass), contexts (lang, h, total, gamma))} of trusted (lang, text):
-    mass is the discounted count. Every table is written to the shared folder."""
+def count_tables(counts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
+    """{order: (grams (lang, g, mass), contexts (lang, h, total, gamma))} from partial counts
+    (lang, g, a); mass is the discounted count. Every table is written to the shared folder."""
     out = {}
-    level = staged(trusted.mapInPandas(_count, "lang string, g bigint, a bigint")
-                   .groupBy("lang", "g").agg(F.sum("a").alias("a")), "grams")
+    level = staged(counts.groupBy("lang", "g").agg(F.sum("a").alias("a")), "grams")
     for k in range(ORDER, 0, -1):
         of = level.groupBy("lang").agg(*[F.count(F.when(F.col("a") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)])
         y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
@@ -129,10 +128,29 @@ def probabilities(asked: DataFrame, tables: dict[int, tuple[DataFrame, DataFrame
     return below
 
 
-def _shrink(batches):
-    for b in batches:
-        yield pd.DataFrame({"block": b["block"], "doc_id": b["doc_id"].astype("Int64"), "lang": b["lang"],
-                            "z": [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in b["text"]]})
+def _blocks(docs: DataFrame) -> DataFrame:
+    """(block, row, doc_id, lang, z) of docs, z the compressed text, bucketed by block."""
+    def shrink(batches):
+        from pyspark import TaskContext
+
+        block, chars, row = TaskContext.get().partitionId() << 24, 0, 0
+        for b in batches:
+            z, blocks = [], []
+            for t in b["text"]:
+                if chars > BLOCK_CHARS:
+                    block, chars = block + 1, 0
+                t = t or ""
+                chars += len(t)
+                z.append(zlib.compress(t.encode("utf-8", "surrogatepass"), 6))
+                blocks.append(block)
+            yield pd.DataFrame({"block": blocks, "row": range(row, row + len(z)), "doc_id": b["doc_id"].astype("Int64"),
+                                "lang": b["lang"], "z": z})
+            row += len(z)
+
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.mapInPandas(shrink, "block bigint, row bigint, doc_id bigint, lang string, z binary")
+    return bucketed(rows, "block", parts, "texts")
 
 
 def _open(z: bytes) -> str:
@@ -140,16 +158,15 @@ def _open(z: bytes) -> str:
 
 
 def _distinct(block: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for lang, rows in block.groupby("lang"):
-        parts, held = [], 0
-        for z in rows["z"]:
-            parts.append(grams(_open(z)))
-            held += len(parts[-1])
-            if held > 4_000_000:
-                parts, held = [np.unique(np.concatenate(parts))], 0
-        out.append(pd.DataFrame({"block": block["block"].iloc[0], "lang": lang, "g": np.unique(np.concatenate(parts))}))
-    return pd.concat(out)
+    return pd.concat([pd.DataFrame({"block": block["block"].iloc[0], "lang": lang, "g": _grams_of(map(_open, rows["z"]))[0]})
+                      for lang, rows in block.groupby("lang")])
+
+
+def _counted(chosen: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+    """Counts of the grams of a block's chosen rows."""
+    rows = block[block["row"].isin(chosen["row"])]
+    out = [pd.DataFrame(dict(zip(("g", "a"), _grams_of(map(_open, r["z"]))), lang=lang)) for lang, r in rows.groupby("lang")]
+    return pd.concat(out)[["lang", "g", "a"]] if out else pd.DataFrame({"lang": [], "g": [], "a": []}).astype({"lang": str})
 
 
 def _score(known: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -170,25 +187,29 @@ def _score(known: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
     return f
 
 
-def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_grams, log_prob, perplexity) per row of ``docs`` (doc_id, text, lang) under
-    the model of ``trusted`` (lang, text). A text without words has no grams and no perplexity; a
-    language without trusted text is scored as uniform over one unit."""
-    prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), "text", _language(F.col("lang")).alias("lang"))
-    tables = count_tables(trusted.select(_language(F.col("lang")).alias("lang"), "text").where("text IS NOT NULL"))
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
-    dealt = (docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
-             .mapInPandas(_shrink, "block bigint, doc_id bigint, lang string, z binary"))
-    dealt = staged(dealt, "texts")
-    asked = staged(dealt.groupBy("block").applyInPandas(_distinct, "block bigint, lang string, g bigint"), "asked")
-    known = asked.join(probabilities(asked.select("lang", "g").distinct(), tables), ["lang", "g"])
-    scored = known.groupBy("block").cogroup(dealt.groupBy("block")).applyInPandas(
+def _scored(texts: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(doc_id, lang, n_grams, log_prob, perplexity) of every row of ``texts`` under the model of
+    its rows ``trusted`` (block, row)."""
+    trusted = trusted.select(F.col("block").alias("at"), F.col("row").alias("row"))
+    counts = trusted.groupBy("at").cogroup(texts.groupBy("block")).applyInPandas(_counted, "lang string, g bigint, a bigint")
+    tables = count_tables(counts)
+    asked = staged(texts.groupBy("block").applyInPandas(_distinct, "block bigint, lang string, g bigint"), "asked")
+    known = (asked.join(probabilities(asked.select("lang", "g").distinct(), tables), ["lang", "g"])
+             .withColumnRenamed("block", "at"))
+    scored = known.groupBy("at").cogroup(texts.groupBy("block")).applyInPandas(
         _score, "doc_id bigint, lang string, n_grams bigint, log_prob double")
     return scored.withColumn("perplexity", F.when(F.col("n_grams") > 0, F.exp(-F.col("log_prob") / F.col("n_grams"))))
 
 
+def perplexities(docs: DataFrame, trusted: Column) -> DataFrame:
+    """(doc_id, lang, n_grams, log_prob, perplexity) per row of ``docs`` (doc_id, text, lang) under
+    the model of the rows whose doc_id meets ``trusted``. A text without words has no grams and no
+    perplexity; a language without trusted text is scored as uniform over one unit."""
+    prepare(docs.sparkSession)
+    texts = _blocks(docs.select(F.col("doc_id").cast("long"), "text", _language(F.col("lang")).alias("lang")))
+    return _scored(texts, texts.where(trusted).select("block", "row"))
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, lang): doc_id, lang (null kept), n_grams, perplexity,
     threshold, kept.
@@ -197,13 +218,14 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, quantile: float = QUA
     label. Empty texts are not kept; a language without held-out trusted text keeps the rest.
     Repeated rows are each scored; other columns are ignored.
     """
-    docs = only(docs, "doc_id", "text", "lang")
+    prepare(docs.sparkSession)
+    texts = _blocks(docs.select(F.col("doc_id").cast("long"), "text", _language(F.col("lang")).alias("lang")))
     good = (only(labels, "doc_id", "quality").where("doc_id IS NOT NULL AND quality IS NOT NULL")
             .groupBy("doc_id").agg(F.min("quality").alias("least"), F.max("quality").alias("most"))
             .where("least = 1 AND most = 1")
             .select("doc_id", (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(FOLDS)) == 0).alias("held_out")))
-    counted = docs.join(good.where(~F.col("held_out")), "doc_id", "left_semi")
-    scored = staged(perplexities(docs, counted), "perplexities")
+    counted = texts.select("block", "row", "doc_id").join(good.where(~F.col("held_out")), "doc_id", "left_semi")
+    scored = staged(_scored(texts, counted.select("block", "row")), "perplexities")
     bins = (scored.join(good.where("held_out"), "doc_id", "left_semi").where("n_grams > 0")
             .groupBy("lang", F.ceil(F.log("perplexity") / BIN).alias("bin")).agg(F.count("*").alias("n")))
     up = Window.partitionBy("lang").orderBy("bin")
