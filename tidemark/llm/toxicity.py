@@ -38,8 +38,8 @@ COST = 4.0
 STEMS, STEM = (4, 5, 6, 7), "\x00"
 #: Highest margins of a text that its score goes by.
 TOP = 3
-#: Words whose margins a task remembers.
-MEMORY = 400_000
+#: Words whose margins a task remembers, and texts it takes apart at a time.
+MEMORY, GROUP = 300_000, 100
 
 _SENTENCE = re.compile(r"[.!?\n]+")
 _APART = re.compile(r"(?<!\S)\w(?:\s+\w){2,}(?!\S)")
@@ -130,7 +130,7 @@ class Model:
                 by.setdefault(len(codes), []).append((r, codes, at))
         for n, rows in by.items():
             i, j, k = _triples(n)
-            step = max(1, 2_000_000 // len(i))
+            step = max(1, 300_000 // len(i))
             for s in range(0, len(rows), step):
                 r, c, at = (np.array(x) for x in zip(*rows[s:s + step]))
                 ids = np.searchsorted(self.chars, c)
@@ -144,16 +144,17 @@ class Model:
 
     def evidence(self, texts: list[str | None]) -> list[list[float]]:
         """The highest margins of each text's words."""
-        lists = [tokens(t) if t else [] for t in texts]
-        new = list({w for ts in lists for w in ts if w not in self.known})
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list({w for ts in lists for w in ts})
-        self.known.update(zip(new, self.margins(new).tolist()))
-        out = []
-        for ts in lists:
-            top = heapq.nlargest(TOP, map(self.known.__getitem__, ts))
-            out.append(top + [self.bias] * (TOP - len(top)))
+        out: list[list[float]] = []
+        for at in range(0, len(texts), GROUP):
+            lists = [tokens(t) if t else [] for t in texts[at:at + GROUP]]
+            new = list({w for ts in lists for w in ts if w not in self.known})
+            if len(self.known) + len(new) > MEMORY:
+                self.known.clear()
+                new = list({w for ts in lists for w in ts})
+            self.known.update(zip(new, self.margins(new).tolist()))
+            for ts in lists:
+                top = heapq.nlargest(TOP, map(self.known.__getitem__, ts))
+                out.append(top + [self.bias] * (TOP - len(top)))
         return out
 
     def scores(self, evidence: list[list[float]]) -> np.ndarray:
