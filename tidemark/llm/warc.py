@@ -76,9 +76,11 @@ def write_archive(pages: DataFrame, path: str, least: int = 0) -> None:
                .withColumn("record_type", F.when(F.col("first"), "response").otherwise("revisit"))
                .withColumn("refers_to", F.when(~F.col("first"), F.col("keeper"))))
     decided.select("page_id", _head().alias("head"), "sha256", "payload_bytes").write.parquet(f"{path}/records")
-    kept = keepers.select(F.col("sha256").alias("key"), "keeper")
-    once = Window.partitionBy("page_id", "key").orderBy("key")
-    (rows.join(kept, rows["page_id"].eqNullSafe(kept["keeper"]) & (rows["sha256"] == kept["key"]))
+    # plain keys, as null-safe ones would shuffle the payloads again for the window
+    place = lambda c: F.coalesce(F.col(c), F.lit(-(1 << 63)))
+    kept = keepers.select("sha256", place("keeper").alias("place"))
+    once = Window.partitionBy("place", "sha256").orderBy("sha256")
+    (rows.select(place("page_id").alias("place"), "sha256", "payload").join(kept, ["place", "sha256"])
      .withColumn("n", F.row_number().over(once)).where("n = 1")
      .select("sha256", "payload").write.parquet(f"{path}/payloads"))
 
