@@ -16,7 +16,8 @@ from . import oracle as O
 from .functions.numeric import round_half_up
 from .operators import anomaly, dedup, sinks, views
 from .plans import dashboards as D, serving as S
-from .sources.fixtures import Fixture
+from .schemas import METRIC_COLUMNS
+from .sources.fixtures import ANOMALY_WINDOW, METRIC_WINDOW, Fixture
 from .sources.alerts import parse_alert_json
 from .sources.quotes import normalize_quotes
 
@@ -124,9 +125,9 @@ def q_volatility_spikes(spark, sf):
     return _alerts(spark, sf, "VOLATILITY_SPIKE")
 
 
-@register("alert_messages")
+@register("alert_messages", O.with_messages("SELECT symbol, alert_type, window_end, message FROM messages"))
 def q_alert_messages(spark, sf):
-    """O-27: alert message text (Java formatter rounding; checked by pytest goldens)."""
+    """O-27: alert message text."""
     return Fixture(spark, sf).alerts().select("symbol", "alert_type", "window_end", "message")
 
 
@@ -137,17 +138,22 @@ def q_alert_dedup_keys(spark, sf):
     return dedup.with_dedup_key(_alerts(spark, sf))
 
 
-@register("alerts_deduped", O.with_alerts("SELECT * EXCLUDE (dedup_key) FROM deduped"))
+@register("alerts_deduped", O.with_alerts("SELECT * EXCLUDE (dedup_key) FROM deduped", O.REPLAYED))
 def q_alerts_deduped(spark, sf):
-    """O-30: first alert per de-dup key wins."""
-    return dedup.dedup_alerts(_alerts(spark, sf))
+    """O-30: first alert per de-dup key wins, over alerts of which each is sent again 10 s later."""
+    sent = _alerts(spark, sf)
+    again = sent.withColumn("detected_at", F.col("detected_at") + F.expr("INTERVAL 10 SECONDS"))
+    return dedup.dedup_alerts(sent.unionByName(again))
 
 
 # ---------------------------------------------------------------- sinks / views
-@register("enriched_json")
+@register("enriched_json", O.with_metrics("SELECT symbol AS key, * EXCLUDE (created_at) FROM m1"))
 def q_enriched_json(spark, sf):
-    """O-31: keyed JSON messages of the METRICS stream."""
-    return sinks.to_keyed_json(Fixture(spark, sf).metrics())
+    """O-31: keyed JSON messages of the METRICS stream, decoded again field by field."""
+    metrics = Fixture(spark, sf).metrics()
+    messages = sinks.to_keyed_json(metrics)
+    fields = F.from_json("value", metrics.schema, {"mode": "FAILFAST"})
+    return messages.select("key", fields.alias("m")).select("key", "m.*")
 
 
 @register("alerts_json_roundtrip", O.with_alerts("SELECT * FROM alerts"))
@@ -161,10 +167,13 @@ def q_alerts_json_roundtrip(spark, sf):
                          else F.col(c) for c in ALERT_COLS])
 
 
-@register("alert_annotations")
+@register("alert_annotations", O.with_messages("""
+SELECT '' AS "dashboardUID", epoch_ms(window_end) AS time, alert_type || ',' || severity || ',' || symbol AS tags,
+       message AS text FROM messages"""))
 def q_alert_annotations(spark, sf):
-    """O-37: dashboard annotation payloads of the detector's alerts."""
-    return sinks.alert_annotations(Fixture(spark, sf).alerts_table())
+    """O-37: dashboard annotation payloads of the alerts that de-duplication keeps."""
+    return (sinks.alert_annotations(Fixture(spark, sf).alerts_table())
+            .withColumn("tags", F.array_join("tags", ",")))
 
 
 @register("latest_state", O.with_metrics(f"""
@@ -225,6 +234,76 @@ def q_alerts_unacknowledged(spark, sf):
     return views.unacknowledged_alerts(t).select(*ALERT_COLS, "acknowledged")
 
 
+# ---------------------------------------------------------------- the stream
+def _streamed(spark, sf, window, slide):
+    """Run the market stream over the trades of ``events``, landed as files in time order, until
+    all are read; returns its output folder. A sentinel trade closes the last windows."""
+    import tempfile
+    import uuid
+
+    from .session import scratch_path
+    from .sources.fixtures import land_raw_trades
+    from .sources.trades import clean_trades, read_trades
+    from .streaming.app import start_market_stream
+
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))  # a test session on one machine
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    root = scratch_path(spark, "stream-query", uuid.uuid4().hex)
+    land_raw_trades(Fixture(spark, sf), f"{root}/in", n_files=3)
+    trades = clean_trades(read_trades(spark, f"{root}/in", "parquet", maxFilesPerTrigger=1), event_time="timestamp")
+    q = start_market_stream(trades, f"{root}/out", checkpoint=f"{root}/state", window=window, slide=slide,
+                            trigger={"availableNow": True}, detected_at="window_end", query_name=f"q-{uuid.uuid4().hex}")
+    q.awaitTermination()
+    return f"{root}/out"
+
+
+def _wall(df):
+    """Timestamps as the driver tables hold them, UTC wall clock."""
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if t == "timestamp" else F.col(c) for c, t in df.dtypes])
+
+
+@register("stream_window_metrics", O.with_metrics("SELECT * EXCLUDE (created_at) FROM m1"))
+def q_stream_window_metrics(spark, sf):
+    """O-1, O-14…O-19, O-32: the metrics table that the stream appends (1 min / 30 s windows,
+    30 s watermark, checkpoint, idempotent batches)."""
+    out = _streamed(spark, sf, *METRIC_WINDOW)
+    return _wall(spark.read.parquet(f"{out}/metrics").select(*METRIC_COLUMNS))
+
+
+@register("stream_latest", O.with_metrics("""
+SELECT * EXCLUDE (created_at) FROM m1 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1"""))
+def q_stream_latest(spark, sf):
+    """O-33: the live latest state after the stream has read everything."""
+    from .streaming.app import read_latest
+    return _wall(read_latest(spark, _streamed(spark, sf, *METRIC_WINDOW)).select(*METRIC_COLUMNS))
+
+
+@register("stream_alerts", O.with_alerts("SELECT * EXCLUDE (created_at) FROM atab"))
+def q_stream_alerts(spark, sf):
+    """O-28, O-36: alerts of the stateful detector as the stream's audit table holds them."""
+    out = _streamed(spark, sf, *ANOMALY_WINDOW)
+    return _wall(spark.read.parquet(f"{out}/alerts").select(*ALERT_COLS, "acknowledged"))
+
+
+@register("alert_audit", O.with_alerts("SELECT * EXCLUDE (created_at) FROM atab"))
+def q_alert_audit(spark, sf):
+    """O-3, O-29, O-30, O-36, O-37: the alert consumer over every alert that the stream sends,
+    each sent twice; its audit table holds each once, under one id."""
+    from .sources.alerts import read_alerts
+    from .streaming.consumer import read_audit, start_alert_consumer
+    out = _streamed(spark, sf, *ANOMALY_WINDOW)
+    raw = spark.read.text(f"{out}/alerts_raw").select("value")
+    raw.unionByName(raw).coalesce(1).write.text(f"{out}/topic")
+    good, _ = read_alerts(spark, f"{out}/topic")
+    q = start_alert_consumer(good, f"{out}/consumer", checkpoint=f"{out}/consumer-state",
+                             trigger={"availableNow": True}, query_name="q-consumer-" + out.split("/")[-2])
+    q.awaitTermination()
+    audit = read_audit(spark, f"{out}/consumer")
+    return _wall(audit.dropDuplicates(["id"]).select(*ALERT_COLS, "acknowledged"))
+
+
 # ---------------------------------------------------------------- serving
 @register("latest_symbol", O.with_metrics(f"""
 SELECT '{SYMBOL}' AS symbol, coalesce(vwap, 0.0) AS vwap, coalesce(volatility, 0.0) AS volatility,

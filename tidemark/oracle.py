@@ -117,6 +117,28 @@ atab AS (
          window_end + INTERVAL %d SECOND AS created_at
   FROM deduped)""" % LAG_S
 
+def _shown(value: str, places: int) -> str:
+    """The digits of a fixed-point format: half-up on the decimal digits, all places shown."""
+    return (f"CAST(CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)), {places})"
+            f" AS DECIMAL(38,{places})) AS VARCHAR)")
+
+
+# message text per alert: fixed values, the reference's formats
+MESSAGES = f"""messages AS (
+  SELECT symbol, 'PRICE_ANOMALY' AS alert_type, window_end, CASE WHEN abs(z) > 4.0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+         symbol || ' VWAP anomaly: Z-score=' || {_shown("z", 4)} || ', current=$' || {_shown("vwap", 2)}
+         || ', baseline=$' || {_shown("price_mean", 2)} AS message
+  FROM sig WHERE price_n > 0 AND price_std > 0 AND abs(z) > 3.0
+  UNION ALL
+  SELECT symbol, 'VOLUME_SPIKE', window_end, CASE WHEN vr > 10.0 THEN 'CRITICAL' WHEN vr > 7.0 THEN 'WARNING' ELSE 'INFO' END,
+         symbol || ' volume spike: ' || {_shown("vr", 1)} || 'x above average (current=' || volume
+         || ', avg=' || CAST(trunc(volume_mean) AS BIGINT) || ')'
+  FROM sig WHERE hist_n > 0 AND volume_mean > 0 AND volume > volume_mean * 5.0
+  UNION ALL
+  SELECT symbol, 'VOLATILITY_SPIKE', window_end, CASE WHEN tr > 6.0 THEN 'CRITICAL' WHEN tr > 4.0 THEN 'WARNING' ELSE 'INFO' END,
+         symbol || ' volatility spike: ' || {_shown("tr", 1)} || 'x above rolling average'
+  FROM sig WHERE hist_n > 0 AND volatility_mean > 0 AND volatility > volatility_mean * 3.0)"""
+
 AS_OF_M1 = "(SELECT max(window_end) FROM m1)"
 AS_OF_MH = "(SELECT max(window_end) FROM mh)"
 
@@ -125,5 +147,15 @@ def with_metrics(body: str) -> str:
     return f"WITH {TRADES},\n{M1}\n{body}"
 
 
-def with_alerts(body: str, table: str = "atab") -> str:
-    return f"WITH {TRADES},\n{MH},\n{BASE},\n{ALERTS},\n{KEYED}\n{body}"
+REPLAYED = ALERTS.replace("alerts AS (", "sent AS (") + """,
+alerts AS (
+  SELECT * FROM sent
+  UNION ALL SELECT * REPLACE (detected_at + INTERVAL 10 SECOND AS detected_at) FROM sent)"""
+
+
+def with_alerts(body: str, alerts: str = ALERTS) -> str:
+    return f"WITH {TRADES},\n{MH},\n{BASE},\n{alerts},\n{KEYED}\n{body}"
+
+
+def with_messages(body: str) -> str:
+    return f"WITH {TRADES},\n{MH},\n{BASE},\n{ALERTS},\n{MESSAGES}\n{body}"

@@ -49,6 +49,16 @@ def _export_package_path() -> None:
         os.environ["PYTHONPATH"] = os.pathsep.join([root, *parts])
 
 
+def export_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers of a running session import this package by its path."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([*parts, root])
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names. It must be set: a folder made
     here would be local to one machine, and executors would not see each other's files."""

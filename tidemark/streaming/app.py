@@ -4,9 +4,12 @@ trades ─ withWatermark ─ sliding-window aggregate ─ RollingHistory (keyed
        ─ foreachBatch: persist once, then
            • METRICS table append      (dt / batch_id partitions, overwrite on replay)
            • keyed JSON messages       (batch_id folder, overwrite on replay)
-           • latest-state snapshot     (previous snapshot ⊕ batch, new batch_id folder)
-           • alerts: signals → first-wins per de-dup key within the batch → anti-join
-             with keys already persisted by earlier batches → audit append
+           • latest-state snapshot     (the buckets of the batch's symbols, rewritten)
+           • alerts: every signal as keyed JSON for consumers, and first-wins per de-dup key
+             within the batch → anti-join with keys of earlier batches → audit append
+
+Live history and top movers are read from these tables (:func:`read_history`,
+:func:`read_top_movers`), so nothing is written twice.
 
 The aggregation runs once (the reference ran it in four independent queries)
 and every sink is idempotent per ``batch_id``, so a restart from the checkpoint
@@ -16,24 +19,28 @@ that replays a micro-batch rewrites the same partitions instead of duplicating.
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from ..functions.timecols import epoch_millis
 from ..operators.anomaly import HISTORY_WINDOWS, alerts_from_baseline
 from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
 from ..operators.sinks import append_batch, audit_rows, to_keyed_json
-from ..operators.views import latest_per_key
+from ..operators.views import HISTORY_SIZE, latest_per_key, metric_history, top_mover_scores
 from ..operators.windows import DEFAULT_SLIDE, DEFAULT_WATERMARK, DEFAULT_WINDOW, window_metrics
 from ..schemas import ALERT_COLUMNS, METRIC_COLUMNS
-from ..session import scratch_path
+from ..session import export_package, scratch_path
 from .detector import stream_baseline
 
 # Fixed value: the reference's micro-batch cadence.
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+#: Folders that the latest state is spread over by symbol.
+LATEST_BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -52,6 +59,10 @@ class StreamPaths:
     def latest(self) -> str:
         return f"{self.root}/latest"
 
+    @property
+    def raw_alerts(self) -> str:
+        return f"{self.root}/alerts_raw"
+
     @property
     def enriched(self) -> str:
         return f"{self.root}/enriched"
@@ -63,9 +74,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _partition_values(spark: SparkSession, root: str, name: str, committed: bool = False) -> list[int]:
-    """Integer values of ``root/name=V`` folders (one directory listing); with
-    ``committed`` only folders whose write job finished (``_SUCCESS`` marker)."""
+def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Integer values of ``root/name=V`` folders, in order (one directory listing)."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -73,32 +83,34 @@ def _partition_values(spark: SparkSession, root: str, name: str, committed: bool
     for st in fs.listStatus(p):
         n = st.getPath().getName()
         if st.isDirectory() and n.startswith(name + "="):
-            if committed and not fs.exists(_fs(spark, f"{st.getPath().toString()}/_SUCCESS")[1]):
-                continue
             out.append(int(n.split("=", 1)[1]))
     return sorted(out)
 
 
-def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int = 10) -> None:
-    """New snapshot = previous snapshot ⊕ this batch, latest row per symbol.
+def _write_latest(batch: DataFrame, paths: StreamPaths, batch_id: int, keep: int = 10,
+                  buckets: int = LATEST_BUCKETS) -> None:
+    """Latest row per symbol, in ``bucket=B/batch_id=N`` folders by a hash of the symbol.
 
-    The previous snapshot is the newest ``batch_id`` folder below this batch (a
-    replay of batch N reads N-1's snapshot again). Only committed snapshots
-    (``_SUCCESS``) are considered, by the writer and by :func:`read_latest`, and
-    only the newest ``keep`` are retained so the folder stays small on a
-    long-running stream while slow readers can finish.
+    Only buckets that the batch touches are written anew, each from its newest folder below this
+    batch (a replay of batch N reads what N read before). The newest ``keep`` folders of a bucket
+    stay, for readers that still hold an older listing.
     """
     spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64("symbol"), F.lit(buckets)).cast("int")
     cur = batch.select(*METRIC_COLUMNS, F.unix_millis(F.current_timestamp()).alias("updated_at"))
-    older = [b for b in _partition_values(spark, paths.latest, "batch_id", committed=True) if b < batch_id]
-    if older:
-        prev = spark.read.parquet(f"{paths.latest}/batch_id={older[-1]}")
-        cur = cur.unionByName(prev.select(*cur.columns))
-    snap = latest_per_key(cur, "symbol", "window_end")
-    snap.coalesce(1).write.mode("overwrite").parquet(f"{paths.latest}/batch_id={batch_id}")
+    touched = sorted(r["b"] for r in cur.select(bucket.alias("b")).distinct().collect())  # at most `buckets`
+    older = {b: [n for n in _partition_values(spark, f"{paths.latest}/bucket={b}", "batch_id") if n < batch_id]
+             for b in touched}
+    folders = [f"{paths.latest}/bucket={b}/batch_id={ns[-1]}" for b, ns in older.items() if ns]
+    if folders:
+        cur = cur.unionByName(spark.read.parquet(*folders).select(*cur.columns))
+    snap = latest_per_key(cur, "symbol", "window_end").withColumn("bucket", bucket)
+    (snap.withColumn("batch_id", F.lit(int(batch_id))).repartition("bucket")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_id").parquet(paths.latest))
     fs, _ = _fs(spark, paths.latest)
-    for b in older[:-max(keep - 1, 1)]:
-        fs.delete(_fs(spark, f"{paths.latest}/batch_id={b}")[1], True)
+    for b, ns in older.items():
+        for n in ns[:-max(keep - 1, 1)]:
+            fs.delete(_fs(spark, f"{paths.latest}/bucket={b}/batch_id={n}")[1], True)
 
 
 def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_at,
@@ -113,11 +125,14 @@ def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_
     """
     spark = batch.sparkSession
     bucket = F.floor(epoch_millis("window_start") / F.lit(ttl_seconds * 1000)).cast("bigint")
-    cached = (dedup_alerts(alerts_from_baseline(batch, detected_at=detected_at), ttl_seconds,
-                           keep_key=True)
-              .withColumn("_bucket", bucket).persist())
+    raw = alerts_from_baseline(batch, detected_at=detected_at).select(*ALERT_COLUMNS).persist()
+    cached = (dedup_alerts(raw, ttl_seconds, keep_key=True).withColumn("_bucket", bucket).persist())
     keyed = cached
     try:
+        # every alert goes out: de-duplication is each consumer's own
+        (to_keyed_json(raw).select("value").write.mode("overwrite").text(f"{paths.raw_alerts}/batch_id={batch_id}"))
+        if kafka_bootstrap:
+            _to_kafka(raw, kafka_bootstrap, ALERTS_TOPIC)
         lo, hi = keyed.select(F.min("_bucket"), F.max("_bucket")).first()
         if lo is None:
             return
@@ -129,18 +144,17 @@ def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_
                     .filter(F.col("batch_id") < F.lit(batch_id)).select("dedup_key"))
             keyed = keyed.join(seen, "dedup_key", "left_anti")
         rows = audit_rows(keyed.drop("_bucket")).select(
-            *ALERT_COLUMNS, "dedup_key", "acknowledged", F.current_timestamp().alias("created_at"))
+            "id", *ALERT_COLUMNS, "dedup_key", "acknowledged", F.current_timestamp().alias("created_at"))
         append_batch(rows, paths.alerts, batch_id, ts_col="window_start")
-        (keyed.select("dedup_key").coalesce(1).write.mode("overwrite")
+        (keyed.select("dedup_key").write.mode("overwrite")
          .parquet(f"{keys_root}/maxbucket={hi}/batch_id={batch_id}"))
         fs, _ = _fs(spark, keys_root)
         for b in _partition_values(spark, keys_root, "maxbucket"):
             if b < lo:
                 fs.delete(_fs(spark, f"{keys_root}/maxbucket={b}")[1], True)
-        if kafka_bootstrap:
-            _to_kafka(keyed.select(*ALERT_COLUMNS), kafka_bootstrap, ALERTS_TOPIC)
     finally:
         cached.unpersist()
+        raw.unpersist()
 
 
 # Topics of the enriched-metrics and alert messages.
@@ -155,7 +169,7 @@ def _to_kafka(df: DataFrame, bootstrap: str, topic: str) -> None:
 
 
 def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, parallel: bool = True,
-            kafka_bootstrap: str | None = None):
+            kafka_bootstrap: str | None = None, keep_snapshots: int = 10):
     """foreachBatch body: persist the batch once and feed every sink from it.
 
     ``count()`` fills the cache (and is the empty-batch guard); the sink jobs are
@@ -165,6 +179,7 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
     """
 
     def _run(batch: DataFrame, batch_id: int) -> None:
+        sc = batch.sparkSession.sparkContext
         batch = batch.persist()
         try:
             if batch.count() == 0:
@@ -173,7 +188,7 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
                 lambda: append_batch(
                     batch.select(*METRIC_COLUMNS).withColumn("created_at", F.current_timestamp()),
                     paths.metrics, batch_id, ts_col="window_start"),
-                lambda: _write_latest(batch, paths, batch_id),
+                lambda: _write_latest(batch, paths, batch_id, keep_snapshots),
                 lambda: _write_alerts(batch, paths, batch_id, detected_at, kafka_bootstrap),
             ]
             if write_json:
@@ -186,8 +201,19 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
                 for job in jobs:
                     job()
                 return
+            # threads that inherit the query's local properties: stopping it cancels their jobs
+            group = f"sinks-{uuid.uuid4().hex}"
+
+            def tagged(job):
+                sc.addJobTag(group)
+                job()
+
             with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-                for fut in [pool.submit(job) for job in jobs]:
+                futures = [pool.submit(inheritable_thread_target(batch.sparkSession)(lambda j=job: tagged(j))) for job in jobs]
+                done, rest = wait(futures, return_when=FIRST_EXCEPTION)
+                if rest:
+                    sc.cancelJobsWithTag(group)
+                for fut in done:
                     fut.result()
         finally:
             batch.unpersist()
@@ -201,22 +227,24 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
                         trigger: dict | None = None, query_name: str = "market-stream",
                         detected_at: Column | str | None = None,
                         write_json: bool = True, idle_ms: int | None = None,
-                        kafka_bootstrap: str | None = None) -> StreamingQuery:
+                        kafka_bootstrap: str | None = None, keep_snapshots: int = 10) -> StreamingQuery:
     """Start the single streaming query over a TRADES stream.
 
     ``checkpoint`` defaults to ``<spark.checkpoint.dir>/<query_name>``; ``trigger``
     defaults to a 10 s processing-time trigger (tests pass ``{"availableNow": True}``).
-    ``detected_at`` defaults to the processing time of the micro-batch.
+    ``detected_at`` defaults to the processing time of the micro-batch; ``keep_snapshots``
+    older folders of a latest-state bucket stay for slow readers.
     """
     if not trades_stream.isStreaming:
         raise ValueError("start_market_stream needs a streaming DataFrame")
-    spark = trades_stream.sparkSession
+    spark = export_package(trades_stream.sparkSession)
     metrics = window_metrics(trades_stream, window, slide, watermark)
     enriched = stream_baseline(metrics, history, idle_ms)
     paths = StreamPaths(out_root.rstrip("/"))
     ckpt = checkpoint or scratch_path(spark, "streams", query_name)
     writer = (enriched.writeStream.queryName(query_name)
-              .foreachBatch(fan_out(paths, detected_at, write_json, kafka_bootstrap=kafka_bootstrap))
+              .foreachBatch(fan_out(paths, detected_at, write_json, kafka_bootstrap=kafka_bootstrap,
+                                    keep_snapshots=keep_snapshots))
               .option("checkpointLocation", ckpt)
               .outputMode("append")
               .trigger(**(trigger or DEFAULT_TRIGGER)))
@@ -224,12 +252,13 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
 
 
 def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None = None) -> DataFrame:
-    """Latest-state snapshot of the newest batch (optionally with the TTL predicate)."""
+    """Latest state: the newest folder of every bucket (optionally with the TTL predicate)."""
     root = StreamPaths(out_root.rstrip("/")).latest
-    ids = _partition_values(spark, root, "batch_id", committed=True)
-    if not ids:
+    newest = {b: _partition_values(spark, f"{root}/bucket={b}", "batch_id") for b in _partition_values(spark, root, "bucket")}
+    folders = [f"{root}/bucket={b}/batch_id={ns[-1]}" for b, ns in newest.items() if ns]
+    if not folders:
         raise FileNotFoundError(f"no latest-state snapshot under {root}")
-    snap = spark.read.parquet(f"{root}/batch_id={ids[-1]}")
+    snap = spark.read.parquet(*folders)
     if ttl is None:
         return snap
     from ..functions.timecols import as_interval, resolve_as_of
@@ -237,6 +266,16 @@ def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None
     return snap.filter(F.col("updated_at") >= epoch_millis(now - as_interval(ttl)))
 
 
+def read_history(spark: SparkSession, out_root: str, n: int = HISTORY_SIZE) -> DataFrame:
+    """Live history: the last ``n`` windows of every symbol, from the metrics table."""
+    return metric_history(spark.read.parquet(StreamPaths(out_root.rstrip("/")).metrics).select(*METRIC_COLUMNS), n)
+
+
+def read_top_movers(spark: SparkSession, out_root: str) -> DataFrame:
+    """Live top-mover scores of the latest state."""
+    return top_mover_scores(read_latest(spark, out_root))
+
+
 def stop_when_idle(query: StreamingQuery, timeout_s: float = 60.0, poll_s: float = 0.2) -> bool:
     """Stop ``query`` between micro-batches (graceful stop): wait until no trigger is
     active, then stop. Returns False when the timeout forced a stop mid-batch — safe
