@@ -69,3 +69,12 @@ def test_cluster_conf_sizes_by_cores():
     assert c["spark.sql.adaptive.enabled"] == "true" and c["spark.ui.enabled"] == "false"
     small = cluster_conf(1e9, executors=2, cores_per_executor=8, executor_memory_gb=4)
     assert small["spark.sql.files.maxPartitionBytes"] == "128m"
+
+
+def test_panel_time_bounds_reach_the_scan(spark):
+    """A look-back panel filters trades on event_time below the windows, and learns NOW() from one column."""
+    from tidemark import catalog
+    plan = catalog.q_dash_volume_series(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Expand"):] if "Expand" in plan else plan[plan.index("Aggregate"):]
+    assert ">= (scalar-subquery" in below.replace(" - INTERVAL", ") - INTERVAL") or ">= cast(scalar" in below or "scalar-subquery" in below
+    assert plan.count("Aggregate [symbol") <= 1

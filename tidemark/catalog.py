@@ -331,8 +331,8 @@ def q_history_range(spark, sf):
     """O-44: one symbol's windows in [as_of-24h, as_of], newest 100."""
     fx = Fixture(spark, sf)
     now = fx.as_of()
-    return S.history(fx.metrics_table(), SYMBOL, start=now - F.expr("INTERVAL 24 HOURS"), end=now,
-                     limit=100)
+    since = now - F.expr("INTERVAL 24 HOURS")
+    return S.history(fx.metrics_table(since=since), SYMBOL, start=since, end=now, limit=100)
 
 
 _ALERT_SEL = ("symbol, alert_type, severity, coalesce(z_score, 0.0) AS z_score, "
@@ -379,13 +379,16 @@ ORDER BY window_start DESC, symbol LIMIT 100"""))
 def q_recent_metrics(spark, sf):
     """O-49: all symbols' windows of the last hour, newest 100."""
     fx = Fixture(spark, sf)
-    return S.recent_metrics(fx.metrics_table(), as_of=fx.as_of())
+    now = fx.as_of()
+    return S.recent_metrics(fx.metrics_table(since=now - F.expr("INTERVAL 1 HOUR")), as_of=now)
 
 
 # ---------------------------------------------------------------- dashboards
 def _fx(spark, sf):
+    """The metrics of the longest look-back of these panels, and NOW()."""
     fx = Fixture(spark, sf)
-    return fx, fx.metrics_table(), fx.as_of()
+    now = fx.as_of()
+    return fx, fx.metrics_table(since=now - F.expr("INTERVAL 6 HOURS")), now
 
 
 def _afx(spark, sf):

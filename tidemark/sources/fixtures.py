@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.timecols import as_interval
+from ..functions.timecols import as_interval, duration_seconds
 from ..operators.anomaly import detect_anomalies
 from ..operators.dedup import dedup_alerts
 from ..operators.sinks import audit_rows
@@ -61,12 +61,17 @@ class Fixture:
     def trades(self) -> DataFrame:
         return trades_from_events(self.table("events"))
 
-    def metrics(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1]) -> DataFrame:
-        return window_metrics(self.trades, window, slide)
+    def metrics(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1],
+                since: Column | None = None) -> DataFrame:
+        """METRICS; with ``since`` only of trades from then on, which are all that windows starting
+        then or later hold: the bound reaches the scan, below the windows."""
+        trades = self.trades if since is None else self.trades.where(F.col("event_time") >= since)
+        return window_metrics(trades, window, slide)
 
-    def metrics_table(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1]) -> DataFrame:
+    def metrics_table(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1],
+                      since: Column | None = None) -> DataFrame:
         """METRICS as persisted: + created_at (window_end + write lag)."""
-        m = self.metrics(window, slide)
+        m = self.metrics(window, slide, since)
         return m.withColumn("created_at", F.col("window_end") + as_interval(WRITE_LAG))
 
     @cached_property
@@ -87,13 +92,16 @@ class Fixture:
         deduped = dedup_alerts(self.alerts())
         return audit_rows(deduped, created_at=F.col("window_end") + as_interval(WRITE_LAG))
 
-    def as_of(self, metrics: DataFrame | None = None) -> Column:
-        """NOW() of the fixture: newest window_end of the metric table (scalar subquery)."""
-        m = metrics if metrics is not None else self.metrics()
-        return m.select(F.max("window_end")).scalar()
+    def as_of(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1]) -> Column:
+        """NOW() of the fixture: the newest window_end, from the newest trade's time alone (scalar
+        subquery over one column)."""
+        w, s = int(duration_seconds(window)), int(duration_seconds(slide))
+        newest = F.unix_seconds(F.max("event_time").cast("timestamp"))
+        end = F.timestamp_seconds(F.floor(newest / s) * s + w).cast(self.trades.schema["event_time"].dataType)
+        return self.trades.select(end).scalar()
 
     def anomaly_as_of(self) -> Column:
-        return self.as_of(self.anomaly_table)
+        return self.as_of(*ANOMALY_WINDOW)
 
 
 # Fixed value: a far-future trade appended after the landed files advances the
