@@ -33,9 +33,15 @@ def _text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def _place() -> Column:
+    """A line's place among all, by doc_id, then position: one decimal, whose minimum a hash
+    aggregate can keep; a struct's would need a sort."""
+    first = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(-(1 << 63)).cast("decimal(20,0)"))
+    return (first * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")).cast("decimal(32,0)")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, pos, line): one row per line with a word; tag tells texts apart that share a
-    doc_id, so that the earliest line is the same in every run."""
+    """(doc_id, tag, pos, line): one row per line with a word; tag tells texts apart that share a doc_id."""
     return (docs.select("doc_id", F.xxhash64(_text()).alias("tag"), F.posexplode(F.split(_text(), "\n", -1)).alias("pos", "line"))
             .withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''"))
 
@@ -80,8 +86,7 @@ def _near(docs: DataFrame) -> DataFrame:
              .select("doc_id", "tag", F.inline_outer(F.transform("mine", lambda x: F.struct(
                  x["pos"].alias("pos"), x["ks"].alias("ks"),
                  F.btrim(F.get("ls", x["pos"]), F.lit(BLANKS)).alias("line"))))))
-    lines = staged(found.groupBy("line").agg(F.min(F.struct("doc_id", "tag", "pos")).alias("id"),
-                                             F.first("ks").alias("ks")), "near-lines")
+    lines = staged(found.groupBy("line").agg(F.min(_place()).alias("id"), F.first("ks").alias("ks")), "near-lines")
     variants = _variants(lines)
     group = (variants.groupBy("v").agg(F.min(F.when(F.col("own"), F.col("id"))).alias("own_id"),
                                        F.min(F.when(~F.col("own"), F.col("id"))).alias("cut_id"),
@@ -112,7 +117,7 @@ def _variants(lines: DataFrame) -> DataFrame:
     own = F.when(~F.col("longer"), F.array(F.struct(
         F.xxhash64("k", F.lit(-1), F.col("mid")).alias("v"), F.lit(True).alias("own"))))
     none = F.array().cast("array<struct<v:bigint,own:boolean>>")
-    return (seg.select("id", "longer", F.inline_outer(F.array_distinct(F.concat(F.coalesce(cuts, none), F.coalesce(own, none)))))
+    return (seg.select("id", "longer", F.inline_outer(F.concat(F.coalesce(cuts, none), F.coalesce(own, none))))
             .where("v IS NOT NULL").select("id", "v", "own", "longer"))
 
 
@@ -121,16 +126,17 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     places (from 0, among all ``\\n``-separated parts) of the lines that go.
 
     A null or empty text has no lines. Rows with the same doc_id and text are one document; both
-    get its result. A null doc_id is earliest. Other columns are ignored.
+    get its result. Of different texts with one doc_id, equal lines at the same place count as
+    one line. A null doc_id is earliest. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     near = _near(docs)
     marked = _lines(docs).select("doc_id", "tag", "pos", F.md5("line").alias("h"))
-    first = (marked.groupBy("h").agg(F.min(F.struct("doc_id", "tag", "pos")).alias("first"), F.count("*").alias("c"))
+    first = (marked.groupBy("h").agg(F.min(_place()).alias("first"), F.count("*").alias("c"))
              .join(near.select(F.md5("line").alias("h"), F.lit(True).alias("near")), "h", "left")
              .where("c > 1 OR near").select("h", "first", F.coalesce("near", F.lit(False)).alias("near")))
     gone = (marked.join(staged(first, "first-lines"), "h")
-            .where(F.col("near") | (F.struct("doc_id", "tag", "pos") != F.col("first")))
+            .where(F.col("near") | (_place() != F.col("first")))
             .groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
             .withColumnsRenamed({"doc_id": "d", "tag": "t"}))
     all_ = docs.select("doc_id", F.xxhash64(_text()).alias("tag"),
