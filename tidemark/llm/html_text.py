@@ -21,6 +21,8 @@ from .base import prepare
 
 #: Labelled pages that weights are counted over, at most.
 LABELLED = 2000
+#: Classes of tokens, about: what counts are smoothed by.
+CLASSES = 40
 #: Elements by kind, and words in a class, id or role that mark page furniture.
 BLOCKS = frozenset("""address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup
@@ -164,12 +166,14 @@ def fit(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
     counted = (pages.select("page_id", "html").join(F.broadcast(ids), F.col("page_id") == F.col("_id"), "left_semi")
                .select("html").mapInPandas(_count, "name string, inside bigint, outside bigint")
                .groupBy("name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).collect())
-    total_in, total_out = 1 + sum(r["i"] for r in counted), 1 + sum(r["o"] for r in counted)
+    total_in, total_out = (CLASSES / 2 + sum(r[c] for r in counted) for c in "io")
     weights = {}
     for r in counted:
         odds = math.log((r["i"] + 0.5) / total_in) - math.log((r["o"] + 0.5) / total_out)
         if r["name"].startswith("tag"):
             weights[r["name"]] = min(-0.1, max(-1.0, odds))
+        elif r["name"].startswith("word in"):
+            weights[r["name"]] = max(0.5, min(4.0, odds))
         else:
             weights[r["name"]] = max(-4.0, min(4.0, odds))
     return weights

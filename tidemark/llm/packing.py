@@ -148,9 +148,10 @@ def cutting_patterns(histogram: dict[int, int], room: int = LENGTH) -> list[tupl
     columns = _first_basis(sizes, need, room)
     inverse = np.linalg.inv(_matrix(columns))
     least, pivots, smooth = float(need @ sizes) / room, 0, 0.9
+    sound, broken = (list(columns), inverse.copy()), False
     for _ in range(ROUNDS):
         x = inverse @ need
-        if x.sum() <= least * (1 + GAP):
+        if x.sum() <= max(least * (1 + GAP), least + 0.5):
             break
         duals = inverse.sum(axis=0)
         # duals jump about at first; prices between them and those of a perfect fill settle them
@@ -171,17 +172,28 @@ def cutting_patterns(histogram: dict[int, int], room: int = LENGTH) -> list[tupl
             if inverse.sum(axis=0)[at] @ times <= 1 + 1e-7:
                 continue
             step = inverse[:, at] @ times
-            able = step > 1e-10
+            able = step > 1e-7
+            if not able.any():
+                continue
             ratio = np.where(able, np.maximum(inverse @ need, 0) / np.where(able, step, 1), np.inf)
-            leave = int(ratio.argmin())
+            least_ratio = ratio.min()
+            leave = int(np.where(ratio <= least_ratio + 1e-9, step, 0).argmax())  # of equals the safest pivot
             columns[leave] = col
             pivot = inverse[leave] / step[leave]
             rows = np.flatnonzero(np.abs(step) > 1e-13)
             inverse[rows] -= step[rows, None] * pivot
             inverse[leave] = pivot
             pivots += 1
-            if pivots % 500 == 0:  # rounding errors end here
-                inverse = np.linalg.inv(_matrix(columns))
+            if pivots % 200 == 0:  # rounding errors end here
+                try:
+                    inverse = np.linalg.inv(_matrix(columns))
+                    sound = (list(columns), inverse.copy())
+                except np.linalg.LinAlgError:
+                    broken = True
+                    break
+        if broken:  # errors have grown too large: the last sound basis is a solution as well
+            columns, inverse = sound
+            break
         if pivots == before:
             if smooth == 0:
                 break
