@@ -22,8 +22,8 @@ from .base import prepare, staged
 
 #: Ids of a sequence, and the id that ends a document.
 LENGTH, END = 1024, 0
-#: Most pricing rounds, patterns entered in one, and the gap to the optimum that ends them.
-ROUNDS, BATCH, GAP = 400, 24, 0.0002
+#: Fewest and most pricing rounds, patterns entered in one, and the gap to the optimum that ends them.
+AT_LEAST, ROUNDS, BATCH, GAP = 8, 400, 24, 0.0002
 
 _ENCODERS: dict = {}
 
@@ -149,9 +149,9 @@ def cutting_patterns(histogram: dict[int, int], room: int = LENGTH) -> list[tupl
     inverse = np.linalg.inv(_matrix(columns))
     least, pivots, smooth = float(need @ sizes) / room, 0, 0.9
     sound, broken = (list(columns), inverse.copy()), False
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         x = inverse @ need
-        if x.sum() <= max(least * (1 + GAP), least + 0.5):
+        if turn >= AT_LEAST and x.sum() <= max(least * (1 + GAP), least + 0.5):
             break
         duals = inverse.sum(axis=0)
         # duals jump about at first; prices between them and those of a perfect fill settle them
