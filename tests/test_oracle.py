@@ -6,9 +6,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from tidemark import catalog
 from conftest import SF_SMALL
 
-SQLS = E.oracle_sql()
+SQLS = catalog.oracle_sql()
 
 
 def _norm(v):
@@ -37,14 +38,14 @@ def duck():
 
 
 def test_every_query_has_an_entry():
-    qs = E.queries()
+    qs = catalog.queries()
     assert set(SQLS) <= set(qs)
     assert len(qs) >= 40
 
 
 @pytest.mark.parametrize("name", sorted(SQLS))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    got = catalog.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.execute(SQLS[name]).df()
     gc, gr = _rows(got)
     wc, wr = _rows(want)
@@ -53,9 +54,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert gr == wr
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(SQLS)))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(SQLS)))
 def test_rows_only_queries_run(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     assert df.count() > 0
 
 
