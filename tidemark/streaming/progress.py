@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import threading
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -39,11 +40,19 @@ def progress_rows(spark: SparkSession, progresses) -> DataFrame:
 
 
 class ProgressCollector(StreamingQueryListener):
-    """Listener keeping every progress event (one small record per micro-batch)."""
+    """Listener that holds progress events (one small record per micro-batch) until :meth:`drain`
+    hands them over, e.g. to :func:`append_progress`; beyond ``most`` the oldest go."""
 
-    def __init__(self):
+    def __init__(self, most: int = 10_000):
         self._lock = threading.Lock()
-        self.events: list[str] = []
+        self.events: deque[str] = deque(maxlen=most)
+
+    def drain(self) -> list[str]:
+        """The events held so far, which are then forgotten."""
+        with self._lock:
+            out = list(self.events)
+            self.events.clear()
+        return out
 
     def onQueryStarted(self, event):
         pass
