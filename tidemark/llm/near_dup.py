@@ -77,6 +77,13 @@ def _sets(batches):
         yield pd.DataFrame({"d": b["doc_id"], "n": [len(s) for s in sets], "hashes": sets})
 
 
+def _tally(batches):
+    """(v, c): how many of a batch's sets hold each value."""
+    for b in batches:
+        v, c = np.unique(np.concatenate([np.zeros(0, np.int64), *b["hashes"]]), return_counts=True)
+        yield pd.DataFrame({"v": v.astype(np.int64), "c": c.astype(np.int64)})
+
+
 def _pairs(lists: DataFrame) -> DataFrame:
     """Pairs (a < b) of the members (v, d) of lists that are all short."""
     left, right = lists.select("v", F.col("d").alias("a")), lists.select("v", F.col("d").alias("b"))
@@ -103,7 +110,8 @@ def _prefixes(sets: DataFrame, link: int) -> DataFrame:
     """For the whole sets of crowded classes: rows (v, g, d, n, r) of each set's rarest-first
     prefix; g is the number of sets with value v, r the set's number of rare values."""
     rows = sets.select("d", "n", F.explode("hashes").alias("v"))
-    g = rows.groupBy("v").agg(F.count("*").alias("g"))
+    g = (sets.select("hashes").mapInPandas(_tally, "v bigint, c bigint")
+         .groupBy("v").agg(F.sum("c").alias("g")))
     ordered = (rows.join(g, "v").groupBy("d", "n")
                .agg(F.sort_array(F.collect_list(F.struct("g", "v"))).alias("o")))
     length = F.col("n") - F.ceil(F.col("n") * (link / 100) - 1e-9).cast("int") + 1
