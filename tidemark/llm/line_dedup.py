@@ -4,7 +4,7 @@ A line is a ``\\n``-separated part of a text with a word in it, compared without
 at its ends. It goes when an earlier line (by doc_id, then place) equals it or, both having at
 least ``MIN_CHARS`` code points, is within one edit (insertion, deletion or substitution).
 
-1. Equal lines share a digest; the earliest occurrence of each is found by partial aggregation.
+1. Equal lines share a 128-bit hash; the earliest occurrence of each is found by partial aggregation.
 2. An edit touches one of ``q`` segments, so two near lines agree on all before and after it. A
    line's context keys hash just that, for its own length and the next shorter one; only lines
    that share a context with a different line can have a neighbour, and only their texts move.
@@ -131,11 +131,12 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     near = _near(docs)
-    marked = _lines(docs).select("doc_id", "tag", "pos", F.md5("line").alias("h"))
-    first = (marked.groupBy("h").agg(F.min(_place()).alias("first"), F.count("*").alias("c"))
-             .join(near.select(F.md5("line").alias("h"), F.lit(True).alias("near")), "h", "left")
-             .where("c > 1 OR near").select("h", "first", F.coalesce("near", F.lit(False)).alias("near")))
-    gone = (marked.join(staged(first, "first-lines"), "h")
+    digest = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2")]  # 128 bits of two hashes
+    marked = _lines(docs).select("doc_id", "tag", "pos", *digest)
+    first = (marked.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("c"))
+             .join(near.select(*digest, F.lit(True).alias("near")), ["h1", "h2"], "left")
+             .where("c > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")))
+    gone = (marked.join(staged(first, "first-lines"), ["h1", "h2"])
             .where(F.col("near") | (_place() != F.col("first")))
             .groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
             .withColumnsRenamed({"doc_id": "d", "tag": "t"}))
