@@ -23,8 +23,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (operator 8), the one with the smallest id."""
-    return near_dup.keep_one(docs)
+    """One document of each group of near duplicates (operator 8), the one with the smallest id;
+    word shingles link from a similarity of 0.8 on."""
+    return near_dup.keep_one(docs, link=80)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

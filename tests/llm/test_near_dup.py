@@ -67,3 +67,20 @@ def test_edges(spark, docs_of):
     assert q.near_duplicates(docs_of([])).count() == 0
     kept = q.keep_one(docs_of(rows))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 6, 7, 8, 9] and "kept" in kept.columns
+
+
+def test_lower_threshold_equals_brute_force(spark, docs_of):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    origin = [word() for _ in range(150)]
+    rows = []
+    for i in range(150):  # near copies on both sides of 0.80
+        w = list(origin)
+        for _ in range(rng.randrange(0, 12)):
+            w[rng.randrange(len(w))] = word()
+        rows.append((i, " ".join(w)))
+    passage = [word() for _ in range(80)]
+    rows += [(1000 + i, " ".join([word() for _ in range(rng.randrange(4, 60))] + passage)) for i in range(100)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in q.near_duplicates(docs_of(rows), 80).collect()}
+    assert got == brute(rows, 80) != brute(rows)
+    assert (q._emitted(85), q._crowded_percent(85)) == (14, 65) and (q._emitted(80), q._crowded_percent(80)) == (19, 50)

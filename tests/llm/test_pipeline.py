@@ -36,3 +36,15 @@ def test_stages_follow_each_other(spark):
     once = out.dropDuplicates(["doc_id"])
     packed = corpus_pipeline.STAGES[-1][1](spark, once, TINY).collect()
     packing_check([(r["doc_id"], r["text"]) for r in once.collect()], packed)
+
+
+def test_near_duplicates_link_from_four_fifths(spark, docs_of):
+    rows = []
+    for i in range(0, 40, 2):  # 104 words, 100 shingles; a last part of 5 to 24 words differs
+        own = [f"w{i}x{j}" for j in range(104)]
+        rows += [(i, " ".join(own)), (i + 1, " ".join(own[:99 - i // 2] + [f"v{i}x{j}" for j in range(5 + i // 2)]))]
+    out = corpus_pipeline.near_duplicates(spark, docs_of(rows), TINY)
+    found = near_brute(rows, 80)
+    want = sorted(i for i, (_, c) in found.items() if i == c)
+    assert sorted(r["doc_id"] for r in out.collect()) == want
+    assert len(want) < sum(i == c for i, (_, c) in near_brute(rows, 85).items())

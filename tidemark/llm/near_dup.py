@@ -5,10 +5,11 @@ smallest hashes are its sketch.
 
 1. Documents with equal sets form a class; only classes go on, so exact copies make no pairs.
 2. Inverted lists of retained values generate candidate pairs. A value kept by more than
-   ``COMMON`` classes is common and makes no list: a class emits its ``EMIT`` smallest other values.
+   ``COMMON`` classes is common and makes no list: a class emits its smallest other values, ``EMIT``
+   of them or more at lower thresholds.
 3. A class whose sketch is mostly common values (a large family of near copies, or a text that is
    mostly a shared passage) also gets its whole set indexed, rarest value first. Linked sets must
-   share a value among their first ``n - ceil(0.85 n) + 1``, so lists over these prefixes lose
+   share a value among their first ``n - ceil(link n) + 1``, so lists over these prefixes lose
    nothing. A list of at most ``COMMON`` classes makes its pairs. In a longer list two sets whose
    first shared value is common share common values only, which bounds their similarity by
    counts alone: a list links to its class with fewest rare values, and only members that stay
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .base import only, prepare, staged
 from .graph import components
 
-#: Retained values of a sketch, values a class emits, and the list length from which a value is common.
+#: Retained values of a sketch, values a class emits at least, and the list length from which a value is common.
 K, EMIT, COMMON = 48, 14, 32
 #: The similarity that links: 100 * intersection >= LINK * union.
 LINK = 85
@@ -119,6 +120,17 @@ def _prefixes(sets: DataFrame, link: int) -> DataFrame:
             .select("d", "n", "r", F.inline(F.slice("o", F.lit(1), length))).where("g > 1"))
 
 
+def _emitted(link: int) -> int:
+    """How many values a class emits: in proportion to what a linked set may hold besides."""
+    return max(EMIT, math.ceil(EMIT * (100 - link) / (100 - LINK)))
+
+
+def _crowded_percent(link: int) -> int:
+    """How much of a sketch may be common values before the whole set is indexed. The lower the
+    threshold, the more of the other values may be those that only one of two sets holds."""
+    return max(0, min(link - 20, 3 * link - 190))
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
     """(node, label) of the classes (d, n, sketch) that have links; ``docs`` gives the texts."""
     values = classes.select("d", F.explode("sketch").alias("v"))
@@ -127,9 +139,9 @@ def link_classes(classes: DataFrame, docs: DataFrame, link: int = LINK) -> DataF
     size = F.size("sketch")
     own = (classes.join(held, "d", "left")
            .withColumn("own", F.array_except("sketch", F.coalesce("held", F.array().cast("array<bigint>"))))
-           .withColumn("crowded", F.size("own") < size - F.ceil(size * 0.65).cast("int") + 1))
+           .withColumn("crowded", F.size("own") < size - F.ceil(size * _crowded_percent(link) / 100).cast("int") + 1))
     own = staged(own.select("d", "crowded", F.when(F.col("crowded"), F.col("own"))
-                            .otherwise(F.slice("own", 1, EMIT)).alias("emit")), "emitted")
+                            .otherwise(F.slice("own", 1, _emitted(link))).alias("emit")), "emitted")
     candidates = _pairs(own.select("d", F.explode("emit").alias("v")))
     a, b = (classes.select(F.col("d").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
     slack = 6 * math.sqrt(link / 100 * (1 - link / 100) / K)
