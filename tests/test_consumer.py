@@ -60,3 +60,15 @@ def test_latest_views_use_hash_aggregates(spark):
     df = spark.createDataFrame([("A", 1, 2.0)], "symbol string, window_end int, vwap double")
     plan = latest_per_key(df, "symbol", "window_end")._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_late_first_alerts_are_kept(spark):
+    root = scratch_path(spark, uuid.uuid4().hex)
+    for lines in ([alert("A", 50)], [alert("A", 0), alert("A", 50), alert("B", 1)], [alert("A", 2), alert("B", 55), alert("C", 0)]):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+    good, _ = read_alerts(spark, f"{root}/in", maxFilesPerTrigger=1)
+    q = start_alert_consumer(good, f"{root}/out", f"{root}/state", trigger={"availableNow": True}, query_name=f"c-{uuid.uuid4().hex}")
+    q.awaitTermination()
+    got = sorted((r["symbol"], r["window_start"].minute) for r in read_audit(spark, f"{root}/out").collect())
+    assert got == [("A", 0), ("A", 50), ("B", 1), ("B", 55), ("C", 0)]
+    assert spark.read.json(f"{root}/out/annotations").count() == 5

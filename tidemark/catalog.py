@@ -290,13 +290,15 @@ def q_stream_alerts(spark, sf):
 @register("alert_audit", O.with_alerts("SELECT * EXCLUDE (created_at) FROM atab"))
 def q_alert_audit(spark, sf):
     """O-3, O-29, O-30, O-36, O-37: the alert consumer over every alert that the stream sends,
-    each sent twice; its audit table holds each once, under one id."""
+    each sent twice, in batches that each reach over the whole time; its audit table holds each
+    once, under one id."""
     from .sources.alerts import read_alerts
     from .streaming.consumer import read_audit, start_alert_consumer
     out = _streamed(spark, sf, *ANOMALY_WINDOW)
     raw = spark.read.text(f"{out}/alerts_raw").select("value")
-    raw.unionByName(raw).coalesce(1).write.text(f"{out}/topic")
-    good, _ = read_alerts(spark, f"{out}/topic")
+    files = max(4, spark.sparkContext.defaultParallelism)
+    raw.unionByName(raw).repartition(files).write.text(f"{out}/topic")
+    good, _ = read_alerts(spark, f"{out}/topic", maxFilesPerTrigger=-(-files // 4))
     q = start_alert_consumer(good, f"{out}/consumer", checkpoint=f"{out}/consumer-state",
                              trigger={"availableNow": True}, query_name="q-consumer-" + out.split("/")[-2])
     q.awaitTermination()

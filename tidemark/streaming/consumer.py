@@ -1,8 +1,9 @@
 """The alert consumer (O-3, O-29, O-30, O-36, O-37): alert stream -> parse -> first-wins
 de-dup -> audit table and annotation payloads, one streaming query.
 
-Every alert of the producer arrives; de-duplication is the consumer's own state, so any
-number of consumers see the same stream. Malformed rows go to their own folder.
+Every alert of the producer arrives; de-duplication is the consumer's own, against the keys of its
+audit table, so any number of consumers see the same stream and no first alert is too late.
+Malformed rows go to their own folder.
 """
 
 from __future__ import annotations
@@ -10,39 +11,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import DEDUP_TTL_SECONDS, with_dedup_key
+from ..functions.timecols import as_interval, utc_date
+from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
 from ..operators.sinks import alert_annotations, append_batch, audit_rows
 from ..schemas import ALERT_COLUMNS
 from ..session import scratch_path
+from .app import _fs
 
-#: How far alerts may arrive out of order before their window counts as late.
-DEFAULT_DELAY = "10 minutes"
+
+def _unseen(alerts: DataFrame, audit: str, batch_id: int, ttl_seconds: int) -> DataFrame:
+    """The alerts whose key no earlier batch wrote to the audit table; only the dates that the
+    batch's buckets can touch are read."""
+    spark = alerts.sparkSession
+    fs, path = _fs(spark, audit)
+    if not fs.exists(path):
+        return alerts
+    ttl = as_interval(f"{ttl_seconds} seconds")
+    days = alerts.select(utc_date(F.min("window_start") - ttl).alias("lo"), utc_date(F.max("window_start") + ttl).alias("hi")).first()
+    near = F.col("dt").isNull() if days.lo is None else F.col("dt").isNull() | F.col("dt").between(days.lo, days.hi)
+    seen = (spark.read.schema("dedup_key string, dt date, batch_id int").parquet(audit)
+            .where((F.col("batch_id") < batch_id) & near).select("dedup_key"))
+    return alerts.join(seen, "dedup_key", "left_anti")
 
 
 def start_alert_consumer(alerts_stream: DataFrame, out_root: str, checkpoint: str | None = None,
-                         delay: str = DEFAULT_DELAY, ttl_seconds: int = DEDUP_TTL_SECONDS,
-                         trigger: dict | None = None, query_name: str = "alert-consumer") -> StreamingQuery:
+                         ttl_seconds: int = DEDUP_TTL_SECONDS, trigger: dict | None = None,
+                         query_name: str = "alert-consumer") -> StreamingQuery:
     """Consume an ALERTS stream (see :func:`tidemark.sources.read_alerts`).
 
     Writes ``out_root/audit`` (alerts with a stable ``id``, acknowledged = false) and
     ``out_root/annotations`` (JSON payloads), both overwritten per batch on replay.
-    De-duplication keys live in the state store and go with the watermark.
+    The first alert of a de-dup key wins, however late it comes: a batch is de-duplicated in
+    itself and against the keys that earlier batches wrote.
     """
     if not alerts_stream.isStreaming:
         raise ValueError("start_alert_consumer needs a streaming DataFrame")
-    keyed = (with_dedup_key(alerts_stream, ttl_seconds).withWatermark("window_start", delay)
-             .dropDuplicatesWithinWatermark(["dedup_key"]))
     root = out_root.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        rows = audit_rows(batch).select("id", *ALERT_COLUMNS, "dedup_key", "acknowledged",
-                                        F.current_timestamp().alias("created_at"))
-        append_batch(rows, f"{root}/audit", batch_id, ts_col="window_start")
-        alert_annotations(batch).write.mode("overwrite").json(f"{root}/annotations/batch_id={batch_id}")
+        first = dedup_alerts(batch.select(*ALERT_COLUMNS), ttl_seconds, keep_key=True).persist()
+        fresh = _unseen(first, f"{root}/audit", batch_id, ttl_seconds).persist()
+        try:
+            rows = audit_rows(fresh).select("id", *ALERT_COLUMNS, "dedup_key", "acknowledged",
+                                            F.current_timestamp().alias("created_at"))
+            append_batch(rows, f"{root}/audit", batch_id, ts_col="window_start")
+            alert_annotations(fresh).write.mode("overwrite").json(f"{root}/annotations/batch_id={batch_id}")
+        finally:
+            fresh.unpersist()
+            first.unpersist()
 
-    return (keyed.writeStream.queryName(query_name).foreachBatch(write).outputMode("append")
+    return (alerts_stream.writeStream.queryName(query_name).foreachBatch(write).outputMode("append")
             .option("checkpointLocation", checkpoint or scratch_path(alerts_stream.sparkSession, "streams", query_name))
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
