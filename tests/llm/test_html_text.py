@@ -55,3 +55,26 @@ def test_edges(spark, weights):
     assert rows == {(1, 0), (None, 3), (2, 59999)}
     assert q.extract(pages.limit(0)).count() == 0
     assert q.extract(pages.where(F.col("html") == "")).count() == 1
+
+
+TEXT = "<h1>Title</h1><p>It rained a lot today and more rain is to come.</p><p>The river rose by a foot.</p>"
+WHOLE = "Title It rained a lot today and more rain is to come. The river rose by a foot."
+
+
+@pytest.mark.parametrize("page", [
+    *(f"<body><{e}>{TEXT}</{e}></body>" for e in ("svg-icon", "title-bar", "select-box", "template-x")),
+    f"<body><svg class='a>b' viewBox=\"0 0 1 1\"/>{TEXT}<svg><text>no</text></svg></body>",
+    *(f"<body><nav>Home</nav><div {a}>{TEXT}<div class=sidebar>Old news</div></div></body>"
+      for a in ("class='container with-sidebar'", "id='page-header-layout'", "class=no-comments")),
+    f"<body><form action=/x>{TEXT}</form></body>",
+    f"<body><div id=top><h1>T</h1></div><form><div class=banner-page>{TEXT * 4}</div></form></body>",
+    f"<article><div class=with-sidebar>{TEXT}</div></article>",
+])
+def test_frames_and_longer_names_keep_the_page(weights, page):
+    got = q.main_text(page, weights)
+    assert WHOLE in got and "no" not in got.split() and "Old" not in got
+
+
+def test_comments_larger_than_the_text_go(weights):
+    talk = "<p>I have a lot to say about this and say it at length.</p>" * 5
+    assert q.main_text(f"<div id=content>{TEXT}</div><section id=comments><h2>5 comments</h2>{talk}</section>", weights) == WHOLE

@@ -28,16 +28,19 @@ BLOCKS = frozenset("""address article aside blockquote body br caption center dd
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup
 option p pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-FURNITURE = frozenset("aside button dialog fieldset footer form header menu nav".split())
+FURNITURE = frozenset("aside button dialog fieldset footer header menu nav".split())
 MARKS = frozenset("""ad ads adsbox advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment
 comments complementary consent contentinfo cookie cookies disqus footer form header login masthead menu modal nav navbar
 navigation newsletter notice notices notification pager pagination popup promo promotion related replies reply respond
 search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget""".split())
+TALK = frozenset("comment comments disqus replies reply respond".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCKS - {"br"}
 
 _TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*)
-    |<(script|style|template|noscript|iframe|textarea|title|svg|select|xmp|noembed|noframes)\b[^>]*(?:>(?:.*?</\1\s*>|.*)|$)
+    |<svg(?=[\s/>])(?:[^>"']++|"[^"]*"|'[^']*')*+(?<=/)>
+    |<(script|style|template|noscript|iframe|textarea|title|svg|select|xmp|noembed|noframes)(?=[\s/>]|$)[^>]*(?:>(?:.*?</\1\s*>|.*)|$)
     |<[!?][^>]*(?:>|$)
     |<(/?)([a-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)(?:>|$)
     |</?[a-z][^>]*(?:>|$)
@@ -46,25 +49,51 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str) -> str:
+    """What the attributes make of an element: "hidden", "talk" or "mark" (page furniture by a word
+    of TALK or MARKS), or ""."""
+    found = ""
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return "hidden"
         if name == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
-        elif any(w.lower() in MARKS for w in _WORD.findall(value)):
-            return True
-    return False
+                return "hidden"
+        elif name != "aria-hidden":
+            words = {w.lower() for w in _WORD.findall(value)}
+            found = "talk" if words & TALK else found or ("mark" if words & MARKS else "")
+    return found
+
+
+def _frames(tags: list[str], parents: list[int], marked: list[str], gone: list[bool], runs: list, top: int) -> set[int]:
+    """The marked elements below ``top`` that are no furniture but frames of its text: they hold most
+    of its words and its first heading, or more than nine tenths of its words (those for comments: all)."""
+    if not any(marked):
+        return set()
+    words, below = [0] * len(tags), [e == top for e in range(len(tags))]
+    for kind, value, e in runs:
+        if kind == "text" and not gone[e]:
+            words[e] += len(value.split())
+    for e in range(len(tags) - 1, 0, -1):
+        words[parents[e]] += words[e]
+    for e in range(1, len(tags)):
+        below[e] = below[e] or below[parents[e]]
+    heading, over = next((e for e in range(1, len(tags)) if below[e] and not gone[e] and tags[e] in HEADINGS and words[e]), 0), set()
+    while heading:
+        over.add(heading)
+        heading = parents[heading]
+    share = lambda e: words[e] / words[top]
+    return {e for e in range(1, len(tags)) if marked[e] and below[e] and e != top and words[e] and (
+        share(e) > 0.5 and e in over or share(e) > 0.9 and (marked[e] != "talk" or share(e) == 1))}
 
 
 def parse(page: str) -> list[tuple[str, str, bool | None, str, bool]]:
     """The page as (kind, value, inside, block, link): kind is "text" or "tag" (value: its name);
     inside tells whether it stands in an article or main element, None on a page without;
     furniture, scripts, styles and comments are left out."""
-    tags, parents, furniture, marked, holds, runs = ["#"], [0], [False], [False], [False], []
-    stack, at, seen_article = [0], 0, False
+    tags, parents, furniture, marked, holds, runs = ["#"], [0], [False], [""], [False], []
+    stack, at, seen_article = [0], 0, 0
 
     def text(value: str) -> None:
         if value:
@@ -98,21 +127,26 @@ def parse(page: str) -> list[tuple[str, str, bool | None, str, bool]]:
             parents.append(stack[-1])
             furniture.append(name in FURNITURE)
             first = name in ("article", "main") and not seen_article
-            marked.append(not first and name not in ("html", "body", "main") and _marked(m.group(4)))
+            mark = "" if first or name in ("html", "body", "main") else _marked(m.group(4))
+            marked.append(mark or ("mark" if name == "form" else ""))
             holds.append(False)
             stack.append(len(tags) - 1)
             if name in ("article", "main"):
                 if not seen_article:
                     for e in stack:
                         holds[e] = True
-                seen_article = True
+                seen_article = seen_article or stack[-1]
         runs.append(("tag", name, stack[-1]))
     text(page[at:])
     # what marks itself as furniture yet holds the first article is a frame of the page
+    gone = [False]
+    for e in range(1, len(tags)):
+        gone.append(gone[parents[e]] or (furniture[e] or marked[e] == "hidden") and not holds[e])
+    frames = _frames(tags, parents, [m if m != "hidden" else "" for m in marked], gone, runs, seen_article)
     out, inside, block, link = [False], [False], ["#"], [False]
     for e in range(1, len(tags)):
         p = parents[e]
-        out.append(out[p] or furniture[e] and not holds[e] or marked[e] and not holds[e])
+        out.append(out[p] or gone[e] or marked[e] != "" and not holds[e] and e not in frames)
         inside.append(inside[p] or tags[e] in ("article", "main"))
         block.append(tags[e] if tags[e] in BLOCKS else block[p])
         link.append(link[p] or tags[e] == "a")
