@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from helpers import SF_MID
 from helpers import metrics_df
 from tidemark.functions.numeric import severity_by_levels
 from tidemark.operators.anomaly import detect_anomalies, rolling_baseline

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tidemark import catalog
 from tidemark.operators import sinks
 from tidemark.operators.anomaly import rolling_baseline

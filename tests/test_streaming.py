@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import ts
 from tidemark.operators.anomaly import detect_anomalies
 from tidemark.operators.dedup import dedup_alerts

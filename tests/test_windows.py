@@ -103,14 +103,16 @@ def test_one_formula_for_all_magnitudes(spark, rows, vwap, rsi):
 
 
 def test_building_queries_runs_no_job(spark):
-    """No registered query of the market library computes or writes while it is built."""
+    """No registered batch query of the market library computes or writes while it is built; the
+    stream queries run a stream to its end and read its tables."""
     from tidemark import catalog
     tracker, shared = spark.sparkContext.statusTracker(), spark.conf.get("spark.checkpoint.dir")
     before = len(tracker.getJobIdsForGroup(None)), sorted(os.listdir(shared))
     spark.sparkContext.setJobGroup("building", "")
     try:
-        for build in catalog.queries().values():
-            build(spark, "/root/testdata/sf0.001")
+        for name, build in catalog.queries().items():
+            if name not in catalog.STREAM_QUERIES:
+                build(spark, "/root/testdata/sf0.001")
         jobs = tracker.getJobIdsForGroup("building")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -235,6 +235,10 @@ def q_alerts_unacknowledged(spark, sf):
 
 
 # ---------------------------------------------------------------- the stream
+#: Queries that run a stream to its end while they are built, and read its tables.
+STREAM_QUERIES = ("stream_window_metrics", "stream_latest", "stream_alerts", "alert_audit")
+
+
 def _streamed(spark, sf, window, slide):
     """Run the market stream over the trades of ``events``, landed as files in time order, until
     all are read; returns its output folder. A sentinel trade closes the last windows."""
