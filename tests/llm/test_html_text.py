@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from tables import SMALL
 from tidemark.llm import base, html_text as q
 
 PAGES = [

@@ -1,7 +1,7 @@
 import collections
 import math
 
-from conftest import TINY
+from tables import TINY
 from pyspark.sql import functions as F
 
 from tidemark.llm import base, kneser_ney as q

@@ -1,6 +1,6 @@
 import random
 
-from conftest import TINY
+from tables import TINY
 from tidemark.llm import base, line_dedup as q
 
 

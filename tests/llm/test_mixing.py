@@ -1,4 +1,4 @@
-from conftest import TINY
+from tables import TINY
 from pyspark.sql import functions as F
 
 from tidemark.llm import base, mixing as q

@@ -1,6 +1,6 @@
 import random
 
-from conftest import SMALL
+from tables import SMALL
 from tidemark.llm import base, near_dup as q
 
 

@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from conftest import TINY
+from tables import TINY
 from tidemark.llm import queries as q
 
 

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from conftest import TINY
+from tables import TINY
 from tidemark.llm import base, packing as q
 
 

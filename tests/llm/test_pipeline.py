@@ -1,5 +1,5 @@
 import corpus_pipeline
-from conftest import TINY
+from tables import TINY
 from test_near_dup import brute as near_brute
 from test_packing import check as packing_check
 

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import TINY
+from tables import TINY
 from tidemark.llm import base, quality_rules as q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -3,7 +3,7 @@ import hashlib
 
 import pytest
 
-from conftest import TINY
+from tables import TINY
 from tidemark.llm import base, warc as q
 
 SCHEMA = "page_id bigint, url string, html string, record_type int"
