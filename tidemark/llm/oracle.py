@@ -92,4 +92,25 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
        CASE WHEN page_id <> keeper THEN keeper END AS refers_to
 FROM p JOIN best USING (payload)"""
 
-ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op7_line_dedup": LINE_DEDUP, "op10_warc": WARC}
+RANKED_SEARCH = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts FROM documents),
+p AS (SELECT r, doc_id, len(ts) AS n, t, count(*) AS tf FROM (SELECT r, doc_id, ts, unnest(ts) AS t FROM d) GROUP BY r, doc_id, len(ts), t),
+s AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS nn, sum(len(ts)) AS ll FROM d),
+q AS (SELECT DISTINCT i, item_id, t FROM (
+  SELECT row_number() OVER () AS i, item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark)),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * (SELECT nn FROM s) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p GROUP BY t),
+x AS (
+  SELECT q.i, q.item_id, p.r, p.doc_id,
+         CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (10 + (90 * p.n * s.nn) // s.ll)))) AS BIGINT) AS score
+  FROM q JOIN p USING (t) JOIN w USING (t) CROSS JOIN s GROUP BY q.i, q.item_id, p.r, p.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0)
+WHERE rank <= 10"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op7_line_dedup": LINE_DEDUP, "op10_warc": WARC,
+                           "op11_ranked_search": RANKED_SEARCH}

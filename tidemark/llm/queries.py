@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, base, brown, html_text, kneser_ney, line_dedup, mixing, near_dup, packing, quality_rules, toxicity, warc, whitening
+from . import ann, base, brown, html_text, kneser_ney, line_dedup, mixing, near_dup, packing, quality_rules, ranked, toxicity, warc, whitening
 from .oracle import ORACLES
 
 
@@ -57,6 +57,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(base.table(spark, sf_dir, "documents"), base.table(spark, sf_dir, "benchmark"))
+
+
 def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(brown.FOLDS)) == brown.HELD_OUT
     return brown.score(base.table(spark, sf_dir, "documents"), held_out)
@@ -69,8 +73,8 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_quality_rules, op3_quality_classifier, op4_packing, op5_mixing, op6_html_extraction,
-        op7_line_dedup, op8_minhash_near_dedup, op9_nearest_neighbours, op10_warc, op12_lm_scoring,
-        op13_embedding_whitening)}
+        op7_line_dedup, op8_minhash_near_dedup, op9_nearest_neighbours, op10_warc, op11_ranked_search,
+        op12_lm_scoring, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
