@@ -79,8 +79,10 @@ def test_small_shards_equal_brute_force(spark, docs_of):
     assert run(spark, docs_of, docs, items, top=3, chars=5000) == brute(docs, items, 3)
 
 
-def test_blocks_of_items(spark, docs_of, monkeypatch):
+@pytest.mark.parametrize("broadcast", [0, 10 ** 6])
+def test_blocks_of_items(spark, docs_of, monkeypatch, broadcast):
     monkeypatch.setattr(q, "ITEMS", 3)
+    monkeypatch.setattr(q, "BROADCAST", broadcast)
     docs = [(i, f"a{i % 7} b{i % 5} c{i}") for i in range(60)]
     items = [(i, f"a{i % 7} c{i}") for i in range(20)]
     assert run(spark, docs_of, docs, items, chars=100) == brute(docs, items)

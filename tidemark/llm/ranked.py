@@ -27,8 +27,9 @@ from .base import only, prepare, staged
 
 #: Documents returned per item; code points of a shard, about; items of a block; ranges halved at once.
 TOP, SHARD_CHARS, ITEMS, RANGES = 10, 16_000_000, 512, 256
-#: One shard in so many is searched first.
-FIRST = 16
+#: One shard in so many is searched first. Terms of items, all together, that are broadcast at most;
+#: beyond, blocks of items and slices of so many shards are joined by a shuffle.
+FIRST, BROADCAST, SLICE = 16, 200_000, 8
 #: The scale of an impact, its length norm, the scale of a weight.
 IMPACT, TF, NORM, FLOOR, SLOPE, WEIGHT = 1_000_000_000, 1000, 8, 10, 90, 1000
 
@@ -233,8 +234,18 @@ def weighted_items(items: DataFrame, found: DataFrame, n: int) -> DataFrame:
             .select("item", "item_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")))
 
 
-def _found(shards: DataFrame, blocks: DataFrame, count: int, top: int) -> DataFrame:
-    """The best (item, doc_id, score) of every shard for every item of every block."""
+def _joined(shards: DataFrame, blocks: DataFrame, count: int, slices: int | None) -> DataFrame:
+    """Every shard with every block of items. Small blocks are broadcast, so that no shard moves; else
+    (``slices``) every slice of shards gets a copy of every block."""
+    pairs = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    if slices is None:
+        return pairs.join(F.broadcast(blocks), "block")
+    copies = blocks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return pairs.withColumn("slice", F.pmod(F.xxhash64("shard"), F.lit(slices)).cast("int")).join(copies, ["slice", "block"])
+
+
+def _found(pairs: DataFrame, top: int) -> DataFrame:
+    """The best (item, doc_id, score) of every shard for every item of the blocks joined to it."""
     def look(batches):
         last, treap, number, ids = None, None, {}, None
         for b in batches:
@@ -255,7 +266,6 @@ def _found(shards: DataFrame, blocks: DataFrame, count: int, top: int) -> DataFr
                     f["doc_id"] = f["doc_id"].astype("Int64")
                     yield f
 
-    pairs = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(blocks, "block")
     return pairs.select("shard", "doc_ids", "terms", "depth", "children", "lacking", "items").mapInPandas(
         look, "item bigint, doc_id bigint, score bigint")
 
@@ -269,9 +279,9 @@ def search(treaps: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, rank, doc_id, score): the best documents of :func:`index` for every row of
     :func:`weighted_items`, over all shards."""
     items = staged(items, "items")
-    total = items.count()
+    total, size = items.select(F.count("*"), F.sum(F.size("terms"))).head()
     count = max(1, -(-total // ITEMS))
-    # near enough equal blocks: numbered, not in order of anything
+    slices = None if (size or 0) <= BROADCAST else max(1, treaps.count() // SLICE)
     block = F.pmod(F.xxhash64("item"), F.lit(count)).cast("int")
 
     def blocks(least: DataFrame) -> DataFrame:
@@ -281,9 +291,9 @@ def search(treaps: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
 
     early = F.pmod(F.xxhash64("shard"), F.lit(FIRST)) == 0
     none = items.select("item", F.lit(1).cast("bigint").alias("least"))
-    first = staged(_found(treaps.where(early), blocks(none), count, top), "first")
+    first = staged(_found(_joined(treaps.where(early), blocks(none), count, slices), top), "first")
     least = _ranked(first, top).where(F.col("rank") == top).select("item", F.col("score").alias("least"))
-    rest = _found(treaps.where(~early), blocks(least), count, top)
+    rest = _found(_joined(treaps.where(~early), blocks(least), count, slices), top)
     best = _ranked(first.unionByName(rest), top)
     return (best.join(items.select("item", "item_id"), "item")
             .select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
