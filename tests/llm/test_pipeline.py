@@ -25,7 +25,7 @@ def test_stages_follow_each_other(spark):
                     want[r["doc_id"]] = "\n".join(parts)
             assert {r["doc_id"]: r["text"] for r in out.collect()} == want
         elif name == "near duplicates":
-            found = near_brute([(r["doc_id"], r["text"]) for r in before.collect()])
+            found = near_brute([(r["doc_id"], r["text"]) for r in before.collect()], 80)
             assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i, (_, c) in found.items() if i == c)
         else:
             passes = {r["doc_id"]: r["passes"] for r in mixing.mix(before).collect()}
@@ -48,3 +48,24 @@ def test_near_duplicates_link_from_four_fifths(spark, docs_of):
     want = sorted(i for i, (_, c) in found.items() if i == c)
     assert sorted(r["doc_id"] for r in out.collect()) == want
     assert len(want) < sum(i == c for i, (_, c) in near_brute(rows, 85).items())
+
+
+def test_stages_with_awkward_rows(spark):
+    """Null values in any column, empty texts, ties, repeated rows, clashing further columns and empty
+    tables: every stage keeps its columns, and no text without a copy is lost after the rules."""
+    extra = "_d int, d int, t int, tag string, carried int, passes int, dropped int, ls int, label int, gone int, kept int"
+    schema = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}"
+    prose = [" ".join(f"{chr(97 + k % 26)}{k * j % 97}word{j}" for j in range(80)) for k in range(12)]
+    rows = [(k if k % 4 else None, t, "en" if k % 3 else None, "a" if k % 2 else None, len(t)) for k, t in enumerate(prose)]
+    rows += [rows[1], rows[1], (1, prose[2] + " more", "en", "a", 0), (None, prose[4], None, None, None),
+             (50, None, None, None, None), (50, "", "en", "b", 0), (51, " \n ", "en", "b", 3)]
+    make = lambda rs: spark.createDataFrame([(*r, *[3] * 3, "x", *[5] * 7) for r in rs], schema)
+    for table in (rows, []):
+        docs = make(table)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = base.staged(stage(spark, docs, TINY), "stage")
+            assert out.columns == docs.columns, name
+            if table:
+                assert {r["text"] for r in out.collect()} >= set(prose[:1] + prose[5:]), name
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, TINY)
+        assert (packed.count() > 0) == bool(table)

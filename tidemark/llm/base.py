@@ -26,11 +26,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names.
 
-    Only where the session names none (tests on one machine) a folder is made and set.
+    Only a local session, of one machine, may name none: then a folder is made and set.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
         named = tempfile.mkdtemp(prefix="tidemark-shared-")
@@ -90,6 +92,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carried(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df`` with all of its columns in one struct, ``carried``, beside ``columns``: no further
+    column of the input can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("carried"), *columns)
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns alone, so that no further column of the input can clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import staged
+from .base import carried, staged
 
 #: From how many code points on a line may differ by one edit; shorter lines must be equal.
 MIN_CHARS = 24
@@ -151,15 +151,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without their dropped lines; n_chars, if there, is counted anew. A
     document that loses every line goes; one that never had a line stays."""
     cut = (staged(dropped_lines(docs), "dropped").where(F.size("dropped") > 0).distinct()
-           .select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), F.col("n_lines").alias("_n"),
-                   F.col("dropped").alias("_x")))
-    ls = F.split(_text(), "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size("_ls") - 1), F.col("_x"))
-    text = F.when(F.col("_x").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get("_ls", i)), "\n"))
-    out = (docs.join(cut, docs["doc_id"].eqNullSafe(cut["_d"]) & (F.xxhash64(_text()) == cut["_t"]), "left")
-           .where("_x IS NULL OR size(_x) < _n").withColumn("_ls", F.when(F.col("_x").isNotNull(), ls))
-           .withColumn("text", text))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+           .select(F.col("doc_id").alias("d"), F.col("tag").alias("t"), "n_lines", "dropped"))
+    rows = carried(docs, F.col("doc_id"), F.col("text"))
+    out = (rows.join(cut, rows["doc_id"].eqNullSafe(cut["d"]) & (F.xxhash64(_text()) == cut["t"]), "left")
+           .where("dropped IS NULL OR size(dropped) < n_lines")
+           .withColumn("ls", F.when(F.col("dropped").isNotNull(), F.split(_text(), "\n", -1))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("ls") - 1), F.col("dropped"))
+    out = out.withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(left, lambda i: F.get("ls", i)), "\n")))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns])

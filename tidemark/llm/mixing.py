@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .base import prepare, staged, words
+from .base import carried, prepare, staged, words
 
 #: Words of a block; weights by rank of the source; most passes over a source.
 BLOCK, WEIGHTS, MOST = 1024, (1, 2, 3), 3
@@ -150,9 +150,9 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple[int, ...] = WEIGHTS,
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix with their own columns, each as often as its first word is taken.
     Rows with one doc_id and text are one document here; their passes add up."""
-    passes = (mix(docs).groupBy("doc_id", "tag").agg(F.sum("passes").alias("_passes")).where("_passes > 0")
-              .withColumnsRenamed({"doc_id": "_d", "tag": "_t"}))
-    rows = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).dropDuplicates(["doc_id", "_tag"])
-    return (rows.join(passes, rows["doc_id"].eqNullSafe(passes["_d"]) & (rows["_tag"] == passes["_t"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_passes"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    passes = (mix(docs).groupBy("doc_id", "tag").agg(F.sum("passes").alias("passes")).where("passes > 0")
+              .withColumnsRenamed({"doc_id": "d", "tag": "t"}))
+    rows = (carried(docs, F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tag"))
+            .dropDuplicates(["doc_id", "tag"]))
+    return (rows.join(passes, rows["doc_id"].eqNullSafe(passes["d"]) & (rows["tag"] == passes["t"]))
+            .select("carried", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes")))).select("carried.*"))

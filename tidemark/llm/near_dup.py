@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .base import only, prepare, staged
+from .base import carried, only, prepare, staged
 from .graph import components
 
 #: Retained values of a sketch, values a class emits at least, and the list length from which a value is common.
@@ -66,6 +66,7 @@ def _sketches(batches):
         sets = [shingle_hashes(t) for t in b["text"]]
         yield pd.DataFrame({
             "doc_id": b["doc_id"].astype("Int64"),
+            "tag": b["tag"],
             "n_shingles": [len(s) for s in sets],
             "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
             "sketch": [s[:K] for s in sets],
@@ -75,7 +76,12 @@ def _sketches(batches):
 def _sets(batches):
     for b in batches:
         sets = [shingle_hashes(t) for t in b["text"]]
-        yield pd.DataFrame({"d": b["doc_id"], "n": [len(s) for s in sets], "hashes": sets})
+        yield pd.DataFrame({"d": b["d"], "n": [len(s) for s in sets], "hashes": sets})
+
+
+def _tag() -> Column:
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def _tally(batches):
@@ -132,7 +138,8 @@ def _crowded_percent(link: int) -> int:
 
 
 def link_classes(classes: DataFrame, docs: DataFrame, link: int = LINK) -> DataFrame:
-    """(node, label) of the classes (d, n, sketch) that have links; ``docs`` gives the texts."""
+    """(node, label) of the classes (d, n, sketch, one) that have links: d numbers a class, one is the
+    doc_id and tag of a row of it, whose text ``docs`` gives."""
     values = classes.select("d", F.explode("sketch").alias("v"))
     common = staged(values.groupBy("v").agg(F.count("*").alias("f")).where(F.col("f") > COMMON).select("v"), "common")
     held = values.join(common, "v").groupBy("d").agg(F.collect_list("v").alias("held"))
@@ -150,9 +157,12 @@ def link_classes(classes: DataFrame, docs: DataFrame, link: int = LINK) -> DataF
         .where(100 * F.least("na", "nb") >= link * F.greatest("na", "nb"))
         .where(_estimate(F.col("sa"), F.col("sb")) >= link / 100 - slack).select("a", "b"), "likely")
     crowded = own.where("crowded").select("d")
-    needed = (likely.select(F.explode(F.array("a", "b")).alias("d")).unionByName(crowded).distinct())
-    sets = staged(docs.join(needed, docs.doc_id == needed.d).select("doc_id", "text")
-                  .mapInPandas(_sets, "d bigint, n int, hashes array<bigint>"), "sets")
+    needed = (likely.select(F.explode(F.array("a", "b")).alias("d")).unionByName(crowded).distinct()
+              .join(classes.select("d", F.col("one.doc_id").alias("id"), F.col("one.tag").alias("t")), "d"))
+    texts = docs.select("doc_id", "text", _tag().alias("tag"))
+    found = (texts.join(needed, (texts["tag"] == needed["t"]) & texts["doc_id"].eqNullSafe(needed["id"]))
+             .groupBy("d").agg(F.first("text").alias("text")))  # repeated rows have one text
+    sets = staged(found.mapInPandas(_sets, "d bigint, n int, hashes array<bigint>"), "sets")
 
     lists = staged(_prefixes(sets.join(crowded, "d", "left_semi"), link), "prefixes")
     long = lists.where(F.col("g") > COMMON)
@@ -187,30 +197,54 @@ def _bound(n1: Column, r1: Column, n2: Column, r2: Column, link: int) -> Column:
     return 100 * most >= link * (n1 + n2 - most)
 
 
-def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
-
-    Rows without words (null or empty text) have no shingles and are their own component. Rows
-    that share a doc_id count as one document with several texts: they are in one component.
-    A null doc_id gets the component of its text's class. Other columns are ignored.
-    """
+def _rows(docs: DataFrame, link: int) -> DataFrame:
+    """(doc_id, tag, n_shingles, label, component_id) per row of ``docs`` (doc_id, text): label numbers
+    the component, null without shingles; component_id is the smallest doc_id in it."""
     prepare(docs.sparkSession)
     docs = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = staged(docs.mapInPandas(
-        _sketches, "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>"), "sketches")
+    rows = staged(docs.withColumn("tag", _tag()).mapInPandas(
+        _sketches, "doc_id bigint, tag bigint, n_shingles bigint, digest binary, sketch array<bigint>"), "sketches")
+    one = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
     classes = staged(rows.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("d"), F.max(F.struct("n_shingles", "sketch")).alias("s"))
-        .select("digest", "d", F.col("s.n_shingles").alias("n"), "s.sketch"), "classes")
-    labels = link_classes(classes.where("d IS NOT NULL"), docs, link)
-    named = (classes.join(labels, classes.d == labels.node, "left")
-             .select("digest", F.coalesce("label", "d").alias("component_id")))
+        F.min(one).alias("one"), F.max(F.struct("n_shingles", "sketch")).alias("s"))
+        .select(F.monotonically_increasing_id().alias("d"), "digest", "one", F.col("s.n_shingles").alias("n"), "s.sketch"), "classes")
+    labels = link_classes(classes, docs, link)
+    named = (classes.select("d", "digest", F.col("one.doc_id").alias("least"))
+             .join(labels.withColumnRenamed("node", "d"), "d", "left").withColumn("label", F.coalesce("label", "d")))
+    linked = staged(named.join(labels.select("label").distinct(), "label", "left_semi")
+                    .groupBy("label").agg(F.min("least").alias("far")), "components")
+    named = (named.join(linked, "label", "left")
+             .select("digest", "label", F.coalesce("far", "least").alias("component_id")))
     return (rows.drop("sketch").join(named, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+            .select("doc_id", "tag", "n_shingles", "label",
+                    F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, link: int = LINK) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+
+    Every row stands for itself: rows that share a doc_id but not the text need not be in one
+    component. component_id is null where no row of the component has a doc_id. Rows without words
+    (null or empty text) have no shingles and are their own component. Other columns are ignored.
+    """
+    return (_rows(docs, link).select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def keep_one(docs: DataFrame, link: int = LINK) -> DataFrame:
-    """The rows of ``docs`` whose document is the one kept of its component, with their own columns."""
-    found = near_duplicates(docs, link)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone["_gone"]), "left_anti")
+    """One row of ``docs`` for each component, with its own columns: one with the smallest doc_id (a
+    null one is largest), of several texts of that doc_id one, of repeated rows any. Rows without
+    words all stay."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
+    keys = staged(_rows(docs, link).where("label IS NOT NULL").groupBy("label", "doc_id", "tag")
+                  .agg(F.count("*").alias("times")), "rows")
+    stays = keys.groupBy("label").agg(F.min(key).alias("stay"))
+    special = staged(keys.join(stays, "label").withColumn("gone", key != F.col("stay")).where("gone OR times > 1")
+                     .select(F.col("doc_id").alias("id"), F.col("tag").alias("t"), "gone"), "special")
+    rows = carried(docs, F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"))
+    same = rows["doc_id"].eqNullSafe(special["id"]) & (rows["tag"] == special["t"])
+    out = rows.join(special, same, "left_anti").select("carried.*")
+    again = special.where("NOT gone")
+    if again.isEmpty():
+        return out
+    return out.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", "tag"]).select("carried.*"))
