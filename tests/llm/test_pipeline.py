@@ -52,7 +52,7 @@ def test_near_duplicates_link_from_four_fifths(spark, docs_of):
 
 def test_stages_with_awkward_rows(spark):
     """Null values in any column, empty texts, ties, repeated rows, clashing further columns and empty
-    tables: every stage keeps its columns, and no text without a copy is lost after the rules."""
+    tables: every stage keeps its columns, and only the mix, which takes shares, loses unlike texts."""
     extra = "_d int, d int, t int, tag string, carried int, passes int, dropped int, ls int, label int, gone int, kept int"
     schema = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}"
     prose = [" ".join(f"{chr(97 + k % 26)}{k * j % 97}word{j}" for j in range(80)) for k in range(12)]
@@ -65,7 +65,7 @@ def test_stages_with_awkward_rows(spark):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = base.staged(stage(spark, docs, TINY), "stage")
             assert out.columns == docs.columns, name
-            if table:
+            if table and name != "mixture":
                 assert {r["text"] for r in out.collect()} >= set(prose[:1] + prose[5:]), name
         packed = corpus_pipeline.STAGES[-1][1](spark, docs, TINY)
         assert (packed.count() > 0) == bool(table)
