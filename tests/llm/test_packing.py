@@ -99,3 +99,9 @@ def test_knapsack_equals_plain_recursion():
         chosen = items(90)
         assert sum(sizes[i] * k for i, k in chosen.items()) <= 90
         assert abs(sum(worth[i] * k for i, k in chosen.items()) - plain[90]) < 1e-9
+
+
+def test_ranks_add_up_over_runs_of_shards(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(q, "RUN", 2)
+    rows = [(i, "one two three") for i in range(3000)] + [(5000 + i, "word " * 700) for i in range(20)]
+    check(rows, q.pack(docs_of(rows)).collect())

@@ -1,7 +1,7 @@
 """Operator 4: packing documents into sequences by cutting-stock column generation.
 
 A document's ids are cut into pieces of ``LENGTH`` ids and one shorter rest. The histogram of
-piece lengths (at most ``LENGTH`` numbers, all that reaches the driver) is a cutting-stock
+piece lengths (at most ``LENGTH`` numbers, solved in one task) is a cutting-stock
 problem: a linear program over patterns, lengths that fill one sequence, solved by column
 generation with a knapsack dynamic program pricing the columns. Patterns are used a whole number
 of times, rounded down; what remains, less than one sequence per pattern of the basis, is placed
@@ -16,7 +16,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .base import prepare, staged
 
@@ -25,6 +25,9 @@ LENGTH, END = 1024, 0
 #: Fewest and most pricing rounds, patterns entered in one, and the gap to the optimum that ends them.
 AT_LEAST, ROUNDS, BATCH, GAP = 8, 400, 24, 0.0002
 
+#: Shards whose counts add up together.
+RUN = 4096
+
 _ENCODERS: dict = {}
 
 
@@ -242,6 +245,19 @@ def _places(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int,
     return rows
 
 
+PLACE = "length bigint, first bigint, end bigint, k bigint, base bigint, at bigint"
+
+
+def _planner(length: int):
+    """The places of a histogram's patterns, solved in one task: a histogram has at most ``length`` rows."""
+    def plan(batches):
+        histogram = {int(s): int(n) for b in batches for s, n in zip(b["length"], b["n"])}
+        rows = _places(cutting_patterns(histogram, length))
+        yield pd.DataFrame(rows, columns=["length", "first", "end", "k", "base", "at"]).astype("int64")
+
+    return plan
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.
@@ -249,17 +265,25 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH) ->
     A null or empty text is its end id alone. Repeated rows are packed each; a null doc_id stays
     null. An empty table gives no rows; other columns are ignored.
     """
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     cut = staged(pieces(docs, tokenizer or default_tokenizer(), length), "pieces")
-    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    rows = _places(cutting_patterns(histogram, length))
-    places = spark.createDataFrame(rows or [(0, 0, 0, 1, 0, 0)], "length bigint, first bigint, end bigint, k bigint, base bigint, at bigint")
-    shards = 1 + max(histogram.values(), default=0) // 512
-    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(shards))
+    histogram = staged(cut.groupBy("length").agg(F.count("*").alias("n")), "histogram")
+    places = staged(histogram.coalesce(1).mapInPandas(_planner(length), PLACE), "places")  # at most `length` rows
+    most = histogram.agg(F.max("n")).head()[0] or 0
+    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(1 + most // 512))
     spread = cut.withColumn("shard", shard)
-    before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = (spread.groupBy("length", "shard").agg(F.count("*").alias("n"))
-              .select("length", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base_rank")))
+    # running counts in two levels: of runs of shards, and of the shards in a run
+    run = F.floor(F.col("shard") / RUN)
+    counts = staged(spread.groupBy("length", run.alias("run"), "shard").agg(F.count("*").alias("n")), "shard-counts")
+
+    def before(*keys: str, by: str) -> Column:
+        w = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(w), F.lit(0))
+
+    runs = (counts.groupBy("length", "run").agg(F.sum("n").alias("n"))
+            .select("length", "run", before("length", by="run").alias("base_run")))
+    counts = (counts.select("length", "run", "shard", before("length", "run", by="shard").alias("in_run"))
+              .join(runs, ["length", "run"]).select("length", "shard", (F.col("base_run") + F.col("in_run")).alias("base_rank")))
     inside = Window.partitionBy("length", "shard").orderBy("doc_id", "start", "ids_crc32")
     ranked = (spread.withColumn("n", F.row_number().over(inside) - 1).join(counts, ["length", "shard"])
               .withColumn("rank", F.col("base_rank") + F.col("n")).drop("shard", "n", "base_rank"))
