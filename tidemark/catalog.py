@@ -235,31 +235,55 @@ def q_alerts_unacknowledged(spark, sf):
 
 
 # ---------------------------------------------------------------- the stream
-#: Queries that run a stream to its end while they are built, and read its tables.
-STREAM_QUERIES = ("stream_window_metrics", "stream_latest", "stream_alerts", "alert_audit")
+#: Queries that run a stream to its end while they are built, and read its tables or state.
+STREAM_QUERIES = ("stream_window_metrics", "stream_latest", "stream_alerts", "alert_audit", "alert_dead_letters",
+                  "stream_restarted", "live_latest", "live_history", "live_top_movers", "pipeline_metrics", "stored_range",
+                  "stored_alerts")
+#: Slices of time that the trades land in, files of each.
+SLICES, FILES = 3, 4
 
 
-def _streamed(spark, sf, window, slide):
-    """Run the market stream over the trades of ``events``, landed as files in time order, until
-    all are read; returns its output folder. A sentinel trade closes the last windows."""
+def _stream_root(spark):
+    """A new folder for a stream's input, state and output."""
     import tempfile
     import uuid
 
     from .session import scratch_path
-    from .sources.fixtures import land_raw_trades
-    from .sources.trades import clean_trades, read_trades
-    from .streaming.app import start_market_stream
 
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))  # a test session on one machine
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))  # a session on one machine
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    root = scratch_path(spark, "stream-query", uuid.uuid4().hex)
-    land_raw_trades(Fixture(spark, sf), f"{root}/in", n_files=3)
-    trades = clean_trades(read_trades(spark, f"{root}/in", "parquet", maxFilesPerTrigger=1), event_time="timestamp")
-    q = start_market_stream(trades, f"{root}/out", checkpoint=f"{root}/state", window=window, slide=slide,
+    return scratch_path(spark, "stream-query", uuid.uuid4().hex)
+
+
+def _landed(spark, root):
+    """The stream of the trades that have landed under ``root``, a slice of time per batch."""
+    from .sources.trades import clean_trades, read_trades
+    return clean_trades(read_trades(spark, f"{root}/in", "parquet", maxFilesPerTrigger=FILES), event_time="timestamp")
+
+
+def _run(spark, root, window, slide):
+    """Run the market stream over what has landed, from its checkpoint, until all is read."""
+    import uuid
+
+    from .streaming.app import start_market_stream
+    q = start_market_stream(_landed(spark, root), f"{root}/out", checkpoint=f"{root}/state", window=window, slide=slide,
                             trigger={"availableNow": True}, detected_at="window_end", query_name=f"q-{uuid.uuid4().hex}")
     q.awaitTermination()
+    return q
+
+
+def _streamed(spark, sf, window, slide):
+    """Run the market stream over the trades of ``events``, landed as files in time order, until
+    all are read; returns its output folder. A sentinel trade closes the last windows."""
+    from .sources.fixtures import land_raw_trades
+    root = _stream_root(spark)
+    land_raw_trades(Fixture(spark, sf), f"{root}/in", n_files=SLICES, files=FILES)
+    _run(spark, root, window, slide)
     return f"{root}/out"
 
 
@@ -291,23 +315,184 @@ def q_stream_alerts(spark, sf):
     return _wall(spark.read.parquet(f"{out}/alerts").select(*ALERT_COLS, "acknowledged"))
 
 
-@register("alert_audit", O.with_alerts("SELECT * EXCLUDE (created_at) FROM atab"))
-def q_alert_audit(spark, sf):
-    """O-3, O-29, O-30, O-36, O-37: the alert consumer over every alert that the stream sends,
-    each sent twice, in batches that each reach over the whole time; its audit table holds each
-    once, under one id."""
-    from .sources.alerts import read_alerts
-    from .streaming.consumer import read_audit, start_alert_consumer
+@register("stream_restarted", O.with_alerts("""
+SELECT 'metric' AS kind, symbol, window_end, NULL AS alert_type, vwap AS value FROM mh
+UNION ALL SELECT 'alert', symbol, window_end, alert_type, current_value FROM atab"""))
+def q_stream_restarted(spark, sf):
+    """O-17: the stream stops after two slices of its input, loses the commit of its last batch, as
+    in a crash between sinks and commit, and starts again twice: it replays that batch, then
+    reads what has landed meanwhile. Tables and alerts are those of a run without a stop."""
+    from .sources.fixtures import raw_trades, sentinel, time_slices
+    from .streaming.app import forget_commit
+    fx, root = Fixture(spark, sf), _stream_root(spark)
+    slices = time_slices(raw_trades(fx), SLICES)
+    for rows in slices[:-1]:
+        rows.repartition(FILES).write.mode("append").parquet(f"{root}/in")
+    _run(spark, root, *ANOMALY_WINDOW)
+    forget_commit(spark, f"{root}/state")
+    _run(spark, root, *ANOMALY_WINDOW)
+    slices[-1].repartition(FILES).write.mode("append").parquet(f"{root}/in")
+    sentinel(fx).write.mode("append").parquet(f"{root}/in")
+    _run(spark, root, *ANOMALY_WINDOW)
+    metrics, alerts = (spark.read.parquet(f"{root}/out/{t}") for t in ("metrics", "alerts"))
+    return _wall(metrics.select(F.lit("metric").alias("kind"), "symbol", "window_end", F.lit(None).cast("string").alias("alert_type"),
+                                F.col("vwap").alias("value"))
+                 .unionByName(alerts.select(F.lit("alert").alias("kind"), "symbol", "window_end", "alert_type",
+                                            F.col("current_value").alias("value"))))
+
+
+def _consumed(spark, sf):
+    """The alert consumer over every alert that the stream sends, each sent twice, and a malformed
+    message for each two, in batches that each reach over the whole time; returns its folder."""
+    from .sources.alerts import decode_alerts, read_raw_alerts
+    from .streaming.consumer import start_alert_consumer
     out = _streamed(spark, sf, *ANOMALY_WINDOW)
     raw = spark.read.text(f"{out}/alerts_raw").select("value")
+    broken = raw.select(F.when(F.crc32("value") % 2 == 0, F.expr("left(value, length(value) div 2)"))
+                        .otherwise(F.regexp_replace("value", '"symbol":"[^"]*",', "")).alias("value"))
     files = max(4, spark.sparkContext.defaultParallelism)
-    raw.unionByName(raw).repartition(files).write.text(f"{out}/topic")
-    good, _ = read_alerts(spark, f"{out}/topic", maxFilesPerTrigger=-(-files // 4))
-    q = start_alert_consumer(good, f"{out}/consumer", checkpoint=f"{out}/consumer-state",
+    raw.unionByName(raw).unionByName(broken).repartition(files).write.text(f"{out}/topic")
+    q = start_alert_consumer(decode_alerts(read_raw_alerts(spark, f"{out}/topic", maxFilesPerTrigger=-(-files // 4))),
+                             f"{out}/consumer", checkpoint=f"{out}/consumer-state",
                              trigger={"availableNow": True}, query_name="q-consumer-" + out.split("/")[-2])
     q.awaitTermination()
-    audit = read_audit(spark, f"{out}/consumer")
-    return _wall(audit.dropDuplicates(["id"]).select(*ALERT_COLS, "acknowledged"))
+    return f"{out}/consumer"
+
+
+@register("alert_audit", O.with_alerts("SELECT * EXCLUDE (created_at) FROM atab"))
+def q_alert_audit(spark, sf):
+    """O-3, O-29, O-30, O-36, O-37: the consumer's audit table holds each alert once."""
+    from .streaming.consumer import read_audit
+    return _wall(read_audit(spark, _consumed(spark, sf)).select(*ALERT_COLS, "acknowledged"))
+
+
+@register("alert_dead_letters", O.with_alerts("SELECT count(*) AS messages FROM alerts"))
+def q_alert_dead_letters(spark, sf):
+    """O-3: every malformed message, cut off or without a symbol, comes out as a dead letter, and
+    nothing else does."""
+    from .sources.alerts import CORRUPT
+    from .streaming.consumer import read_dead_letters
+    letters = read_dead_letters(spark, _consumed(spark, sf))
+    return letters.where(~F.col(CORRUPT).rlike('^[{].*"symbol":.*[}]$')).agg(F.count("*").alias("messages"))
+
+
+# ---------------------------------------------------------------- live state
+#: Fixed values of the live queries: the closing trade comes two minutes after the last one, and the
+#: watermark stays 30 s behind it; symbols trade about every 20 minutes, so some have expired.
+CLOSING, LIVE_TTL, LIVE_HISTORY_TTL = "2 minutes", "1200500 milliseconds", "6 hours"
+_WATERMARK = "(SELECT max(event_time) + INTERVAL 90 SECOND FROM trades)"
+_NEWEST = "max(window_end) OVER (PARTITION BY symbol)"
+
+
+def _live(spark, sf):
+    """Run the live views over the trades, stopped and started again before the last slice; returns
+    the checkpoint that holds their state."""
+    import uuid
+
+    from .functions.timecols import as_interval
+    from .sources.fixtures import raw_trades, sentinel, time_slices
+    from .streaming.live import start_live_views
+    fx, root = Fixture(spark, sf), _stream_root(spark)
+
+    def run():
+        start_live_views(_landed(spark, root), f"{root}/state", *METRIC_WINDOW, latest_ttl=LIVE_TTL, history_ttl=LIVE_HISTORY_TTL,
+                         trigger={"availableNow": True}, query_name=f"q-{uuid.uuid4().hex}").awaitTermination()
+
+    rows = raw_trades(fx)
+    *early, late = time_slices(rows, SLICES)
+    for part in early:
+        part.repartition(FILES).write.mode("append").parquet(f"{root}/in")
+    run()
+    late.repartition(FILES).write.mode("append").parquet(f"{root}/in")
+    closing = rows.select(F.max("timestamp") + as_interval(CLOSING)).scalar()
+    sentinel(fx, closing).write.mode("append").parquet(f"{root}/in")
+    run()
+    return f"{root}/state"
+
+
+@register("live_latest", O.with_metrics(f"""
+SELECT * EXCLUDE (created_at) FROM m1
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1
+    AND window_end + INTERVAL 1200500 MILLISECOND > {_WATERMARK}"""))
+def q_live_latest(spark, sf):
+    """O-33: latest rows in the state store, read back; symbols silent for 20 minutes have expired."""
+    from .streaming.live import live_latest
+    return _wall(live_latest(spark, _live(spark, sf)))
+
+
+@register("live_history", O.with_metrics(f"""
+SELECT * EXCLUDE (created_at, gap) FROM (
+  SELECT *, coalesce(lead(window_end) OVER (PARTITION BY symbol ORDER BY window_end) - window_end > INTERVAL 6 HOUR, false) AS gap FROM m1)
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC) <= 120
+    AND count(*) FILTER (WHERE gap) OVER (PARTITION BY symbol ORDER BY window_end DESC) = 0
+    AND {_NEWEST} + INTERVAL 6 HOUR > {_WATERMARK}"""))
+def q_live_history(spark, sf):
+    """O-34: the last 120 windows of every symbol in the state store, after a restart; a gap of more
+    than six hours ends what came before it."""
+    from .streaming.live import live_history
+    return _wall(live_history(spark, _live(spark, sf)))
+
+
+@register("live_top_movers", O.with_metrics(f"""
+SELECT symbol, CASE WHEN low > 0 THEN (high - low) / low * 100.0::DOUBLE ELSE 0.0 END AS price_change_pct FROM m1
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY window_end DESC) = 1
+    AND window_end + INTERVAL 1200500 MILLISECOND > {_WATERMARK}"""))
+def q_live_top_movers(spark, sf):
+    """O-35: scores of the symbols whose latest row has not expired."""
+    from .streaming.live import live_top_movers
+    return live_top_movers(spark, _live(spark, sf))
+
+
+@register("pipeline_metrics", f"""WITH {O.TRADES}
+SELECT 'input_rows' AS metric_name, count(*) + 1.0::DOUBLE AS metric_value FROM trades
+UNION ALL SELECT 'rows_dropped_by_watermark', 0.0""")
+def q_pipeline_metrics(spark, sf):
+    """O-42: the progress table that a listener appends while the stream runs; over all batches the
+    input is every trade and the closing one, and none is late."""
+    import time
+
+    from .sources.fixtures import land_raw_trades
+    from .streaming.progress import ProgressCollector
+    root = _stream_root(spark)
+    land_raw_trades(Fixture(spark, sf), f"{root}/in", n_files=SLICES, files=FILES)
+    listener = ProgressCollector(spark=spark, path=f"{root}/pipeline_metrics")
+    spark.streams.addListener(listener)
+    try:
+        q = _run(spark, root, *METRIC_WINDOW)
+        until = time.monotonic() + 60
+        while str(q.id) not in listener.ended and time.monotonic() < until:  # events arrive after the query's end
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.read.parquet(f"{root}/pipeline_metrics").where(F.col("labels")["query"] == q.name)
+    return (rows.where(F.col("metric_name").isin("input_rows", "rows_dropped_by_watermark"))
+            .groupBy("metric_name").agg(F.sum("metric_value").alias("metric_value")))
+
+
+# ---------------------------------------------------------------- stored tables
+@register("stored_range", O.with_metrics(f"""
+SELECT * EXCLUDE (created_at) FROM m1
+WHERE window_start BETWEEN {O.AS_OF_M1} - INTERVAL 30 HOUR AND {O.AS_OF_M1} - INTERVAL 6 HOUR"""))
+def q_stored_range(spark, sf):
+    """O-4, O-41: the metrics table written by date and read back between two times."""
+    root, fx = _stream_root(spark), Fixture(spark, sf)
+    sinks.write_metrics_table(fx.metrics_table(), f"{root}/metrics")
+    table = spark.read.parquet(f"{root}/metrics")
+    newest = table.agg(F.max("window_end")).head()[0]
+    now = F.lit(newest).cast(table.schema["window_end"].dataType)
+    return sinks.read_table(spark, f"{root}/metrics", start=now - F.expr("INTERVAL 30 HOURS"),
+                            end=now - F.expr("INTERVAL 6 HOURS")).select(*METRIC_COLUMNS)
+
+
+@register("stored_alerts", O.with_alerts(f"""
+SELECT * EXCLUDE (created_at) FROM atab WHERE detected_at >= {O.AS_OF_MH} - INTERVAL 168 HOUR"""))
+def q_stored_alerts(spark, sf):
+    """O-4, O-41: the alert table by its second access path, the date of detection."""
+    root, fx = _stream_root(spark), Fixture(spark, sf)
+    sinks.append_alerts(fx.alerts_table(), f"{root}/alerts", 0)
+    now = fx.anomaly_table.agg(F.max("window_end")).head()[0]
+    since = F.lit(now).cast(fx.anomaly_table.schema["window_end"].dataType) - F.expr("INTERVAL 168 HOURS")
+    return sinks.read_alert_table(spark, f"{root}/alerts", since).select(*ALERT_COLS, "acknowledged")
 
 
 # ---------------------------------------------------------------- serving

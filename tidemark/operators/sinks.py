@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.timecols import epoch_millis, utc_date
+from ..functions.timecols import epoch_millis, time_range_filter, utc_date
 
 # JDBC append options of the reference's metrics sink.
 JDBC_OPTIONS = {"batchsize": "1000", "reWriteBatchedInserts": "true", "driver": "org.postgresql.Driver"}
@@ -23,7 +23,7 @@ def with_partition_date(df: DataFrame, ts_col: str = "window_start") -> DataFram
 
 
 def write_metrics_table(df: DataFrame, path: str, mode: str = "append", batch_id: int | None = None,
-                        ts_col: str = "window_start") -> None:
+                        ts_col: str = "window_start", more: dict[str, str] | None = None) -> None:
     """Persist METRICS as Parquet partitioned by ``dt`` (O-41).
 
     Rows are range-partitioned by (dt, symbol) and sorted by (symbol, window_start)
@@ -32,10 +32,14 @@ def write_metrics_table(df: DataFrame, path: str, mode: str = "append", batch_id
     row groups prune on time. AQE coalesces the small writes of a micro-batch.
 
     With ``batch_id`` the rows land in ``batch_id=N`` under each date and a replay
-    of the same micro-batch overwrites exactly that partition (idempotent).
+    of the same micro-batch overwrites exactly that partition (idempotent). ``more`` names
+    further date partitions and their timestamp columns.
     """
     out = with_partition_date(df, ts_col)
     parts = ["dt"]
+    for name, source in (more or {}).items():
+        out = out.withColumn(name, utc_date(F.col(source)))
+        parts.append(name)
     writer_df = out
     if batch_id is not None:
         writer_df = out.withColumn("batch_id", F.lit(int(batch_id)))
@@ -45,9 +49,28 @@ def write_metrics_table(df: DataFrame, path: str, mode: str = "append", batch_id
         .partitionBy(*parts).parquet(path))
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, ts_col: str) -> None:
+def append_batch(df: DataFrame, path: str, batch_id: int, ts_col: str, more: dict[str, str] | None = None) -> None:
     """Idempotent micro-batch append: dynamic overwrite of (dt, batch_id) partitions."""
-    write_metrics_table(df, path, mode="overwrite", batch_id=batch_id, ts_col=ts_col)
+    write_metrics_table(df, path, mode="overwrite", batch_id=batch_id, ts_col=ts_col, more=more)
+
+
+#: The second date of alert tables: listings look back from now by the time of detection (O-41).
+ALERT_DATES = {"detected_dt": "detected_at"}
+
+
+def append_alerts(df: DataFrame, path: str, batch_id: int) -> None:
+    """Append alert rows by the dates of their window and of their detection; a replayed batch
+    replaces the partitions that it writes."""
+    append_batch(df, path, batch_id, ts_col="window_start", more=ALERT_DATES)
+
+
+def read_alert_table(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
+    """The alerts detected from ``since`` to ``until`` (columns or values); only folders of those
+    dates are read."""
+    df = spark.read.option("basePath", path).parquet(path)
+    kind = df.schema["detected_at"].dataType
+    lo, hi = (None if t is None else t if isinstance(t, Column) else F.lit(t).cast(kind) for t in (since, until))
+    return time_range_filter(df, "detected_at", lo, hi)
 
 
 def read_table(spark: SparkSession, path: str, ts_col: str = "window_start",

@@ -110,30 +110,33 @@ SENTINEL_TIME = "2100-01-01 00:00:00"
 SENTINEL_SYMBOL = "~SENTINEL"
 
 
-def land_raw_trades(fx: Fixture, out_dir: str, n_files: int = 6, sentinel: bool = True) -> list[str]:
-    """Write the fixture trades as RAW_TRADE parquet files in event-time order.
-
-    Each file is written by its own job so file modification times follow event
-    time (a file stream source reads oldest first). Returns the file folders'
-    parent ``out_dir`` contents in order. Test/bench input preparation only.
-    """
-    raw = fx.trades.select("symbol", "price", "volume",
-                           F.col("event_time").cast("timestamp").alias("timestamp"),
-                           "exchange", "trade_id")
-    bounds = raw.select(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    span = (bounds.hi - bounds.lo) / n_files
-    written = []
-    for i in range(n_files):
-        lo = bounds.lo + span * i
-        cond = F.col("timestamp") >= F.lit(lo)
-        if i < n_files - 1:
-            cond = cond & (F.col("timestamp") < F.lit(bounds.lo + span * (i + 1)))
-        raw.filter(cond).coalesce(1).write.mode("append").parquet(out_dir)
-        written.append(out_dir)
-    if sentinel:
-        s = fx.spark.createDataFrame(
-            [(SENTINEL_SYMBOL, 1.0, 1, None, "X0", "sentinel")],
-            "symbol string, price double, volume bigint, timestamp timestamp, exchange string, "
-            "trade_id string").withColumn("timestamp", F.to_timestamp(F.lit(SENTINEL_TIME)))
-        s.coalesce(1).write.mode("append").parquet(out_dir)
-    return written
+def raw_trades(fx: Fixture) -> DataFrame:
+    """The fixture's trades as RAW_TRADE rows."""
+    return fx.trades.select("symbol", "price", "volume", F.col("event_time").cast("timestamp").alias("timestamp"),
+                            "exchange", "trade_id")
+
+
+def time_slices(rows: DataFrame, n: int) -> list[DataFrame]:
+    """``rows`` cut into ``n`` slices of equal time, oldest first."""
+    lo, hi = rows.select(F.min("timestamp"), F.max("timestamp")).first()
+    edges = [lo + (hi - lo) / n * i for i in range(n)]
+    at = F.col("timestamp")
+    return [rows.where((at >= F.lit(a)) & (at < F.lit(b))) if b else rows.where(at >= F.lit(a))
+            for a, b in zip(edges, [*edges[1:], None])]
+
+
+def sentinel(fx: Fixture, time: Column | None = None) -> DataFrame:
+    """One trade that closes all earlier windows."""
+    at = F.to_timestamp(F.lit(SENTINEL_TIME)) if time is None else time
+    return fx.spark.range(1).select(F.lit(SENTINEL_SYMBOL).alias("symbol"), F.lit(1.0).alias("price"), F.lit(1).cast("bigint").alias("volume"),
+                                    at.alias("timestamp"), F.lit("X0").alias("exchange"), F.lit("sentinel").alias("trade_id"))
+
+
+def land_raw_trades(fx: Fixture, out_dir: str, n_files: int = 6, last: bool = True, files: int = 1) -> None:
+    """Write the fixture's trades as RAW_TRADE Parquet files, a job per slice of time, so that
+    modification times follow event time (a file stream reads the oldest first); every slice is
+    ``files`` files, written in parallel. ``last`` appends the sentinel."""
+    for rows in time_slices(raw_trades(fx), n_files):
+        rows.repartition(files).write.mode("append").parquet(out_dir)
+    if last:
+        sentinel(fx).write.mode("append").parquet(out_dir)

@@ -30,7 +30,7 @@ from pyspark.util import inheritable_thread_target
 from ..functions.timecols import epoch_millis
 from ..operators.anomaly import HISTORY_WINDOWS, alerts_from_baseline
 from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
-from ..operators.sinks import append_batch, audit_rows, to_keyed_json
+from ..operators.sinks import append_alerts, append_batch, audit_rows, to_keyed_json
 from ..operators.views import HISTORY_SIZE, latest_per_key, metric_history, top_mover_scores
 from ..operators.windows import DEFAULT_SLIDE, DEFAULT_WATERMARK, DEFAULT_WINDOW, window_metrics
 from ..schemas import ALERT_COLUMNS, METRIC_COLUMNS
@@ -145,7 +145,7 @@ def _write_alerts(batch: DataFrame, paths: StreamPaths, batch_id: int, detected_
             keyed = keyed.join(seen, "dedup_key", "left_anti")
         rows = audit_rows(keyed.drop("_bucket")).select(
             "id", *ALERT_COLUMNS, "dedup_key", "acknowledged", F.current_timestamp().alias("created_at"))
-        append_batch(rows, paths.alerts, batch_id, ts_col="window_start")
+        append_alerts(rows, paths.alerts, batch_id)
         (keyed.select("dedup_key").write.mode("overwrite")
          .parquet(f"{keys_root}/maxbucket={hi}/batch_id={batch_id}"))
         fs, _ = _fs(spark, keys_root)
@@ -289,3 +289,13 @@ def stop_when_idle(query: StreamingQuery, timeout_s: float = 60.0, poll_s: float
         time.sleep(poll_s)
     query.stop()
     return idle
+
+
+def forget_commit(spark: SparkSession, checkpoint: str) -> int:
+    """Remove the newest batch from a stopped query's commit log, so that its next start replays it, as
+    after a crash between the sinks and the commit. Returns the batch's number."""
+    root = f"{checkpoint.rstrip('/')}/commits"
+    fs, p = _fs(spark, root)
+    done = sorted(int(st.getPath().getName()) for st in fs.listStatus(p) if st.getPath().getName().isdigit())
+    fs.delete(_fs(spark, f"{root}/{done[-1]}")[1], False)
+    return done[-1]

@@ -3,7 +3,8 @@ de-dup -> audit table and annotation payloads, one streaming query.
 
 Every alert of the producer arrives; de-duplication is the consumer's own, against the keys of its
 audit table, so any number of consumers see the same stream and no first alert is too late.
-Malformed rows go to their own folder.
+Where the stream is that of :func:`tidemark.sources.alerts.decode_alerts`, malformed rows come out of
+the same batch into their own folder, ``dead_letters``.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import as_interval, utc_date
 from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
-from ..operators.sinks import alert_annotations, append_batch, audit_rows
+from ..operators.sinks import alert_annotations, append_alerts, audit_rows
 from ..schemas import ALERT_COLUMNS
+from ..sources.alerts import CORRUPT, split_alerts
 from ..session import scratch_path
 from .app import _fs
 
@@ -37,10 +39,12 @@ def _unseen(alerts: DataFrame, audit: str, batch_id: int, ttl_seconds: int) -> D
 def start_alert_consumer(alerts_stream: DataFrame, out_root: str, checkpoint: str | None = None,
                          ttl_seconds: int = DEDUP_TTL_SECONDS, trigger: dict | None = None,
                          query_name: str = "alert-consumer") -> StreamingQuery:
-    """Consume an ALERTS stream (see :func:`tidemark.sources.read_alerts`).
+    """Consume an ALERTS stream (see :func:`tidemark.sources.read_alerts`), or one of decoded rows,
+    good and malformed together (:func:`tidemark.sources.alerts.decode_alerts`).
 
-    Writes ``out_root/audit`` (alerts with a stable ``id``, acknowledged = false) and
-    ``out_root/annotations`` (JSON payloads), both overwritten per batch on replay.
+    Writes ``out_root/audit`` (alerts with a stable ``id``, acknowledged = false),
+    ``out_root/annotations`` (JSON payloads) and ``out_root/dead_letters`` (the texts of malformed
+    rows), all overwritten per batch on replay.
     The first alert of a de-dup key wins, however late it comes: a batch is de-duplicated in
     itself and against the keys that earlier batches wrote.
     """
@@ -51,12 +55,24 @@ def start_alert_consumer(alerts_stream: DataFrame, out_root: str, checkpoint: st
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        if CORRUPT in batch.columns:
+            batch = batch.persist()
+            try:
+                good, bad = split_alerts(batch)
+                bad.write.mode("overwrite").parquet(f"{root}/dead_letters/batch_id={batch_id}")
+                audit(good, batch_id)
+            finally:
+                batch.unpersist()
+        else:
+            audit(batch, batch_id)
+
+    def audit(batch: DataFrame, batch_id: int) -> None:
         first = dedup_alerts(batch.select(*ALERT_COLUMNS), ttl_seconds, keep_key=True).persist()
         fresh = _unseen(first, f"{root}/audit", batch_id, ttl_seconds).persist()
         try:
             rows = audit_rows(fresh).select("id", *ALERT_COLUMNS, "dedup_key", "acknowledged",
                                             F.current_timestamp().alias("created_at"))
-            append_batch(rows, f"{root}/audit", batch_id, ts_col="window_start")
+            append_alerts(rows, f"{root}/audit", batch_id)
             alert_annotations(fresh).write.mode("overwrite").json(f"{root}/annotations/batch_id={batch_id}")
         finally:
             fresh.unpersist()
@@ -70,3 +86,8 @@ def start_alert_consumer(alerts_stream: DataFrame, out_root: str, checkpoint: st
 def read_audit(spark: SparkSession, out_root: str) -> DataFrame:
     """The audit table of a consumer."""
     return spark.read.parquet(f"{out_root.rstrip('/')}/audit")
+
+
+def read_dead_letters(spark: SparkSession, out_root: str) -> DataFrame:
+    """The malformed rows of a consumer, each as its text, with the batch that held it."""
+    return spark.read.parquet(f"{out_root.rstrip('/')}/dead_letters")

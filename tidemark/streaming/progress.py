@@ -41,11 +41,15 @@ def progress_rows(spark: SparkSession, progresses) -> DataFrame:
 
 class ProgressCollector(StreamingQueryListener):
     """Listener that holds progress events (one small record per micro-batch) until :meth:`drain`
-    hands them over, e.g. to :func:`append_progress`; beyond ``most`` the oldest go."""
+    hands them over, e.g. to :func:`append_progress`. Beyond ``most`` the oldest go and ``lost``
+    counts them; with ``spark`` and ``path`` the listener appends its events to that table itself,
+    every ``most`` of them and when a query ends, and loses none."""
 
-    def __init__(self, most: int = 10_000):
+    def __init__(self, most: int = 10_000, spark: SparkSession | None = None, path: str | None = None):
         self._lock = threading.Lock()
-        self.events: deque[str] = deque(maxlen=most)
+        self.most, self.lost, self.spark, self.path = most, 0, spark, path
+        self.events: deque[str] = deque()
+        self.ended: set[str] = set()
 
     def drain(self) -> list[str]:
         """The events held so far, which are then forgotten."""
@@ -60,12 +64,30 @@ class ProgressCollector(StreamingQueryListener):
     def onQueryProgress(self, event):
         with self._lock:
             self.events.append(event.progress.json)
+            full = len(self.events) > self.most
+            if full and not self.path:
+                self.events.popleft()
+                self.lost += 1
+        if full and self.path:
+            self.flush()
+
+    def flush(self) -> int:
+        """Append the events held to the table; they stay held if that fails."""
+        with self._lock:
+            held = list(self.events)
+        n = append_progress(self.spark, held, self.path) if held else 0
+        with self._lock:
+            for _ in held:
+                self.events.popleft()
+        return n
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        if self.path:
+            self.flush()
+        self.ended.add(str(event.id))
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
         with self._lock:
