@@ -322,16 +322,16 @@ def q_stream_restarted(spark, sf):
     """O-17: the stream stops after two slices of its input, loses the commit of its last batch, as
     in a crash between sinks and commit, and starts again twice: it replays that batch, then
     reads what has landed meanwhile. Tables and alerts are those of a run without a stop."""
-    from .sources.fixtures import raw_trades, sentinel, time_slices
+    from .sources.fixtures import dealt, raw_trades, sentinel, time_slices
     from .streaming.app import forget_commit
     fx, root = Fixture(spark, sf), _stream_root(spark)
     slices = time_slices(raw_trades(fx), SLICES)
     for rows in slices[:-1]:
-        rows.repartition(FILES).write.mode("append").parquet(f"{root}/in")
+        dealt(rows, FILES).write.mode("append").parquet(f"{root}/in")
     _run(spark, root, *ANOMALY_WINDOW)
     forget_commit(spark, f"{root}/state")
     _run(spark, root, *ANOMALY_WINDOW)
-    slices[-1].repartition(FILES).write.mode("append").parquet(f"{root}/in")
+    dealt(slices[-1], FILES).write.mode("append").parquet(f"{root}/in")
     sentinel(fx).write.mode("append").parquet(f"{root}/in")
     _run(spark, root, *ANOMALY_WINDOW)
     metrics, alerts = (spark.read.parquet(f"{root}/out/{t}") for t in ("metrics", "alerts"))
@@ -390,7 +390,7 @@ def _live(spark, sf):
     import uuid
 
     from .functions.timecols import as_interval
-    from .sources.fixtures import raw_trades, sentinel, time_slices
+    from .sources.fixtures import dealt, raw_trades, sentinel, time_slices
     from .streaming.live import start_live_views
     fx, root = Fixture(spark, sf), _stream_root(spark)
 
@@ -401,9 +401,9 @@ def _live(spark, sf):
     rows = raw_trades(fx)
     *early, late = time_slices(rows, SLICES)
     for part in early:
-        part.repartition(FILES).write.mode("append").parquet(f"{root}/in")
+        dealt(part, FILES).write.mode("append").parquet(f"{root}/in")
     run()
-    late.repartition(FILES).write.mode("append").parquet(f"{root}/in")
+    dealt(late, FILES).write.mode("append").parquet(f"{root}/in")
     closing = rows.select(F.max("timestamp") + as_interval(CLOSING)).scalar()
     sentinel(fx, closing).write.mode("append").parquet(f"{root}/in")
     run()

@@ -132,11 +132,20 @@ def sentinel(fx: Fixture, time: Column | None = None) -> DataFrame:
                                     at.alias("timestamp"), F.lit("X0").alias("exchange"), F.lit("sentinel").alias("trade_id"))
 
 
+def dealt(rows: DataFrame, files: int) -> DataFrame:
+    """``rows`` dealt to ``files`` files by symbol and day, each in the order of the trades: sums of
+    doubles depend on their order in the last bit."""
+    if files == 1:
+        return rows.coalesce(1)
+    return (rows.repartition(files, "symbol", F.to_date("timestamp"))
+            .sortWithinPartitions(F.col("trade_id").try_cast("bigint")))
+
+
 def land_raw_trades(fx: Fixture, out_dir: str, n_files: int = 6, last: bool = True, files: int = 1) -> None:
     """Write the fixture's trades as RAW_TRADE Parquet files, a job per slice of time, so that
     modification times follow event time (a file stream reads the oldest first); every slice is
     ``files`` files, written in parallel. ``last`` appends the sentinel."""
     for rows in time_slices(raw_trades(fx), n_files):
-        rows.repartition(files).write.mode("append").parquet(out_dir)
+        dealt(rows, files).write.mode("append").parquet(out_dir)
     if last:
         sentinel(fx).write.mode("append").parquet(out_dir)
