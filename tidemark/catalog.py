@@ -59,7 +59,7 @@ def q_window_metrics_hourly(spark, sf):
 # ---------------------------------------------------------------- anomaly detection
 _BASE_OUT = """SELECT symbol, window_start, window_end, vwap, volume, volatility, hist_n, price_n,
        floor(price_mean * 1000000000.0 + 0.5) / 1000000000.0 AS price_mean,
-       floor(price_std * 1000000.0 + 0.5) / 1000000.0 AS price_std,
+       floor(price_std * 10000000.0 + 0.5) / 10000000.0 AS price_std,
        floor(volume_mean * 10000.0 + 0.5) / 10000.0 AS volume_mean,
        floor(volatility_mean * 100000000000.0 + 0.5) / 100000000000.0 AS volatility_mean
 FROM base"""
@@ -74,7 +74,7 @@ def q_rolling_baseline(spark, sf):
     return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
                     "hist_n", "price_n",
                     round_half_up("price_mean", 9).alias("price_mean"),
-                    round_half_up("price_std", 6).alias("price_std"),
+                    round_half_up("price_std", 7).alias("price_std"),
                     round_half_up("volume_mean", 4).alias("volume_mean"),
                     round_half_up("volatility_mean", 11).alias("volatility_mean"))
 
@@ -91,7 +91,7 @@ def q_rolling_baseline_reset(spark, sf):
     return b.select("symbol", "window_start", "window_end", "vwap", "volume", "volatility",
                     "hist_n", "price_n",
                     round_half_up("price_mean", 9).alias("price_mean"),
-                    round_half_up("price_std", 6).alias("price_std"),
+                    round_half_up("price_std", 7).alias("price_std"),
                     round_half_up("volume_mean", 4).alias("volume_mean"),
                     round_half_up("volatility_mean", 11).alias("volatility_mean"))
 
