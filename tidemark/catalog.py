@@ -238,7 +238,7 @@ def q_alerts_unacknowledged(spark, sf):
 #: Queries that run a stream to its end while they are built, and read its tables or state.
 STREAM_QUERIES = ("stream_window_metrics", "stream_latest", "stream_alerts", "alert_audit", "alert_dead_letters",
                   "stream_restarted", "live_latest", "live_history", "live_top_movers", "pipeline_metrics", "stored_range",
-                  "stored_alerts")
+                  "stored_alerts", "stream_late_rows", "stored_compacted")
 #: Slices of time that the trades land in, files of each.
 SLICES, FILES = 3, 4
 
@@ -341,6 +341,53 @@ def q_stream_restarted(spark, sf):
                                             F.col("current_value").alias("value"))))
 
 
+_LATE = f"""WITH {O.TRADES}, half AS (SELECT make_timestamp((epoch_us(min(event_time)) + epoch_us(max(event_time))) // 2) AS cut FROM trades),
+came AS (SELECT t.*, event_time < cut AND CAST(trade_id AS BIGINT) % 20 = 0 AS delayed, event_time < cut AS early FROM trades t, half),
+mark AS (SELECT epoch_ms(max(event_time)) - 30000 AS ms FROM came WHERE early AND NOT delayed),
+seen AS (SELECT symbol, volume, ws AS window_start, delayed AND epoch_ms(ws) + 60000 <= ms AS missed
+  FROM (SELECT c.*, time_bucket(INTERVAL 30 SECOND, event_time, TIMESTAMP '1970-01-01') - r.i * INTERVAL 30 SECOND AS ws
+        FROM came c, range(2) r(i)), mark)
+SELECT CASE WHEN missed THEN 'late' ELSE 'metric' END AS kind, symbol, window_start, count(*) AS trades,
+       CAST(sum(volume) AS BIGINT) AS volume
+FROM seen GROUP BY ALL
+UNION ALL SELECT 'dropped', NULL, NULL, count(DISTINCT (symbol, window_start)), 0 FROM seen WHERE missed"""
+
+
+@register("stream_late_rows", _LATE)
+def q_stream_late_rows(spark, sf):
+    """O-14: one trade in twenty of the earlier half of the time comes with the later half. What windows still
+    take counts; what comes after a window has closed is in the late table, and the windows there
+    are as many as the watermark is reported to have dropped."""
+    import uuid
+
+    from .sources.fixtures import dealt, raw_trades, sentinel
+    from .sources.trades import clean_trades, read_trades
+    from .streaming.app import read_late, start_market_stream
+    fx, root = Fixture(spark, sf), _stream_root(spark)
+    rows, at = raw_trades(fx), F.unix_micros("timestamp")
+    cut = rows.select(F.expr("(unix_micros(min(timestamp)) + unix_micros(max(timestamp))) div 2")).scalar()
+    delayed = (at < cut) & (F.col("trade_id").cast("bigint") % 20 == 0)
+    dropped = 0
+    for part in (rows.where((at < cut) & ~delayed), rows.where((at >= cut) | delayed), None):
+        landing = sentinel(fx) if part is None else dealt(part, FILES)
+        landing.write.mode("append").parquet(f"{root}/in")
+        trades = clean_trades(read_trades(spark, f"{root}/in", "parquet"), event_time="timestamp")
+        q = start_market_stream(trades, f"{root}/out", checkpoint=f"{root}/state", window=METRIC_WINDOW[0], slide=METRIC_WINDOW[1],
+                                trigger={"availableNow": True}, detected_at="window_end", late_table=True,
+                                query_name=f"q-{uuid.uuid4().hex}")
+        q.awaitTermination()
+        dropped += sum(o["numRowsDroppedByWatermark"] for p in q.recentProgress for o in p["stateOperators"])
+    late = read_late(spark, f"{root}/out").groupBy("symbol", "window_start").agg(
+        F.count("*").alias("trades"), F.sum("volume").alias("volume"))
+    metrics = spark.read.parquet(f"{root}/out/metrics").select(
+        "symbol", "window_start", F.col("trade_count").alias("trades"), "volume")
+    total = spark.range(1).select(F.lit("dropped").alias("kind"), F.lit(None).cast("string").alias("symbol"),
+                                  F.lit(None).cast("timestamp").alias("window_start"), F.lit(dropped).cast("bigint").alias("trades"),
+                                  F.lit(0).cast("bigint").alias("volume"))
+    return _wall(metrics.select(F.lit("metric").alias("kind"), "*").unionByName(late.select(F.lit("late").alias("kind"), "*"))
+                 .unionByName(total))
+
+
 def _consumed(spark, sf):
     """The alert consumer over every alert that the stream sends, each sent twice, and a malformed
     message for each two, in batches that each reach over the whole time; returns its folder."""
@@ -495,6 +542,26 @@ def q_stored_alerts(spark, sf):
     return sinks.read_alert_table(spark, f"{root}/alerts", since).select(*ALERT_COLS, "acknowledged")
 
 
+@register("stored_compacted", O.with_metrics("SELECT * EXCLUDE (created_at) FROM m1"))
+def q_stored_compacted(spark, sf):
+    """O-32, O-4: the metrics table appended in batches that each reach over all dates, its earlier dates
+    compacted between them twice and what was replaced deleted once, read back whole."""
+    import datetime as dt
+
+    from .operators.compaction import compact, drop_replaced
+    root, fx = _stream_root(spark), Fixture(spark, sf)
+    path, table = f"{root}/metrics", fx.metrics_table()
+    last = table.agg(F.max("window_start")).head()[0].date()
+    for batch in range(6):
+        part = table.where(F.pmod(F.xxhash64("symbol", "window_start"), F.lit(6)) == batch)
+        sinks.append_batch(part, path, batch, ts_col="window_start")
+        if batch in (2, 4):
+            compact(spark, path, last - dt.timedelta(days=6 - batch))
+        if batch == 3:
+            drop_replaced(spark, path, older_than_s=0)
+    return sinks.read_table(spark, path).select(*METRIC_COLUMNS)
+
+
 # ---------------------------------------------------------------- serving
 @register("latest_symbol", O.with_metrics(f"""
 SELECT '{SYMBOL}' AS symbol, coalesce(vwap, 0.0) AS vwap, coalesce(volatility, 0.0) AS volatility,

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timecols import epoch_millis, time_range_filter, utc_date
+from .compaction import stored
 
 # JDBC append options of the reference's metrics sink.
 JDBC_OPTIONS = {"batchsize": "1000", "reWriteBatchedInserts": "true", "driver": "org.postgresql.Driver"}
@@ -67,7 +68,7 @@ def append_alerts(df: DataFrame, path: str, batch_id: int) -> None:
 def read_alert_table(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
     """The alerts detected from ``since`` to ``until`` (columns or values); only folders of those
     dates are read."""
-    df = spark.read.option("basePath", path).parquet(path)
+    df = stored(spark, path)
     kind = df.schema["detected_at"].dataType
     lo, hi = (None if t is None else t if isinstance(t, Column) else F.lit(t).cast(kind) for t in (since, until))
     return time_range_filter(df, "detected_at", lo, hi)
@@ -77,7 +78,7 @@ def read_table(spark: SparkSession, path: str, ts_col: str = "window_start",
                start=None, end=None) -> DataFrame:
     """Read a dt-partitioned table; time bounds are also applied to ``dt`` so the
     scan prunes partitions (a predicate on the timestamp alone cannot)."""
-    df = spark.read.option("basePath", path).parquet(path)
+    df = stored(spark, path)
     if start is not None:
         s = start if isinstance(start, Column) else F.lit(start).cast(df.schema[ts_col].dataType)
         df = df.filter((F.col("dt") >= utc_date(s)) & (F.col(ts_col) >= s))

@@ -73,6 +73,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path as it names it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def cluster_conf(input_bytes: float, executors: int, cores_per_executor: int,
                  executor_memory_gb: float = 16.0) -> dict[str, str]:
     """Suggested settings for a large cluster run (pass to ``spark-submit --conf``).

@@ -18,6 +18,7 @@ that replays a micro-batch rewrites the same partitions instead of duplicating.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
@@ -29,12 +30,13 @@ from pyspark.util import inheritable_thread_target
 
 from ..functions.timecols import epoch_millis
 from ..operators.anomaly import HISTORY_WINDOWS, alerts_from_baseline
+from ..operators.compaction import stored
 from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
 from ..operators.sinks import append_alerts, append_batch, audit_rows, to_keyed_json
 from ..operators.views import HISTORY_SIZE, latest_per_key, metric_history, top_mover_scores
 from ..operators.windows import DEFAULT_SLIDE, DEFAULT_WATERMARK, DEFAULT_WINDOW, window_metrics
 from ..schemas import ALERT_COLUMNS, METRIC_COLUMNS
-from ..session import export_package, scratch_path
+from ..session import export_package, file_system as _fs, scratch_path
 from .detector import stream_baseline
 
 # Fixed value: the reference's micro-batch cadence.
@@ -67,11 +69,9 @@ class StreamPaths:
     def enriched(self) -> str:
         return f"{self.root}/enriched"
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    @property
+    def late(self) -> str:
+        return f"{self.root}/late"
 
 
 def _partition_values(spark: SparkSession, root: str, name: str) -> list[int]:
@@ -168,8 +168,48 @@ def _to_kafka(df: DataFrame, bootstrap: str, topic: str) -> None:
      .option("topic", topic).save())
 
 
+@dataclass(frozen=True)
+class LateRows:
+    """The side output of rows behind the watermark (O-14): the windows they missed, and the
+    checkpoint whose log holds the watermark of every batch."""
+    checkpoint: str
+    window: str
+    slide: str
+
+
+#: The column that carries trades beside the metrics of a batch.
+_TRADE = "_trade"
+
+
+def with_trades(metrics: DataFrame, trades: DataFrame, watermark: str) -> DataFrame:
+    """``metrics`` with a column of trades, null there, and a row for each trade, null but for it."""
+    passed = trades.withWatermark("event_time", watermark)
+    beside = [F.lit(None).cast(f.dataType).alias(f.name) for f in metrics.schema.fields]
+    return (metrics.withColumn(_TRADE, F.lit(None).cast(trades.schema))
+            .unionByName(passed.select(*beside, F.struct(*trades.columns).alias(_TRADE))))
+
+
+def late_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """Epoch milliseconds of the watermark that makes rows of a batch late: the one that the batch before
+    it ran with, as the checkpoint's offset log holds it (0: none yet)."""
+    path = f"{checkpoint.rstrip('/')}/offsets/{batch_id - 1}"
+    fs, p = _fs(spark, path)
+    if batch_id == 0 or not fs.exists(p):
+        return 0
+    version, about, *_ = spark.read.text(path, wholetext=True).head()[0].split("\n")
+    return int(json.loads(about)["batchWatermarkMs"])
+
+
+def _write_late(trades: DataFrame, late: LateRows, mark: int, paths: StreamPaths, batch_id: int) -> None:
+    """A row for every window that had closed before a trade of the batch came."""
+    missed = (trades.select(f"{_TRADE}.*").withColumn("_w", F.window("event_time", late.window, late.slide))
+              .select("*", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")).drop("_w")
+              .withColumn("watermark", F.timestamp_millis(F.lit(mark))).where(F.col("window_end") <= F.col("watermark")))
+    append_batch(missed, paths.late, batch_id, ts_col="window_start")
+
+
 def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, parallel: bool = True,
-            kafka_bootstrap: str | None = None, keep_snapshots: int = 10):
+            kafka_bootstrap: str | None = None, keep_snapshots: int = 10, late: LateRows | None = None):
     """foreachBatch body: persist the batch once and feed every sink from it.
 
     ``count()`` fills the cache (and is the empty-batch guard); the sink jobs are
@@ -180,8 +220,16 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
 
     def _run(batch: DataFrame, batch_id: int) -> None:
         sc = batch.sparkSession.sparkContext
-        batch = batch.persist()
+        whole = batch
+        if late:  # of the trades only those behind the watermark are kept
+            mark = late_watermark(batch.sparkSession, late.checkpoint, batch_id)
+            whole = batch.where(F.col(_TRADE).isNull() | (F.col(f"{_TRADE}.event_time") < F.timestamp_millis(F.lit(mark))))
+        whole = whole.persist()
         try:
+            batch = whole
+            if late:
+                _write_late(whole.where(F.col(_TRADE).isNotNull()), late, mark, paths, batch_id)
+                batch = whole.where(F.col(_TRADE).isNull()).drop(_TRADE)
             if batch.count() == 0:
                 return
             jobs = [
@@ -216,7 +264,7 @@ def fan_out(paths: StreamPaths, detected_at=None, write_json: bool = True, paral
                 for fut in done:
                     fut.result()
         finally:
-            batch.unpersist()
+            whole.unpersist()
 
     return _run
 
@@ -227,13 +275,18 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
                         trigger: dict | None = None, query_name: str = "market-stream",
                         detected_at: Column | str | None = None,
                         write_json: bool = True, idle_ms: int | None = None,
-                        kafka_bootstrap: str | None = None, keep_snapshots: int = 10) -> StreamingQuery:
+                        kafka_bootstrap: str | None = None, keep_snapshots: int = 10,
+                        late_table: bool = False) -> StreamingQuery:
     """Start the single streaming query over a TRADES stream.
 
     ``checkpoint`` defaults to ``<spark.checkpoint.dir>/<query_name>``; ``trigger``
     defaults to a 10 s processing-time trigger (tests pass ``{"availableNow": True}``).
     ``detected_at`` defaults to the processing time of the micro-batch; ``keep_snapshots``
     older folders of a latest-state bucket stay for slow readers.
+    ``late_table`` writes every trade that came after a window of its own had closed to
+    ``out_root/late``, once for each such window (trade columns, window, watermark, ``batch_id``):
+    its distinct (batch, symbol, window) are what Spark counts as dropped by the watermark. It
+    reads the batch's trades a second time beside the aggregate, and keeps the late ones only.
     """
     if not trades_stream.isStreaming:
         raise ValueError("start_market_stream needs a streaming DataFrame")
@@ -242,9 +295,12 @@ def start_market_stream(trades_stream: DataFrame, out_root: str, checkpoint: str
     enriched = stream_baseline(metrics, history, idle_ms)
     paths = StreamPaths(out_root.rstrip("/"))
     ckpt = checkpoint or scratch_path(spark, "streams", query_name)
+    late = LateRows(ckpt, window, slide) if late_table else None
+    if late:
+        enriched = with_trades(enriched, trades_stream, watermark)
     writer = (enriched.writeStream.queryName(query_name)
               .foreachBatch(fan_out(paths, detected_at, write_json, kafka_bootstrap=kafka_bootstrap,
-                                    keep_snapshots=keep_snapshots))
+                                    keep_snapshots=keep_snapshots, late=late))
               .option("checkpointLocation", ckpt)
               .outputMode("append")
               .trigger(**(trigger or DEFAULT_TRIGGER)))
@@ -268,7 +324,12 @@ def read_latest(spark: SparkSession, out_root: str, as_of=None, ttl: str | None
 
 def read_history(spark: SparkSession, out_root: str, n: int = HISTORY_SIZE) -> DataFrame:
     """Live history: the last ``n`` windows of every symbol, from the metrics table."""
-    return metric_history(spark.read.parquet(StreamPaths(out_root.rstrip("/")).metrics).select(*METRIC_COLUMNS), n)
+    return metric_history(stored(spark, StreamPaths(out_root.rstrip("/")).metrics).select(*METRIC_COLUMNS), n)
+
+
+def read_late(spark: SparkSession, out_root: str) -> DataFrame:
+    """The windows that trades came too late for, a row for each trade and window."""
+    return spark.read.parquet(StreamPaths(out_root.rstrip("/")).late)
 
 
 def read_top_movers(spark: SparkSession, out_root: str) -> DataFrame:
