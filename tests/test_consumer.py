@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.views import latest_per_key
 from tidemark.session import scratch_path
-from tidemark.sources.alerts import read_alerts
-from tidemark.streaming.app import StreamPaths, _write_latest, read_history, read_latest, read_top_movers
-from tidemark.streaming.consumer import read_audit, start_alert_consumer
+from tidemark.sources.alerts import CORRUPT, decode_alerts, read_alerts, read_raw_alerts
+from tidemark.streaming.app import StreamPaths, _write_latest, forget_commit, read_history, read_latest, read_top_movers
+from tidemark.streaming.consumer import read_audit, read_dead_letters, start_alert_consumer
 
 
 def alert(symbol, minute, kind="VOLUME_SPIKE", severity="INFO"):
@@ -72,3 +72,29 @@ def test_late_first_alerts_are_kept(spark):
     got = sorted((r["symbol"], r["window_start"].minute) for r in read_audit(spark, f"{root}/out").collect())
     assert got == [("A", 0), ("A", 50), ("B", 1), ("B", 55), ("C", 0)]
     assert spark.read.json(f"{root}/out/annotations").count() == 5
+
+
+def _consume(spark, root, lines, **more):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+    q = start_alert_consumer(decode_alerts(read_raw_alerts(spark, f"{root}/in")), f"{root}/out", f"{root}/state",
+                             trigger={"availableNow": True}, query_name=f"c-{uuid.uuid4().hex}", **more)
+    q.awaitTermination()
+    return sorted((r["symbol"], r["severity"]) for r in read_audit(spark, f"{root}/out").collect())
+
+
+def test_repeats_are_known_after_a_restart_and_a_replay(spark):
+    root = scratch_path(spark, uuid.uuid4().hex)
+    assert _consume(spark, root, [alert("A", 0), alert("A", 0), "broken"]) == [("A", "INFO")]
+    want = [("A", "INFO"), ("B", "INFO")]
+    assert _consume(spark, root, [alert("A", 0, severity="CRITICAL"), alert("B", 1)]) == want
+    forget_commit(spark, f"{root}/state")
+    assert _consume(spark, root, [alert("B", 1, severity="WARNING"), "broken too"]) == want
+    assert sorted(r[CORRUPT] for r in read_dead_letters(spark, f"{root}/out").collect()) == ["broken", "broken too"]
+
+
+def test_forgotten_keys_count_as_new(spark):
+    root = scratch_path(spark, uuid.uuid4().hex)
+    assert _consume(spark, root, [alert("A", 0)], remember_ms=1) == [("A", "INFO")]
+    _consume(spark, root, [alert("B", 0)], remember_ms=1)
+    got = _consume(spark, root, [alert("A", 0, severity="WARNING")], remember_ms=1)
+    assert got == [("A", "INFO"), ("A", "WARNING"), ("B", "INFO")]

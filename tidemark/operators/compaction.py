@@ -1,8 +1,8 @@
 """Compaction of stored tables (O-32): a stream appends a folder per date and batch; those of closed
 dates are rewritten to a few sorted files.
 
-Compacted rows lie beside the table, ``<path>.compacted/rows``, by the table's dates and the number of
-the run that wrote them. A run counts from the moment its commit, one small file, exists; the newest
+Compacted rows lie beside the table, ``<path>.compacted/rows``, by the table's dates and a name that each
+run gives itself. A run counts from the moment its commit, one small file, names it; the newest
 commit says which folders of the table its runs replace: those of dates before ``before`` and of batches
 up to ``batch``. :func:`stored` reads the newest commit first and takes every row from exactly one place,
 so readers see the same rows before, during and after a run, and after a run that failed half-way. The
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -23,6 +24,7 @@ from ..session import file_system
 @dataclass(frozen=True)
 class Commit:
     run: int
+    name: str
     before: dt.date
     batch: int
     written_ms: int = 0
@@ -48,7 +50,7 @@ def commits(spark: SparkSession, path: str) -> list[Commit]:
         if name.isdigit():
             text = spark.read.text(st.getPath().toString(), wholetext=True).head()[0]
             said = json.loads(text)
-            out.append(Commit(int(name), dt.date.fromisoformat(said["before"]), said["batch"], st.getModificationTime()))
+            out.append(Commit(int(name), said["name"], dt.date.fromisoformat(said["before"]), said["batch"], st.getModificationTime()))
     return sorted(out, key=lambda c: c.run)
 
 
@@ -60,7 +62,7 @@ def stored(spark: SparkSession, path: str) -> DataFrame:
     if not done:
         return table
     rows = _paths(path)[0]
-    compacted = spark.read.option("basePath", rows).parquet(rows).where(F.col("run") <= done[-1].run).drop("run")
+    compacted = spark.read.option("basePath", rows).parquet(rows).where(F.col("run").isin([c.name for c in done])).drop("run")
     return table.where(~done[-1].replaces()).unionByName(compacted, allowMissingColumns=True)
 
 
@@ -78,26 +80,27 @@ def compact(spark: SparkSession, path: str, before: dt.date, keys: tuple[str, ..
     newest = table.agg(F.max("batch_id")).head()[0]
     if newest is None or newest == 0:
         return None
-    this = Commit(1, before, newest - 1)
+    name = f"r{uuid.uuid4().hex}"
+    this = Commit(1, name, before, newest - 1)
     if done:
         last = done[-1]
-        this = Commit(last.run + 1, max(before, last.before), max(newest - 1, last.batch))
+        this = Commit(last.run + 1, name, max(before, last.before), max(newest - 1, last.batch))
         table = table.where(~last.replaces())
     todo = table.where(this.replaces()).drop("batch_id")
     if todo.isEmpty():
         return None
     rows, folder = _paths(path)
-    (todo.withColumn("run", F.lit(this.run)).repartitionByRange(*dates, *keys).sortWithinPartitions(*dates, *keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*dates, "run").parquet(rows))
+    (todo.withColumn("run", F.lit(name)).repartitionByRange(*dates, *keys).sortWithinPartitions(*dates, *keys)
+     .write.mode("append").partitionBy(*dates, "run").parquet(rows))
     fs, place = file_system(spark, f"{folder}/{this.run}")
     fs.mkdirs(place.getParent())
-    _, draft = file_system(spark, f"{folder}/_{this.run}")
-    with_text = fs.create(draft, True)
+    _, draft = file_system(spark, f"{folder}/_{name}")
+    out = fs.create(draft, True)
     try:
-        with_text.write(bytearray(json.dumps({"before": this.before.isoformat(), "batch": this.batch}).encode()))
+        out.write(bytearray(json.dumps({"name": name, "before": this.before.isoformat(), "batch": this.batch}).encode()))
     finally:
-        with_text.close()
-    if not fs.rename(draft, place):
+        out.close()
+    if fs.exists(place) or not fs.rename(draft, place):
         raise RuntimeError(f"run {this.run} over {path} was committed by another one")
     return this
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.anomaly import HISTORY_WINDOWS
@@ -131,3 +131,74 @@ def dedup_stream(alerts_stream: DataFrame, ttl_seconds: int = DEDUP_TTL_SECONDS)
     already carries it (a second watermark would judge every row late).
     """
     return with_dedup_key(alerts_stream, ttl_seconds).dropDuplicatesWithinWatermark(["dedup_key"])
+
+
+#: How long the stream remembers a de-duplication key, in milliseconds.
+REMEMBER_MS = 24 * 3600 * 1000
+_TIMES = ("window_start", "window_end", "detected_at")
+_SEEN = T.StructType([T.StructField("seen", T.BooleanType())])
+
+
+class FirstAlert(StatefulProcessor):
+    """The first alert of a key, by its times and then its other values; none while the key is remembered."""
+
+    def __init__(self, columns: list[str], times: list[str], order: list[str], remember_ms: int, passes: str | None):
+        self.columns, self.times, self.order, self.remember_ms, self.passes = columns, times, order, remember_ms, passes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", _SEEN)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known, first, arrived = self.seen.exists(), None, 0
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            arrived = max(arrived, int(pdf["arrived_ms"].max()))
+            pdf = pdf[self.columns].astype({c: "Int64" for c in self.times})
+            if self.passes:
+                other = pdf[self.passes].notna()
+                if other.any():
+                    yield pdf[other]
+                    pdf = pdf[~other]
+            if not known and len(pdf):
+                both = pdf if first is None else pd.concat([first, pdf])
+                first = both.sort_values(self.order, kind="stable", na_position="first").head(1)
+        if first is not None:
+            self.seen.update((True,))
+            self.handle.registerTimer(arrived + self.remember_ms)
+            yield first
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def first_alerts(alerts_stream: DataFrame, ttl_seconds: int = DEDUP_TTL_SECONDS, remember_ms: int = REMEMBER_MS,
+                 passes: str | None = None) -> DataFrame:
+    """Streaming first-wins de-dup in keyed state, with ``dedup_key`` as the first column.
+
+    Its watermark is the time at which batches start, which the checkpoint logs and a replay repeats, so a
+    first alert is never too late whatever its windows. A key is held until a timer ``remember_ms``
+    after its first alert: state is bounded by the alerts of that time, and a batch costs a lookup for each
+    of its keys, however long the stream runs. A repeat that comes after the key has expired counts
+    as new. Rows where the column ``passes`` is not null are no alerts and pass unchanged.
+    """
+    columns = ["dedup_key", *alerts_stream.columns]
+    named = with_dedup_key(alerts_stream, ttl_seconds)
+    if passes:  # spread: they have no key of their own
+        spread = F.concat(F.lit("other:"), F.pmod(F.xxhash64(passes), F.lit(1024)).cast("string"))
+        named = named.withColumn("dedup_key", F.when(F.col(passes).isNull(), F.col("dedup_key")).otherwise(spread))
+    # times as numbers, for Python sees no time zone; names that start with a letter, which its rows need
+    names = {c: f"c{i}" for i, c in enumerate(columns)}
+    plain = named.select(*[(F.unix_micros(c) if c in _TIMES else F.col(c)).alias(n) for c, n in names.items()])
+    timed = (plain.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", "1 second")
+             .withColumn("arrived_ms", F.unix_millis("arrived")))
+    times = [names[c] for c in _TIMES]
+    order = times + [names[c] for c in alerts_stream.columns if c not in _TIMES and c != passes]
+    out = timed.groupBy(names["dedup_key"]).transformWithStateInPandas(
+        FirstAlert(list(names.values()), times, order, remember_ms, names.get(passes)), plain.schema, "append", "eventTime")
+    return out.select(*[(F.timestamp_micros(n) if c in _TIMES else F.col(n)).alias(c) for c, n in names.items()])
