@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import oracle as O
 from .functions.numeric import round_half_up
+from .functions.timecols import as_interval
 from .operators import anomaly, dedup, sinks, views
 from .plans import dashboards as D, serving as S
 from .schemas import METRIC_COLUMNS
@@ -96,6 +97,13 @@ def q_rolling_baseline_reset(spark, sf):
                     round_half_up("volatility_mean", 11).alias("volatility_mean"))
 
 
+def _alert_panel(spark, sf, lookback: str):
+    """The alerts of a look-back, computed from the trades it needs, and NOW()."""
+    fx = Fixture(spark, sf)
+    now = fx.anomaly_as_of()
+    return fx.alerts_table(since=now - as_interval(lookback)), now
+
+
 def _alerts(spark, sf, alert_type=None):
     a = Fixture(spark, sf).alerts().select(*ALERT_COLS)
     return a if alert_type is None else a.filter(F.col("alert_type") == alert_type)
@@ -221,8 +229,8 @@ FROM atab WHERE detected_at > {O.AS_OF_MH} - INTERVAL 24 HOUR
 GROUP BY symbol, severity, alert_type"""))
 def q_alert_summary_view(spark, sf):
     """O-39: 24 h alert summary (count, last detection, mean z)."""
-    fx = Fixture(spark, sf)
-    return views.alert_summary_view(fx.alerts_table(), as_of=fx.anomaly_as_of(), hours=24)
+    a, now = _alert_panel(spark, sf, "24 hours")
+    return views.alert_summary_view(a, as_of=now, hours=24)
 
 
 @register("alerts_unacknowledged", O.with_alerts("""
@@ -605,9 +613,8 @@ WHERE detected_at >= {O.AS_OF_MH} - INTERVAL 168 HOUR AND severity = 'CRITICAL'
 ORDER BY detected_at DESC, symbol, alert_type LIMIT 50"""))
 def q_alerts_filtered(spark, sf):
     """O-46/O-47: CRITICAL alerts of the last 7 days, newest 50, response defaults."""
-    fx = Fixture(spark, sf)
-    return S.alerts(fx.alerts_table(), severity="critical", hours=168, limit=50,
-                    as_of=fx.anomaly_as_of(), with_message=False).drop("id")
+    a, now = _alert_panel(spark, sf, "168 hours")
+    return S.alerts(a, severity="critical", hours=168, limit=50, as_of=now, with_message=False).drop("id")
 
 
 @register("alerts_recent", O.with_alerts(f"""
@@ -616,8 +623,8 @@ WHERE detected_at >= {O.AS_OF_MH} - INTERVAL 24 HOUR
 ORDER BY detected_at DESC, symbol, alert_type LIMIT 50"""))
 def q_alerts_recent(spark, sf):
     """O-46: default alert listing (24 h, 50 rows, no predicates)."""
-    fx = Fixture(spark, sf)
-    return S.alerts(fx.alerts_table(), as_of=fx.anomaly_as_of(), with_message=False).drop("id")
+    a, now = _alert_panel(spark, sf, "24 hours")
+    return S.alerts(a, as_of=now, with_message=False).drop("id")
 
 
 @register("alert_summary", O.with_alerts(f"""
@@ -626,8 +633,8 @@ FROM atab WHERE detected_at >= {O.AS_OF_MH} - INTERVAL 168 HOUR
 GROUP BY symbol, severity, alert_type"""))
 def q_alert_summary(spark, sf):
     """O-48: alert counts per (symbol, severity, type), last 7 days."""
-    fx = Fixture(spark, sf)
-    return S.alert_summary(fx.alerts_table(), hours=168, as_of=fx.anomaly_as_of())
+    a, now = _alert_panel(spark, sf, "168 hours")
+    return S.alert_summary(a, hours=168, as_of=now)
 
 
 @register("recent_metrics", O.with_metrics(f"""
@@ -649,11 +656,6 @@ def _fx(spark, sf):
     return fx, fx.metrics_table(since=now - F.expr("INTERVAL 6 HOURS")), now
 
 
-def _afx(spark, sf):
-    fx = Fixture(spark, sf)
-    return fx, fx.alerts_table(), fx.anomaly_as_of()
-
-
 _RANGE_M1 = f"window_start BETWEEN {O.AS_OF_M1} - INTERVAL 6 HOUR AND {O.AS_OF_M1}"
 
 
@@ -685,7 +687,7 @@ def q_dash_avg_volatility(spark, sf):
     f"SELECT count(*) AS value FROM atab WHERE detected_at >= {O.AS_OF_MH} - INTERVAL 24 HOUR"))
 def q_dash_alert_count(spark, sf):
     """O-53: alerts detected in the look-back (24 h for the fixture)."""
-    _, a, now = _afx(spark, sf)
+    a, now = _alert_panel(spark, sf, "24 hours")
     return D.alert_count(a, as_of=now, lookback="24 hours")
 
 
@@ -694,7 +696,7 @@ def q_dash_alert_count(spark, sf):
     "GROUP BY severity"))
 def q_dash_alerts_by_severity(spark, sf):
     """O-54: alerts per severity, last 24 h."""
-    _, a, now = _afx(spark, sf)
+    a, now = _alert_panel(spark, sf, "24 hours")
     return D.alerts_by_severity(a, as_of=now)
 
 
@@ -713,7 +715,7 @@ def q_dash_total_trades(spark, sf):
     "ORDER BY detected_at DESC, symbol, alert_type LIMIT 20"))
 def q_dash_recent_alerts(spark, sf):
     """O-56: the 20 most recent alerts (24 h look-back; message checked separately)."""
-    _, a, now = _afx(spark, sf)
+    a, now = _alert_panel(spark, sf, "24 hours")
     return D.recent_alerts(a, as_of=now, lookback="24 hours", with_message=False)
 
 
@@ -754,7 +756,7 @@ def q_dash_symbol_series(spark, sf):
     "ORDER BY detected_at DESC, alert_type LIMIT 10"))
 def q_dash_symbol_alerts(spark, sf):
     """O-61: one symbol's 10 latest alerts in the last 7 days."""
-    _, a, now = _afx(spark, sf)
+    a, now = _alert_panel(spark, sf, "168 hours")
     return D.symbol_alerts(a, SYMBOL, as_of=now, lookback="168 hours", with_message=False)
 
 
@@ -800,7 +802,7 @@ def q_dash_avg_window_size(spark, sf):
     "GROUP BY 1, 2 ORDER BY 1, 2"))
 def q_dash_alert_rate(spark, sf):
     """O-66: alerts per minute and severity, last 7 days."""
-    _, a, now = _afx(spark, sf)
+    a, now = _alert_panel(spark, sf, "168 hours")
     return D.alert_rate(a, as_of=now, lookback="168 hours")
 
 

@@ -16,7 +16,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import round_half_up, safe_ratio, severity_by_levels
-from ..functions.timecols import duration_seconds, time_bucket
+from ..functions.timecols import as_interval, duration_seconds, time_bucket
+from .windows import window_metrics
 
 # Detector constants of the reference.
 HISTORY_WINDOWS = 20
@@ -33,6 +34,9 @@ VOLUME_MESSAGE = "%s volume spike: %.1fx above average (current=%d, avg=%d)"
 VOLATILITY_MESSAGE = "%s volatility spike: %.1fx above rolling average"
 
 DEFAULT_CHUNK = "1 day"
+# A look-back reads this many times the span of a gapless history before it.
+REACH = 4
+LONG_AGO = dt.datetime(1, 1, 2)
 _VALUES = ("vwap", "volume", "volatility")
 
 
@@ -190,3 +194,35 @@ def detect_anomalies(metrics: DataFrame, history: int = HISTORY_WINDOWS,
     base = rolling_baseline(metrics.select("symbol", "window_start", "window_end", *_VALUES),
                             history=history, chunk=chunk, reset_after=reset_after)
     return alerts_from_baseline(base, price_z, volume_x, volatility_x, detected_at, min_history)
+
+
+def metrics_with_history(trades: DataFrame, since: Column, window: str, slide: str,
+                         history: int = HISTORY_WINDOWS, reach: str | None = None) -> DataFrame:
+    """The METRICS that :func:`detect_anomalies` needs for the windows that end at ``since`` or later:
+    these and, for every symbol that has one, at least the ``history`` windows before them.
+
+    Trades are read from ``reach`` (default: four times ``history`` slides) before ``since``. Symbols
+    with a window since then but fewer than ``history`` in the reach have their older trades read
+    too, however old, as a second branch. Where there are none, the upper bound of that branch's
+    scan, a scalar subquery, lies before all trades, so statistics exclude every row group. Earlier
+    windows may be missing or have a short history, so only alerts of windows that end at ``since``
+    or later count.
+
+    A symbol has at most one row a slide from the reach on and ``history`` older ones. Where the
+    look-back is bounded, so are the rows of a symbol, and ``chunk=None`` spares the detector the
+    second reading.
+    """
+    back = duration_seconds(reach) if reach is not None else REACH * history * duration_seconds(slide)
+    start = since - as_interval(duration_seconds(window) + back)
+    recent = (window_metrics(trades.where(F.col("event_time") >= start), window, slide)
+              .where(F.col("window_start") >= start))
+    before = F.col("window_end") < since
+    short = (recent.groupBy("symbol").agg(F.count_if(before).alias("n"), F.count_if(~before).alias("due"))
+             .where((F.col("n") < history) & (F.col("due") > 0)).select("symbol"))
+    at = trades.schema["event_time"].dataType
+    bound = short.agg(F.when(F.count(F.lit(1)) > 0, start + as_interval(window)).otherwise(F.lit(LONG_AGO)).cast(at))
+    old = trades.where(F.col("event_time") < bound.scalar()).join(short, "symbol", "left_semi")
+    newest = Window.partitionBy("symbol").orderBy(F.col("window_end").desc())
+    older = (window_metrics(old, window, slide).where(F.col("window_start") < start)
+             .withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= history).drop("_rank"))
+    return recent.unionByName(older)

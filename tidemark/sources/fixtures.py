@@ -12,8 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.timecols import as_interval, duration_seconds
-from ..operators.anomaly import detect_anomalies
-from ..operators.dedup import dedup_alerts
+from ..operators.anomaly import detect_anomalies, metrics_with_history
+from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
 from ..operators.sinks import audit_rows
 from ..operators.windows import window_metrics
 from .trades import clean_trades
@@ -86,10 +86,17 @@ class Fixture:
         """Detector output with detected_at = window_end (deterministic)."""
         return detect_anomalies(self.anomaly_table, detected_at=F.col("window_end"))
 
-    def alerts_table(self) -> DataFrame:
+    def alerts_table(self, since: Column | None = None) -> DataFrame:
         """Alerts as persisted by the audit sink: de-duplicated, acknowledged=false,
-        created_at = window_end + write lag."""
-        deduped = dedup_alerts(self.alerts())
+        created_at = window_end + write lag. With ``since`` those detected from then on, from the
+        trades that their windows, histories and de-duplication buckets need."""
+        if since is None:
+            deduped = dedup_alerts(self.alerts())
+        else:
+            first = since - as_interval(DEDUP_TTL_SECONDS)
+            metrics = metrics_with_history(self.trades, first, *ANOMALY_WINDOW)
+            alerts = detect_anomalies(metrics, detected_at=F.col("window_end"), chunk=None)
+            deduped = dedup_alerts(alerts.where(F.col("window_end") >= first)).where(F.col("detected_at") >= since)
         return audit_rows(deduped, created_at=F.col("window_end") + as_interval(WRITE_LAG))
 
     def as_of(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1]) -> Column:
