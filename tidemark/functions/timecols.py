@@ -83,6 +83,14 @@ def resolve_as_of(as_of, reference: DataFrame | None = None, column: str | None
     return F.to_timestamp(F.lit(as_of))
 
 
+def scan_bound(df: DataFrame, column: str, value: Column) -> Column:
+    """``value`` as a scalar subquery of the type of ``column``. Compared with the column, Spark
+    evaluates it before the scan and pushes the result into the file reader; it does not do so for
+    an expression over a subquery, such as NOW() less an interval."""
+    one = df.sparkSession.range(1)
+    return one.select(value.cast(df.schema[column].dataType)).scalar()
+
+
 def time_range_filter(df: DataFrame, col: str, lo: Column | None = None, hi: Column | None = None) -> DataFrame:
     """``lo <= col <= hi`` plus the implied bounds on the ``dt`` partition column.
 

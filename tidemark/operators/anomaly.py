@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import round_half_up, safe_ratio, severity_by_levels
-from ..functions.timecols import as_interval, duration_seconds, time_bucket
+from ..functions.timecols import as_interval, duration_seconds, scan_bound, time_bucket
 from .windows import window_metrics
 
 # Detector constants of the reference.
@@ -213,7 +213,7 @@ def metrics_with_history(trades: DataFrame, since: Column, window: str, slide: s
     second reading.
     """
     back = duration_seconds(reach) if reach is not None else REACH * history * duration_seconds(slide)
-    start = since - as_interval(duration_seconds(window) + back)
+    start = scan_bound(trades, "event_time", since - as_interval(duration_seconds(window) + back))
     recent = (window_metrics(trades.where(F.col("event_time") >= start), window, slide)
               .where(F.col("window_start") >= start))
     before = F.col("window_end") < since

@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.timecols import as_interval, duration_seconds
+from ..functions.timecols import as_interval, duration_seconds, scan_bound
 from ..operators.anomaly import detect_anomalies, metrics_with_history
 from ..operators.dedup import DEDUP_TTL_SECONDS, dedup_alerts
 from ..operators.sinks import audit_rows
@@ -65,7 +65,9 @@ class Fixture:
                 since: Column | None = None) -> DataFrame:
         """METRICS; with ``since`` only of trades from then on, which are all that windows starting
         then or later hold: the bound reaches the scan, below the windows."""
-        trades = self.trades if since is None else self.trades.where(F.col("event_time") >= since)
+        trades = self.trades
+        if since is not None:
+            trades = trades.where(F.col("event_time") >= scan_bound(trades, "event_time", since))
         return window_metrics(trades, window, slide)
 
     def metrics_table(self, window: str = METRIC_WINDOW[0], slide: str = METRIC_WINDOW[1],
