@@ -65,3 +65,29 @@ def test_stage_repeats_documents(spark, docs_of):
     assert out.columns == docs.columns
     n = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.count("*").alias("n")).collect()}
     assert [abs(n[s] - 30 * w / 2) <= 1 for s, w in (("a", 1), ("b", 2), ("c", 3))] == [True] * 3
+
+
+def test_words_taken_against_a_walk_through_each_stream(spark, docs_of):
+    """A source's stream is walked word by word, again from its start when it ends, until its
+    target is reached; each document's words on the way are counted."""
+    from collections import Counter
+    from math import floor
+
+    rows = [(i, "w " * (7 * i % 61), "en", "ab"[i % 5 == 0]) for i in range(120)]
+    rows += [(200 + i, "v " * 400, "en", "c") for i in range(4)] + [(300, "u " * 5000, "en", "d"), (400, "t t", "en", None)]
+    docs = docs_of(rows)
+    tag = F.xxhash64(F.coalesce("text", F.lit("")))
+    order = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.xxhash64("doc_id", tag, F.lit(5)).alias("h")).collect()}
+    sizes = {d: len(t.split()) for d, t, *_ in rows}
+    totals = Counter()
+    for d, _, _, s in rows:
+        totals[s] += sizes[d]
+    want, firsts = Counter(), Counter()
+    for source, target in expected(totals).items():
+        stream = [(d, at) for d in sorted((r[0] for r in rows if r[3] == source), key=order.get) for at in range(sizes[d])]
+        for n in range(min(floor(target + 0.5), 3 * totals[source])):
+            d, at = stream[n % len(stream)]
+            want[d] += 1
+            firsts[d] += at == 0
+    got = {r["doc_id"]: (r["taken"], r["passes"]) for r in q.mix(docs, block=64).collect()}
+    assert got == {d: (want[d], firsts[d] if n else 1) for d, n in sizes.items()}

@@ -56,3 +56,44 @@ def test_edges(spark, corpus):
     crc = odd.select(q.held_out(F.lit(5)).alias("h")).first()["h"]
     import zlib
     assert crc == (zlib.crc32(b"5") % 3 == 1)
+
+
+def kernel(a, b):
+    """The string kernel by its definition: common triples of letters, gaps allowed, each pair of
+    places decayed by the characters it spans."""
+    from itertools import combinations
+
+    def places(word):
+        for t in combinations([i for i, c in enumerate(word) if c.isalnum()], 3):
+            span, letters = t[2] - t[0] + 1, [i for i, c in enumerate(word) if c.isalnum()]
+            if span <= q.SPAN and letters.index(t[2]) - letters.index(t[0]) < q.SPAN:
+                yield "".join(word[i] for i in t), q.DECAY ** span
+
+    return sum(x * y for u, x in places(a) for v, y in places(b) if u == v)
+
+
+WORDS = ["blockhead", "b-l-o-ckhead", "bloxckhead", "headblock", "aaaaa", "aab", "dimwit", "d.i.m.w.i.t", "abcdefghijklmnop", "ponmlkjihgfedcba"]
+
+
+@pytest.mark.parametrize("a", WORDS)
+def test_kernel_against_its_definition(a):
+    for b in WORDS:
+        x, y = q.features(a), q.features(b)
+        want = kernel(a, b) / (kernel(a, a) * kernel(b, b)) ** 0.5
+        assert sum(v * y.get(t, 0.0) for t, v in x.items()) == pytest.approx(want, abs=1e-12)
+
+
+def test_margins_are_the_weighted_kernel():
+    """The margin of a word of one window is the sum over landmarks of coefficient and kernel."""
+    landmarks = {"blockhead": 1.5, "dimwit": 0.75, "headblock": -0.5}
+    triples = {}
+    for word, c in landmarks.items():
+        for t, v in q.features(word).items():
+            triples[t] = triples.get(t, 0.0) + c * v
+    model = q.Model(triples, -0.25, [0.0] * (q.TOP + 1))
+    norm = lambda w: kernel(w, w) ** 0.5
+    got = model.margins([*WORDS, "xyz", "ab", ""])
+    for w, m in zip(WORDS, got):
+        want = sum(c * kernel(w, v) / (norm(w) * norm(v)) for v, c in landmarks.items())
+        assert m == pytest.approx(max(want, 0.0) - 0.25, abs=1e-9)
+    assert list(got[len(WORDS):]) == [-0.25] * 3
