@@ -18,6 +18,8 @@ it. What the driver holds, classes of units and counts of pairs of classes, is b
 
 from __future__ import annotations
 
+import collections
+import itertools
 import zlib
 
 import numpy as np
@@ -29,7 +31,7 @@ from .base import bucketed, prepare, staged
 #: Classes; rounds of exchange; least share of the tokens of a word that is a unit; units of rarer words.
 CLASSES, ROUNDS, SHARE, ENDINGS = 64, 14, 1e-5, 1024
 #: Code points of a block, about; bigrams of a shard, about; weight of the class distribution in transitions.
-BLOCK_CHARS, SHARD, PRIOR = 16_000_000, 2_000_000, 16.0
+BLOCK_CHARS, SHARD, PRIOR = 16_000_000, 400_000, 16.0
 #: Rounds end when the likelihood changes by less than this share.
 STILL = 2e-4
 #: One document in so many is held out, that with this remainder (fixed values of the query).
@@ -55,11 +57,11 @@ def _unpack(z: bytes, kind: str) -> np.ndarray:
 
 class _Block:
     def __init__(self):
-        self.number, self.ids, self.rows, self.chars = {}, [], [], 0
+        self.number, self.ids, self.rows, self.chars = collections.defaultdict(itertools.count().__next__), [], [], 0
 
     def add(self, doc_id, held: bool, text: str | None) -> None:
-        number = self.number
-        ids = np.array([number.setdefault(w, len(number)) for w in tokens(text)], np.int32)
+        words = tokens(text)
+        ids = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
         self.ids.append(ids)
         self.rows.append((doc_id, held, len(ids)))
         self.chars += len(text or "")
