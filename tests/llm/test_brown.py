@@ -114,6 +114,87 @@ def test_scores_equal_brute_force(spark):
         assert abs(total - 1) < 1e-9
 
 
+def test_gains_of_rarer_words_equal_the_dense_ones():
+    rng = np.random.default_rng(3)
+    for turn in range(12):
+        k, m = 5, 30
+        left, right = (rng.integers(0, 3, (m, k)) * rng.integers(0, 2, (m, k)) * (1, 20)[turn % 2] for _ in range(2))
+        left[:, 0] += 1
+        own, at, pairs = rng.integers(0, 2, m), rng.integers(1, k, m), rng.integers(0, 50, (k, k)).astype(float)
+        for i in range(m):
+            pairs[:, at[i]] += left[i]
+            pairs[at[i]] += right[i]
+            pairs[at[i], at[i]] += own[i]
+        rows = np.array(sorted([(i, s * k + c, x[i, c]) for s, x in enumerate((left, right)) for i, c in zip(*np.nonzero(x))]
+                               + [(i, 2 * k, 1) for i in np.flatnonzero(own)]))
+        got = np.concatenate([g for _, g in q.rare_gains(rows[:, 0], rows[:, 1], rows[:, 2].astype(float), at, pairs)])
+        apart = got - q.gains(left.astype(float), right.astype(float), own.astype(float), at, pairs)
+        assert np.abs(apart - apart[:, :1]).max() < 1e-8
+
+
+def test_rarer_words_go_by_their_own_bigrams(spark, docs_of, monkeypatch):
+    """Words of one ending and count, met in unlike places, score alike no longer."""
+    monkeypatch.setattr(q, "SHARE", 0.01)
+    rows = [(i, f"la lb a{i % 20}xyz lc" if i < 100 else f"ma mb b{i % 20}xyz mc") for i in range(200)]
+    rows += [(200 + i, "la lb ca lc" if i < 60 else "ma mb cb mc") for i in range(120)]
+    rows += [(1000, "la lb a3xyz lc"), (1001, "la lb b3xyz lc"), (1002, "ma mb b7xyz mc"), (1003, "ma mb a7xyz mc")]
+    got = {r["doc_id"]: r for r in q.score(docs_of(rows), F.col("doc_id") >= 1000, classes=10, rounds=6).collect()}
+    assert {got[i]["base_score"] for i in range(1000, 1004)} == {got[1000]["base_score"]}
+    assert got[1000]["score"] > got[1001]["score"] + 0.3 and got[1002]["score"] > got[1003]["score"] + 0.3
+
+
+def test_classes_and_scores_of_rarer_words_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(q, "SHARE", 1e-3)
+    k, docs = 12, base.table(spark, TINY, "documents").repartition(3)
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    texts = q.blocks(docs.select("doc_id", "text", (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2).alias("held_out"))).cache()
+    train = [(a, b) for i, text in rows.items() if not held(i) for t in [tokens(text)] for a, b in zip([q.END, *t], t)]
+    count = collections.Counter(b for _, b in train)
+    table = q.word_table(texts, len(train))
+    start = q.fit(texts, table, len(train), classes=k, rounds=4)
+    model, settled = q.fit_words(texts, table, len(train), classes=k, rounds=4)
+    names, was, of = {r["block"]: r["words"] for r in texts.collect()}, {}, {}
+    assert len(names) == 3
+    for r in settled.collect():
+        u, cls = q._unpack(r["u"], "<i4"), q._unpack(r["cls"], "<i2")
+        for i, w in enumerate(map(bytes, names[r["block"]])):
+            now = int(cls[i] if count[w] else model["of"][u[i]])
+            assert of.setdefault(w, now) == now
+            was[w] = int(start["of"][u[i]]), 0 < u[i] <= q.ENDINGS
+    before = np.zeros((k, k))
+    for a, b in train:
+        before[was[a][0], was[b][0]] += 1
+    assert (before == start["pairs"]).all()
+    left, right, own = {}, {}, collections.Counter()
+    for a, b in train:
+        if a == b:
+            own[a] += 1
+        else:
+            left.setdefault(b, np.zeros(k))[was[a][0]] += 1
+            right.setdefault(a, np.zeros(k))[was[b][0]] += 1
+    rare = [w for w in count if was[w][1]]
+    assert sum(of[w] != was[w][0] for w in rare) > 0.3 * len(rare) and all(of[w] == was[w][0] for w in count if not was[w][1])
+    for w in rare[:400]:
+        gain = q.gains(left[w][None], right[w][None], np.array([float(own[w])]), np.array([was[w][0]]), before)[0]
+        assert of[w] > 0 and gain[of[w]] >= gain[1:].max() - 1e-5 * (1 + abs(gain).max())
+    pairs = np.zeros((k, k))
+    for a, b in train:
+        pairs[of[a], of[b]] += 1
+    assert (pairs == model["pairs"]).all() and q.likelihood(pairs) > q.likelihood(before)
+    once = collections.Counter(of[w] for w, c in count.items() if c == 1)
+    assert all(abs(model["unseen"][c] - (once[c] + 0.5) / (model["size"][c] + 1)) < 1e-12 for c in range(1, k) if model["size"][c])
+    got = {r["doc_id"]: r["score"] for r in settled.groupBy("block").cogroup(texts.drop("words", "n").groupBy("block")).applyInPandas(
+        q._scorer(model), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double").collect()}
+    size, prior = pairs.sum(axis=0), (pairs.sum(axis=0) + 0.5) / (len(train) + 0.5 * k)
+    for i, text in rows.items():
+        want, a = 0.0, 0
+        for w in tokens(text):
+            c = of[w]
+            word = (1 - model["unseen"][c]) * count[w] / size[c] if count[w] else model["unseen"][c]
+            want, a = want + math.log10((pairs[a, c] + q.PRIOR * prior[c]) / (pairs[a].sum() + q.PRIOR) * word), c
+        assert abs(got[i] - want) < 1e-6
+
+
 def test_held_out_text_scores_above_the_base(spark):
     out = queries.op12_lm_scoring(spark, TINY).toPandas()
     assert out["doc_id"].is_unique and out["train_tokens"].nunique() == 1
